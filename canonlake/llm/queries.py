@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canonlake.llm import line_dedup as lines
+from canonlake.llm import quality_rules as quality
+from canonlake.llm import secret_scan as secrets
 from canonlake.llm import sharding
 from canonlake.llm.common import UPPER, LOWER, new_path
 
@@ -55,3 +57,48 @@ def op2_sharding(spark, sf_dir):
     facts = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
     out = sharding.shard_rows(facts, "doc_id", "size", 24, map_path=new_path(spark, "shard-map"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+
+
+def _either_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+def _secret_oracle() -> str:
+    keyword = "(" + "|".join(_either_case(w) for w in ("password", "passwd", "secret", "token", "api_?key")) + ")"
+    parts = []
+    for place, rule in enumerate(secrets.RULES):
+        pattern = rule.pattern.replace("(?i:(password|passwd|secret|token|api_?key))", keyword).replace("'", "''")
+        parts.append(
+            f"""SELECT doc_id, '{rule.kind}' AS kind, {place} AS place, {rule.least} AS least, unnest(regexp_extract_all(t, '{pattern}')) AS hit,
+            unnest(regexp_extract_all(t, '{pattern}', {rule.group})) AS m, unnest(regexp_split_to_array(t, '{pattern}')) AS gap,
+            generate_subscripts(regexp_split_to_array(t, '{pattern}'), 1) AS pos FROM d"""
+        )
+    listed = "coalesce(string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, place){where}, '')"
+    base = "'assign', 'access', 'hex'"
+    return f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    a AS ({" UNION ALL ".join(parts)}),
+    w AS (SELECT *, sum(length(gap) + coalesce(length(hit), 0)) OVER (PARTITION BY doc_id, place ORDER BY pos) AS stop FROM a),
+    f AS (SELECT doc_id, kind, place, stop::BIGINT AS stop, (stop - length(hit))::BIGINT AS start FROM w WHERE hit IS NOT NULL AND length(m) >= least),
+    g AS (SELECT doc_id, count_if(kind = 'assign') AS n_assign, count_if(kind = 'access') AS n_access, count_if(kind = 'hex') AS n_hex,
+    {listed.format(where=f" FILTER (kind IN ({base}))")} AS base, {listed.format(where="")} AS spans FROM f GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (doc_id)
+    """
+
+
+@query("op5_secret_scan", _secret_oracle())
+def op5_secret_scan(spark, sf_dir):
+    out = secrets.secret_scan(table(spark, sf_dir, "documents"), new_path(spark, "ledger"), "doc_id", "text")
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secrets.BASE]))
+    return out.select(
+        "doc_id", of("assign").alias("n_assign"), of("access").alias("n_access"), of("hex").alias("n_hex"), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
+    )
+
+
+@query("op7_quality_rules")
+def op7_quality_rules(spark, sf_dir):
+    out = quality.quality_rules(table(spark, sf_dir, "documents"), "doc_id", "text", ("lang", "source"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
