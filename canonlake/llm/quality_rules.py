@@ -9,7 +9,7 @@ from canonlake.llm.common import SPACES, let, staged
 
 #: The smallest standard deviation that a statistic counts with, so that a statistic that hardly varies
 #: (symbols, say) rejects no document for a trace of it.
-FLOORS = {"f_words": 0.5, "f_length": 0.1, "f_symbols": 0.06, "f_lines": 0.15, "f_repeats": 0.15}
+FLOORS = {"f_words": 0.5, "f_length": 0.1, "f_symbols": 0.05, "f_lines": 0.15, "f_repeats": 0.15}
 FEATURES = list(FLOORS)
 #: The median of a chi-square distribution with as many degrees of freedom as there are statistics.
 CHI2_MEDIAN = 4.3515

@@ -9,6 +9,7 @@ from canonlake.llm import line_dedup as lines
 from canonlake.llm import quality_rules as quality
 from canonlake.llm import secret_scan as secrets
 from canonlake.llm import sharding
+from canonlake.llm import simhash
 from canonlake.llm.common import UPPER, LOWER, new_path
 
 QUERIES: dict = {}
@@ -102,3 +103,9 @@ def op5_secret_scan(spark, sf_dir):
 def op7_quality_rules(spark, sf_dir):
     out = quality.quality_rules(table(spark, sf_dir, "documents"), "doc_id", "text", ("lang", "source"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
+@query("op10_simhash")
+def op10_simhash(spark, sf_dir):
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", bits=2)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
