@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from canonlake.llm import decontaminate as decontamination
 from canonlake.llm import line_dedup as lines
+from canonlake.llm import packing
 from canonlake.llm import quality_rules as quality
 from canonlake.llm import secret_scan as secrets
 from canonlake.llm import sharding
@@ -109,3 +111,40 @@ def op7_quality_rules(spark, sf_dir):
 def op10_simhash(spark, sf_dir):
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", bits=2)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+_SQL_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query(
+    "op3_decontaminate",
+    f"""
+    WITH dw AS (SELECT doc_id, {_SQL_WORDS} AS w FROM documents),
+    iw AS (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark),
+    win AS (SELECT item_id, least(len(w), 10) AS l, array_to_string(w[p:p + least(len(w), 10) - 1], ' ') AS k
+    FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p FROM iw WHERE len(w) > 0)),
+    ls AS (SELECT DISTINCT l FROM win),
+    pos AS (SELECT doc_id, l, p, array_to_string(w[p:p + l - 1], ' ') AS k FROM (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS p FROM dw, ls)),
+    m AS (SELECT DISTINCT doc_id, pos.l AS l, p, item_id FROM pos JOIN win USING (l, k)),
+    h AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + l)) AS q FROM m) GROUP BY doc_id),
+    i AS (SELECT doc_id, count(*) AS n, string_agg(i, ',' ORDER BY i) AS s FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM m) GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(i.n, 0)::BIGINT AS n_items, sha256(coalesce(i.s, '')) AS items_sha256,
+    h.n IS NOT NULL AS contaminated FROM dw LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
+    """,
+)
+def op3_decontaminate(spark, sf_dir):
+    out = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", "text", "item_id", "text", window=10)
+    listed = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(listed, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def tokenizer_file() -> str:
+    """Where the public byte-level vocabulary lies on this machine; executors have it at the same place."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op4_packing")
+def op4_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file(), "doc_id", "text", capacity=2048, end_id=0)
