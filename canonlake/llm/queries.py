@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from canonlake.llm import decontaminate as decontamination
 from canonlake.llm import line_dedup as lines
 from canonlake.llm import packing
+from canonlake.llm import quality_classifier as classifier
 from canonlake.llm import quality_rules as quality
 from canonlake.llm import secret_scan as secrets
 from canonlake.llm import sharding
 from canonlake.llm import simhash
+from canonlake.llm import toxicity
 from canonlake.llm.common import UPPER, LOWER, new_path
 
 QUERIES: dict = {}
@@ -148,3 +150,22 @@ def tokenizer_file() -> str:
 @query("op4_packing")
 def op4_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file(), "doc_id", "text", capacity=2048, end_id=0)
+
+
+def _remainder(doc_id, n: int):
+    """crc32 of the id as text, modulo n."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % n
+
+
+@query("op8_quality_classifier")
+def op8_quality_classifier(spark, sf_dir):
+    allowed = lambda i: _remainder(i, 5) != 0
+    out = classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), allowed, "doc_id", "text", "quality")
+    return out.select("doc_id", (_remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark, sf_dir):
+    allowed = lambda i: _remainder(i, 3) != 1
+    out = toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), allowed, "doc_id", "text", "toxic")
+    return out.select("doc_id", (_remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
