@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -267,8 +268,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 
 def _text_cutter():
-    import pandas as pd
-
     @F.pandas_udf("string")
     def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([t if s is None or t is None else _cut(t.encode(), list(s)).decode() for t, s in zip(text, spans)])
