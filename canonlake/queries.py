@@ -1,10 +1,24 @@
-"""Registry of the engine's own queries and their SQL oracles."""
+"""Registry of the engine's own queries on the driver tables, each with its SQL oracle where SQL can express it.
+
+The star schema stands in for the domain: customers for players, orders for matches, suppliers for a second source, events for
+a stream of observations. Every query goes through the operator it is named after.
+"""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from canonlake.functions import scalars as S
+from canonlake.operators import algebra, integrity, resolve
+from canonlake.plans import analytics
+from canonlake.sources import html
+from canonlake.sources.curated import CuratedStore
+from canonlake.streaming import incremental
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
@@ -13,6 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder for a query's own tables: in the folder that all executors share, or a temporary one where none is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="canonlake-")
+    base = shared if "://" in shared or shared.startswith("file:") else f"file://{shared}"
+    return f"{base.replace('file:/', 'file:///', 1) if base.startswith('file:/') and not base.startswith('file://') else base}/canonlake-{uuid.uuid4().hex}"
+
+
 def query(name: str, sql: str | None = None):
     """Register a query and, where there is one, its oracle."""
 
@@ -25,15 +46,682 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+SEASON = "(year({0}) - (month({0}) < 7)::INT)"
+ORDER_SEASON = SEASON.format("o_orderdate")
+
+
+def seasons(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("season", S.season_of(F.col("o_orderdate")))
+
+
+# --- scans, table algebra ---------------------------------------------------------------------------------------
+
+
 @query(
     "newcomers_by_season",
-    """
-    WITH o AS (SELECT o_custkey, year(o_orderdate) - (month(o_orderdate) < 7)::INT AS season FROM orders)
-    SELECT DISTINCT o_custkey AS custkey FROM o WHERE season = 1996
-    AND o_custkey NOT IN (SELECT o_custkey FROM o WHERE season < 1996)
+    f"""
+    WITH o AS (SELECT o_custkey, {ORDER_SEASON} AS season FROM orders)
+    SELECT DISTINCT o_custkey AS custkey FROM o WHERE season = 1996 AND o_custkey NOT IN (SELECT o_custkey FROM o WHERE season < 1996)
     """,
 )
 def newcomers_by_season(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select("o_custkey", (F.year("o_orderdate") - (F.month("o_orderdate") < 7).cast("int")).alias("season"))
-    now = orders.where("season = 1996").select(F.col("o_custkey").alias("custkey")).distinct()
-    return now.join(orders.where("season < 1996").select(F.col("o_custkey").alias("custkey")), "custkey", "left_anti")
+    points = seasons(table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")).select(F.col("o_custkey").alias("player_id"), "season")
+    squad = points.where("season = 1996").select(F.col("player_id").alias("id")).distinct()
+    return analytics.newcomers(squad, points, 1996).select(F.col("id").alias("custkey"))
+
+
+@query(
+    "season_from_date",
+    f"""
+    SELECT season, lpad((season % 100)::VARCHAR, 2, '0') || '/' || lpad(((season + 1) % 100)::VARCHAR, 2, '0') AS label, count(*) AS n
+    FROM (SELECT {ORDER_SEASON} AS season FROM orders) GROUP BY season
+    """,
+)
+def season_from_date(spark, sf_dir):
+    counted = seasons(table(spark, sf_dir, "orders").select("o_orderdate")).groupBy("season").agg(F.count(F.lit(1)).alias("n"))
+    labelled = counted.withColumn("label", S.season_label(F.col("season")))
+    return labelled.select(S.season_start(F.col("label")).alias("season"), "label", "n")
+
+
+@query(
+    "latest_per_key",
+    "SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1",
+)
+def latest_per_key(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "ts")
+    return algebra.latest_per_key(events, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")]).drop("ts")
+
+
+@query("distinct_non_null", "SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_custkey IS NOT NULL")
+def distinct_non_null(spark, sf_dir):
+    return algebra.distinct_values(table(spark, sf_dir, "orders").where("o_orderstatus = 'F'"), "o_custkey")
+
+
+@query(
+    "keyed_replace_upsert",
+    """
+    WITH base AS (SELECT o_custkey, o_orderkey FROM orders WHERE o_orderdate < '1999-01-01'),
+    batch AS (SELECT o_custkey, o_orderkey FROM orders WHERE o_orderdate >= '1999-01-01' AND o_orderpriority = '1-URGENT')
+    SELECT * FROM base WHERE o_custkey NOT IN (SELECT o_custkey FROM batch) UNION ALL SELECT * FROM batch
+    """,
+)
+def keyed_replace_upsert(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    pick = lambda cond: orders.where(cond).select("o_custkey", "o_orderkey")
+    return algebra.keyed_replace(pick("o_orderdate < '1999-01-01'"), pick("o_orderdate >= '1999-01-01' and o_orderpriority = '1-URGENT'"), ["o_custkey"])
+
+
+@query(
+    "composite_key_upsert",
+    """
+    WITH base AS (SELECT user_id, ts::DATE AS day, count(*) AS n FROM events WHERE event_type = 'click' GROUP BY ALL),
+    batch AS (SELECT user_id, ts::DATE AS day, count(*) AS n FROM events WHERE event_type = 'purchase' GROUP BY ALL)
+    SELECT * FROM base ANTI JOIN batch USING (user_id, day) UNION ALL SELECT * FROM batch
+    """,
+)
+def composite_key_upsert(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    daily = lambda kind: events.where(F.col("event_type") == kind).groupBy("user_id", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return algebra.keyed_replace(daily("click"), daily("purchase"), ["user_id", "day"])
+
+
+@query(
+    "unique_partition_move",
+    "SELECT CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN '5-LOW' ELSE o_orderpriority END AS part, count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM orders GROUP BY 1",
+)
+def unique_partition_move(spark, sf_dir):
+    store = CuratedStore(spark, scratch(spark))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.col("o_orderpriority").alias("part"))
+    store.write_partitioned("moves", rows, ["part"])
+    moved = rows.where("part = '1-URGENT' and o_orderstatus = 'F'").drop("part")
+    store.upsert_unique_partition("moves", moved, ["o_orderkey"], {"part": "5-LOW"})
+    return store.read_table("moves").groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
+@query(
+    "retain_keys",
+    "SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 50)",
+)
+def retain_keys(spark, sf_dir):
+    used = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R' and l_quantity >= 50").select(F.col("l_suppkey").alias("s_suppkey"))
+    return algebra.with_keys(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), used, ["s_suppkey"])
+
+
+@query(
+    "retain_removed",
+    "SELECT count(*) AS removed FROM supplier WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 50)",
+)
+def retain_removed(spark, sf_dir):
+    used = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R' and l_quantity >= 50").select(F.col("l_suppkey").alias("s_suppkey"))
+    return algebra.without_keys(table(spark, sf_dir, "supplier").select("s_suppkey"), used, ["s_suppkey"]).agg(F.count(F.lit(1)).alias("removed"))
+
+
+@query(
+    "history_union",
+    """
+    WITH now AS (SELECT DISTINCT o_custkey AS id FROM orders WHERE o_orderdate >= '2001-01-01'), past AS (SELECT DISTINCT o_custkey AS id FROM orders WHERE o_orderdate < '2001-01-01')
+    SELECT id, 'now' AS origin FROM now UNION ALL SELECT id, 'past' FROM past WHERE id NOT IN (SELECT id FROM now)
+    """,
+)
+def history_union(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    part = lambda cond, name: orders.where(cond).select(F.col("o_custkey").alias("id")).distinct().withColumn("origin", F.lit(name))
+    return algebra.current_plus_history(part("o_orderdate >= '2001-01-01'", "now"), part("o_orderdate < '2001-01-01'", "past"), ["id"])
+
+
+@query(
+    "partition_roundtrip",
+    "SELECT n_regionkey::VARCHAR AS region, CASE WHEN n_regionkey = 1 THEN upper(n_name) ELSE n_name END AS name, n_nationkey FROM nation",
+)
+def partition_roundtrip(spark, sf_dir):
+    store = CuratedStore(spark, scratch(spark))
+    rows = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("name"), F.col("n_regionkey").cast("string").alias("region"))
+    store.write_partitioned("nations", rows, ["region"])
+    store.write_table("nations", store.read_partition("nations", {"region": "1"}).withColumn("name", F.upper("name")), {"region": "1"})
+    return store.read_table("nations").select("region", "name", "n_nationkey")
+
+
+@query(
+    "schema_union",
+    "SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, NULL::VARCHAR AS segment FROM customer WHERE c_mktsegment = 'BUILDING' UNION ALL SELECT c_custkey, c_name, NULL, c_mktsegment FROM customer WHERE c_mktsegment <> 'BUILDING'",
+)
+def schema_union(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer").withColumnsRenamed({"c_custkey": "id", "c_name": "name", "c_acctbal": "balance", "c_mktsegment": "segment"})
+    old = customers.where("segment = 'BUILDING'").select("id", "name", "balance")
+    return algebra.keyed_replace(old, customers.where("segment <> 'BUILDING'").select("id", "name", "segment"), ["id"])
+
+
+# --- scalar functions -----------------------------------------------------------------------------------------
+
+
+@query(
+    "packed_date_decode",
+    """
+    SELECT o_orderkey, make_date(2000 + year(o_orderdate) % 100, month(o_orderdate), day(o_orderdate)) AS short_date, o_orderdate::DATE AS long_date FROM orders
+    """,
+)
+def packed_date_decode(spark, sf_dir):
+    day = F.col("o_orderdate")
+    packed = F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
+    return table(spark, sf_dir, "orders").select("o_orderkey", S.short_packed_date(packed % 1000000).alias("short_date"), S.long_packed_date(packed).alias("long_date"))
+
+
+@query("money_parse", "SELECT p_partkey, (round(p_retailprice * 100) * 1000)::BIGINT AS amount FROM part")
+def money_parse(spark, sf_dir):
+    euros = (F.round(F.col("p_retailprice") * 100) * 1000).cast("long")
+    return table(spark, sf_dir, "part").select("p_partkey", S.money(S.money_text(euros)).alias("amount"))
+
+
+@query(
+    "normalize_tokens",
+    f"""
+    WITH n AS (SELECT doc_id, trim(regexp_replace(lower(strip_accents(coalesce(text, ''))), '[^a-z0-9]+', ' ', 'g')) AS t FROM documents)
+    SELECT doc_id, md5(t) AS normal, len(list_filter(list_distinct(string_split(t, ' ')), lambda x: x <> '' AND x NOT IN ({", ".join(f"'{w}'" for w in S.NAME_PARTICLES)})))::INT AS n_tokens FROM n
+    """,
+)
+def normalize_tokens(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", S.normalize(F.coalesce("text", F.lit(""))).alias("t"))
+    return docs.select("doc_id", F.md5("t").alias("normal"), F.size(S.tokens(F.col("t"), S.NAME_PARTICLES)).alias("n_tokens"))
+
+
+@query(
+    "classify_text",
+    """
+    SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN 'end of loan' WHEN o_orderpriority = '2-HIGH' THEN 'loan' ELSE 'transfer' END AS kind, count(*) AS n FROM orders GROUP BY 1
+    """,
+)
+def classify_text(spark, sf_dir):
+    p = F.col("o_orderpriority")
+    fee = F.when(p == "1-URGENT", "End of loan 30/06").when(p == "2-HIGH", "Loan transfer").when(p == "5-LOW", "-").otherwise("free transfer")
+    return table(spark, sf_dir, "orders").select(S.transfer_kind(fee).alias("kind")).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "match_result",
+    """
+    WITH a AS (SELECT l_orderkey, l_quantity FROM lineitem WHERE l_linenumber = 1), b AS (SELECT l_orderkey, l_quantity FROM lineitem WHERE l_linenumber = 2)
+    SELECT l_orderkey, CASE WHEN a.l_quantity > b.l_quantity THEN 'win' WHEN a.l_quantity < b.l_quantity THEN 'loss' WHEN a.l_quantity = b.l_quantity THEN 'draw' END AS result
+    FROM a LEFT JOIN b USING (l_orderkey)
+    """,
+)
+def match_result(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    side = lambda n, name: lines.where(F.col("l_linenumber") == n).select("l_orderkey", F.col("l_quantity").alias(name))
+    return side(1, "a").join(side(2, "b"), "l_orderkey", "left").select("l_orderkey", S.result(F.col("a"), F.col("b")).alias("result"))
+
+
+@query(
+    "decision_tokens",
+    """
+    SELECT kind, count(*) AS n FROM (SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'yes' WHEN '2-HIGH' THEN 'skip' WHEN '3-MEDIUM' THEN 'id' WHEN '5-LOW' THEN 'unknown' END AS kind FROM orders) GROUP BY kind
+    """,
+)
+def decision_tokens(spark, sf_dir):
+    p = F.col("o_orderpriority")
+    token = F.when(p == "1-URGENT", " Sí ").when(p == "2-HIGH", "Skip").when(p == "3-MEDIUM", F.concat(F.lit("https://x/spieler/"), F.col("o_custkey").cast("string"))).when(p == "5-LOW", "maybe").otherwise("")
+    return table(spark, sf_dir, "orders").select(S.decision_kind(token).alias("kind")).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- nested and HTML --------------------------------------------------------------------------------------------
+
+
+@query(
+    "count_vs_float_nulls",
+    """
+    SELECT event_type, sum(coalesce((props::JSON ->> 'k')::BIGINT, 0))::BIGINT AS k_total, sum(coalesce((props::JSON ->> 'absent')::BIGINT, 0))::BIGINT AS absent_count, count((props::JSON ->> 'absent')::DOUBLE) AS absent_known
+    FROM events GROUP BY event_type
+    """,
+)
+def count_vs_float_nulls(spark, sf_dir):
+    stats = F.from_json("props", "map<string,string>")
+    value = lambda k: F.try_element_at(F.col("s"), F.lit(k)).try_cast("double")
+    count = lambda k: F.when(F.col("s").isNotNull(), F.coalesce(value(k), F.lit(0.0))).cast("long")
+    rows = table(spark, sf_dir, "events").select("event_type", stats.alias("s"))
+    return rows.groupBy("event_type").agg(F.sum(count("k")).alias("k_total"), F.sum(count("absent")).alias("absent_count"), F.count(value("absent")).alias("absent_known"))
+
+
+@query("nested_roundtrip", "SELECT conv_id, turn, role, length(text)::INT AS chars FROM conversations")
+def nested_roundtrip(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", F.struct("turn", "role", F.length("text").alias("chars")).alias("t"))
+    payload = turns.groupBy("conv_id").agg(F.to_json(F.struct(F.collect_list("t").alias("turns"))).alias("payload"))
+    read = payload.select("conv_id", F.explode(F.from_json("payload", "struct<turns:array<struct<turn:long,role:string,chars:int>>>")["turns"]).alias("t"))
+    return read.select("conv_id", "t.*")
+
+
+@query(
+    "html_fields",
+    """
+    SELECT page_id::VARCHAR AS page, trim(regexp_extract(replace(html, '&amp;', '&'), '<title>(.*?)</title>', 1)) AS title, len(regexp_extract_all(html, '<a href="[^"]+"'))::BIGINT AS n_links,
+    len(regexp_extract_all(html, '<p>'))::BIGINT AS n_paragraphs FROM pages
+    """,
+)
+def html_fields(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("page"), "html")
+    return html.parse_pages(pages, "links").select("page", "title", "n_links", "n_paragraphs")
+
+
+# --- aggregation -------------------------------------------------------------------------------------------------
+
+
+@query(
+    "systems_pivot",
+    f"SELECT user_id, ts::DATE AS day, {', '.join(f'max(value) FILTER (event_type = {chr(39)}{t}{chr(39)}) AS {t}' for t in ('click', 'purchase', 'error', 'signup', 'view'))} FROM events GROUP BY ALL",
+)
+def systems_pivot(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"), "event_type", "value")
+    return algebra.pivot_max(events, ["user_id", "day"], "event_type", ["click", "purchase", "error", "signup", "view"], "value")
+
+
+@query("first_seen_identity", "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events) WHERE k = 1")
+def first_seen_identity(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "ts")
+    return algebra.first_per_key(events, ["user_id"], [F.col("ts"), F.col("event_id")]).drop("ts")
+
+
+@query(
+    "duplicate_groups",
+    """
+    SELECT o_custkey, o_orderdate::DATE AS day, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS members FROM orders GROUP BY 1, 2 HAVING count(*) > 1
+    """,
+)
+def duplicate_groups(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_custkey", F.to_date("o_orderdate").alias("day"), "o_orderkey")
+    found = algebra.duplicate_groups(orders, ["o_custkey", "day"], "o_orderkey")
+    return found.withColumn("members", F.array_join(F.transform("members", lambda m: m.cast("string")), ","))
+
+
+@query(
+    "integrity_violations",
+    """
+    WITH m AS (SELECT 'p' || lpad(c_custkey::VARCHAR, 5, '0') AS canonical_id, 'a' AS fuente, (c_acctbal::BIGINT)::VARCHAR AS id_en_fuente FROM customer
+    UNION ALL SELECT CASE WHEN s_acctbal < 0 THEN 'x' ELSE 'p' END || lpad(s_suppkey::VARCHAR, 5, '0'), 'b', s_suppkey::VARCHAR FROM supplier)
+    SELECT rule, count(*) AS n FROM (SELECT 'source-id' AS rule FROM m GROUP BY fuente, id_en_fuente HAVING count(*) > 1
+    UNION ALL SELECT 'entity-source' FROM m GROUP BY canonical_id, fuente HAVING count(*) > 1
+    UNION ALL SELECT 'format' FROM m WHERE NOT regexp_matches(canonical_id, '^p[0-9]+$')) GROUP BY rule
+    """,
+)
+def integrity_violations(spark, sf_dir):
+    a = table(spark, sf_dir, "customer").select(S.canonical_id("p", F.col("c_custkey"), 5).alias("canonical_id"), F.lit("a").alias("fuente"), F.bround("c_acctbal").cast("long").cast("string").alias("id_en_fuente"))
+    number = F.lpad(F.col("s_suppkey").cast("string"), 5, "0")
+    b = table(spark, sf_dir, "supplier").select(F.concat(F.when(F.col("s_acctbal") < 0, "x").otherwise("p"), number).alias("canonical_id"), F.lit("b").alias("fuente"), F.col("s_suppkey").cast("string").alias("id_en_fuente"))
+    return integrity.violations(a.unionByName(b), "p").groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+
+
+STATUS = {"error": 403, "purchase": 200, "click": 429}
+
+
+@query(
+    "status_verdict",
+    """
+    SELECT user_id, ts::DATE AS day, CASE WHEN bool_or(event_type = 'error') THEN 'blocked' WHEN bool_or(event_type = 'purchase') THEN 'viable'
+    WHEN bool_or(event_type = 'click') THEN 'rate-limited' ELSE 'unreachable' END AS verdict FROM events GROUP BY ALL
+    """,
+)
+def status_verdict(spark, sf_dir):
+    status = F.create_map(*[F.lit(x) for pair in STATUS.items() for x in pair])[F.col("event_type")]
+    events = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"), F.coalesce(status, F.lit(0)).alias("status"))
+    return events.groupBy("user_id", "day").agg(analytics.direct_access_verdict(F.collect_set("status")).alias("verdict"))
+
+
+@query(
+    "minutes_crosscheck",
+    """
+    WITH a AS (SELECT user_id, ts::DATE AS day, count(*) AS minutes FROM events WHERE event_type <> 'error' GROUP BY ALL), b AS (SELECT user_id, ts::DATE AS day, count(*) AS minutes FROM events GROUP BY ALL),
+    j AS (SELECT abs(a.minutes - b.minutes) <= 0.10 * b.minutes AS within FROM a JOIN b USING (user_id, day))
+    SELECT count(*) AS common_rows, count_if(within) AS within_tolerance, round(count_if(within) / count(*), 6) AS share, count_if(within) / count(*) >= 0.95 AS passed FROM j
+    """,
+)
+def minutes_crosscheck(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"), "event_type")
+    daily = lambda df: df.groupBy("user_id", "day").agg(F.count(F.lit(1)).alias("minutes"))
+    report, _ = analytics.minutes_check(daily(events.where("event_type <> 'error'")), daily(events), ["user_id", "day"])
+    return report.withColumn("share", F.round("share", 6))
+
+
+@query("coverage_gaps", "SELECT 'part' AS kind, p_partkey::VARCHAR AS id, 'part ' || p_partkey || ' has no mapping' AS message FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')")
+def coverage_gaps(spark, sf_dir):
+    mapped = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_partkey").alias("id"))
+    return analytics.coverage_gaps(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id")), mapped, "part")
+
+
+@query(
+    "mapping_report",
+    """
+    WITH l AS (SELECT c_custkey::VARCHAR AS id FROM customer), a AS (SELECT s_suppkey::VARCHAR AS id, CASE WHEN s_acctbal < 0 THEN 'manual' ELSE 'auto' END AS metodo FROM supplier UNION ALL SELECT 'gone', 'auto'),
+    r AS (SELECT DISTINCT o_custkey::VARCHAR AS id FROM orders WHERE o_orderstatus = 'P')
+    SELECT count(l.id) AS total, count_if(l.id IS NOT NULL AND a.id IS NOT NULL) AS mapped, count_if(l.id IS NOT NULL AND metodo = 'auto') AS automatic, count_if(l.id IS NOT NULL AND metodo = 'manual') AS manual,
+    count_if(l.id IS NULL) AS dangling, (SELECT count(*) FROM r) AS in_review, 100.0 * count_if(l.id IS NOT NULL AND metodo = 'auto') / count(l.id) AS percent_automatic FROM l FULL JOIN a ON l.id = a.id
+    """,
+)
+def mapping_report(spark, sf_dir):
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("id"), F.when(F.col("s_acctbal") < 0, "manual").otherwise("auto").alias("metodo"))
+    approved = suppliers.unionByName(spark.createDataFrame([("gone", "auto")], "id string, metodo string"))
+    review = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("left_id"))
+    return analytics.mapping_report(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), approved, review)
+
+
+# --- entity resolution ---------------------------------------------------------------------------------------------
+
+
+def part_teams(spark, sf_dir):
+    """Two sources of names by brand: full names, and last words."""
+    parts = table(spark, sf_dir, "part").select(F.concat_ws("/", "p_brand", "p_type").alias("competition"), F.lower("p_name").alias("n")).distinct()
+    left = parts.select("competition", F.concat_ws("/", "competition", "n").alias("id"), S.tokens(F.col("n"), S.CLUB_WORDS).alias("tokens"))
+    words = parts.select("competition", F.element_at(F.split("n", " "), -1).alias("n")).distinct()
+    return left, words.select("competition", F.concat_ws("/", "competition", "n").alias("id"), S.tokens(F.col("n"), S.CLUB_WORDS).alias("tokens"))
+
+
+PART_TEAMS = """
+    WITH p AS (SELECT DISTINCT p_brand || '/' || p_type AS competition, lower(p_name) AS n FROM part), w AS (SELECT DISTINCT competition, string_split(n, ' ')[-1] AS n FROM p),
+    c AS (SELECT p.competition || '/' || p.n AS left_id, w.competition || '/' || w.n AS right_id FROM p JOIN w USING (competition)
+    WHERE list_has_all(string_split(p.n, ' '), [w.n]) OR list_has_all([w.n], string_split(p.n, ' ')))
+"""
+
+
+@query("team_candidates", PART_TEAMS + "SELECT left_id, right_id FROM c")
+def team_candidates(spark, sf_dir):
+    left, right = part_teams(spark, sf_dir)
+    return resolve.token_pairs(left, right, ["competition"])
+
+
+@query(
+    "biunique_pairs",
+    PART_TEAMS + "SELECT left_id, right_id FROM (SELECT *, count(*) OVER (PARTITION BY left_id) AS a, count(*) OVER (PARTITION BY right_id) AS b FROM c) WHERE a = 1 AND b = 1",
+)
+def biunique_pairs(spark, sf_dir):
+    return resolve.team_matches(*part_teams(spark, sf_dir))
+
+
+def people(spark, sf_dir):
+    """Customers and suppliers as two sources of people: tokens of region and balance, births and clubs with gaps."""
+    region = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+
+    def made(df, prefix, identifier):
+        balance = F.floor(F.col(f"{prefix}_acctbal")).cast("int")
+        words = F.array(F.concat(F.lit("g"), F.col("n_regionkey").cast("string")), F.concat(F.lit("a"), F.floor(balance / 20).cast("string")))
+        born = F.when(balance >= 0, F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), balance % 600), "yyyy-MM-dd")).otherwise("")
+        tokens = F.when((F.lit(prefix) == "s") & (balance % 5 == 0), F.slice(words, 2, 1)).otherwise(words)
+        club = F.when(balance % 7 > 0, F.col(f"{prefix}_nationkey").cast("string"))
+        return df.join(F.broadcast(region), F.col("n_nationkey") == F.col(f"{prefix}_nationkey")).select(F.concat(F.lit(prefix), F.col(identifier).cast("string")).alias("id"), tokens.alias("tokens"), born.alias("birth_date"), club.alias("club"))
+
+    return made(table(spark, sf_dir, "customer"), "c", "c_custkey"), made(table(spark, sf_dir, "supplier"), "s", "s_suppkey")
+
+
+def _people_sql(name: str, prefix: str, key: str) -> str:
+    b = f"floor({prefix}_acctbal)::INT"
+    words = f"['g' || n_regionkey, 'a' || floor({b} / 20)::INT]"
+    tokens = f"CASE WHEN {b} % 5 = 0 THEN {words}[2:2] ELSE {words} END" if prefix == "s" else words
+    return f"""SELECT '{prefix}' || {key} AS id, {tokens} AS tokens, CASE WHEN {b} >= 0 THEN strftime(DATE '1990-01-01' + ({b} % 600), '%Y-%m-%d') ELSE '' END AS birth,
+    CASE WHEN {b} % 7 > 0 THEN {prefix}_nationkey END AS club FROM {name} JOIN nation ON n_nationkey = {prefix}_nationkey"""
+
+
+PEOPLE = f"""
+    WITH l AS ({_people_sql("customer", "c", "c_custkey")}), r AS ({_people_sql("supplier", "s", "s_suppkey")}),
+    x AS (SELECT l.id AS left_id, r.id AS right_id, l.birth AS lb, r.birth AS rb, coalesce(l.club = r.club, false) AS same_club, list_has_all(l.tokens, r.tokens) OR list_has_all(r.tokens, l.tokens) AS named,
+    l.birth <> '' AND l.birth = r.birth AS born FROM l, r WHERE list_has_any(l.tokens, r.tokens) OR (l.birth = r.birth AND l.birth <> '')),
+    t AS (SELECT *, CASE WHEN same_club AND named THEN 0 WHEN same_club AND born THEN 1 WHEN named THEN 2 END AS tier FROM x),
+    c AS (SELECT * FROM (SELECT *, min(tier) OVER (PARTITION BY left_id) AS best FROM t WHERE tier IS NOT NULL) WHERE tier = best OR (best = 2 AND named)),
+"""
+
+
+@query("tier_candidates", PEOPLE.rstrip().rstrip(",") + " SELECT left_id, right_id, CASE tier WHEN 0 THEN 'club' WHEN 1 THEN 'club-fecha' ELSE 'global' END AS scope FROM c")
+def tier_candidates(spark, sf_dir):
+    left, right = people(spark, sf_dir)
+    return resolve.candidates(left, right.where("club is not null"), right)
+
+
+RESOLVED = (
+    PEOPLE
+    + """
+    one AS (SELECT left_id, min(right_id) AS right_id FROM c WHERE born GROUP BY left_id HAVING count(*) = 1),
+    own AS (SELECT right_id, min(left_id) AS owner FROM one GROUP BY right_id HAVING count(*) = 1)
+"""
+)
+
+
+@query("reserved_by_date", RESOLVED + " SELECT right_id, owner FROM own")
+def reserved_by_date(spark, sf_dir):
+    left, right = people(spark, sf_dir)
+    pairs = resolve.candidates(left, right.where("club is not null"), right)
+    births = lambda df, i, b: df.select(F.col("id").alias(i), F.col("birth_date").alias(b))
+    dated = pairs.join(births(left, "left_id", "lb"), "left_id").join(births(right, "right_id", "rb"), "right_id")
+    return resolve.reserved(dated.withColumn("confirmed", S.birth_matches(F.col("lb"), F.col("rb"))))
+
+
+@query(
+    "verdicts",
+    RESOLVED
+    + """,
+    m AS (SELECT one.* FROM one JOIN own ON one.right_id = own.right_id AND owner = left_id),
+    k AS (SELECT c.* FROM c LEFT JOIN m ON m.left_id = c.left_id LEFT JOIN own ON own.right_id = c.right_id
+    WHERE CASE WHEN m.left_id IS NOT NULL THEN c.right_id = m.right_id ELSE owner IS NULL OR owner = c.left_id END),
+    s AS (SELECT *, count(*) OVER (PARTITION BY right_id) AS suitors FROM k),
+    g AS (SELECT left_id, min(tier) AS tier, max(suitors) AS suitors, count(*) AS n, count_if(born) AS nb, min(right_id) AS one_id, min(right_id) FILTER (born) AS ob,
+    bool_or(lb = '' OR rb = '' OR lb = rb) AS agree, bool_or(lb = '' OR rb = '') AS missing FROM s GROUP BY left_id),
+    v AS (SELECT l.id AS left_id, g.*, CASE WHEN n IS NULL THEN 'sin-candidato' WHEN suitors > 1 THEN 'candidato-compartido' WHEN tier = 0 AND n > 1 THEN 'varios-en-club' WHEN tier = 0 AND agree THEN ''
+    WHEN tier = 0 THEN 'fecha-discrepante' WHEN tier = 1 AND n = 1 THEN '' WHEN tier = 1 THEN 'varios-misma-fecha' WHEN nb = 1 THEN '' WHEN nb > 1 THEN 'varios-misma-fecha' WHEN n > 1 THEN 'varios-candidatos'
+    WHEN missing THEN 'sin-fecha-que-verificar' ELSE 'fecha-discrepante' END AS motivo FROM l LEFT JOIN g ON g.left_id = l.id)
+    SELECT left_id, CASE WHEN motivo = '' THEN CASE WHEN tier = 2 THEN ob ELSE one_id END END AS right_id, motivo FROM v
+    """,
+)
+def verdicts(spark, sf_dir):
+    left, right = people(spark, sf_dir)
+    pairs = resolve.candidates(left, right.where("club is not null"), right)
+    return resolve.resolve(left, right, pairs)[0]
+
+
+DECISIONS = "CASE o_orderpriority WHEN '1-URGENT' THEN 'y' WHEN '2-HIGH' THEN 'skip' WHEN '3-MEDIUM' THEN o_custkey::VARCHAR || '7' WHEN '5-LOW' THEN CASE WHEN o_orderstatus = 'P' THEN '?' ELSE '' END ELSE '' END"
+
+
+@query(
+    "decision_classes",
+    f"""
+    WITH d AS (SELECT o_custkey || '-' || year(o_orderdate) AS left_id, CASE WHEN o_orderstatus = 'F' THEN '' ELSE o_orderkey::VARCHAR END AS right_id, {DECISIONS} AS decision FROM orders),
+    m AS (SELECT *, CASE WHEN decision IN ('y', '1') THEN 'yes' WHEN decision = 'skip' THEN 'skip' WHEN decision = '?' THEN 'unknown' ELSE 'id' END AS kind FROM d WHERE decision <> ''),
+    g AS (SELECT left_id, count_if(kind = 'unknown') AS u, count_if(kind = 'yes') AS y, count_if(kind = 'id') AS i, count_if(kind = 'skip') AS s, max(right_id) FILTER (kind = 'yes') AS yr, max(decision) FILTER (kind = 'id') AS ir,
+    max(right_id) FILTER (kind = 'id') AS iro FROM m GROUP BY left_id),
+    t AS (SELECT *, CASE WHEN y + i = 1 THEN CASE WHEN y = 1 THEN yr ELSE ir END END AS target FROM g),
+    p AS (SELECT *, CASE WHEN u > 0 THEN 'token-no-reconocido' WHEN y + i > 0 AND s > 0 THEN 'y-con-skip' WHEN y + i > 1 THEN 'varios-y' WHEN y = 1 AND target = '' THEN 'y-sin-candidato'
+    WHEN i = 1 AND iro <> '' THEN 'id-en-fila-con-candidato' END AS problem FROM t),
+    r AS (SELECT *, CASE WHEN problem IS NULL AND target IS NOT NULL THEN row_number() OVER (PARTITION BY problem IS NULL AND target IS NOT NULL, target ORDER BY left_id) END AS turn FROM p)
+    SELECT left_id, CASE WHEN target IS NOT NULL THEN 'yes' ELSE 'skip' END AS action, target AS right_id FROM r WHERE problem IS NULL AND coalesce(turn, 1) = 1
+    """,
+)
+def decision_classes(spark, sf_dir):
+    p = F.col("o_orderpriority")
+    decision = F.when(p == "1-URGENT", "y").when(p == "2-HIGH", "skip").when(p == "3-MEDIUM", F.concat(F.col("o_custkey").cast("string"), F.lit("7"))).when((p == "5-LOW") & (F.col("o_orderstatus") == "P"), "?").otherwise("")
+    review = table(spark, sf_dir, "orders").select(
+        F.concat_ws("-", F.col("o_custkey").cast("string"), F.year("o_orderdate").cast("string")).alias("left_id"), F.when(F.col("o_orderstatus") == "F", "").otherwise(F.col("o_orderkey").cast("string")).alias("right_id"), decision.alias("decision")
+    )
+    return resolve.classify_decisions(review, spark.createDataFrame([], "right_id string"))[0]
+
+
+@query(
+    "next_canonical_id",
+    f"""
+    WITH o AS (SELECT o_custkey, {ORDER_SEASON} AS season FROM orders), fresh AS (SELECT DISTINCT o_custkey AS custkey FROM o WHERE season = 1996 AND o_custkey NOT IN (SELECT o_custkey FROM o WHERE season < 1996))
+    SELECT custkey, 'p' || lpad(((SELECT max(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY custkey))::VARCHAR, 5, '0') AS canonical_id FROM fresh
+    """,
+)
+def next_canonical_id(spark, sf_dir):
+    mapping = table(spark, sf_dir, "supplier").select(S.canonical_id("p", F.col("s_suppkey"), 5).alias("canonical_id"))
+    return resolve.numbered(newcomers_by_season(spark, sf_dir), mapping, "p", 5, ["custkey"])
+
+
+@query(
+    "restamp_changed",
+    """
+    SELECT c_nationkey::VARCHAR AS nation, c_custkey, CASE WHEN c_acctbal >= 0 THEN 'p' || c_custkey ELSE '' END AS canonical_id FROM customer
+    """,
+)
+def restamp_changed(spark, sf_dir):
+    store = CuratedStore(spark, scratch(spark))
+    customers = table(spark, sf_dir, "customer")
+    store.write_partitioned("stamped", customers.select("c_custkey", F.lit("").alias("canonical_id"), F.col("c_nationkey").cast("string").alias("nation")), ["nation"])
+    mapping = customers.where("c_acctbal >= 0").select(F.col("c_custkey").alias("id"), F.concat(F.lit("p"), F.col("c_custkey").cast("string")).alias("canonical_id"))
+    store.restamp("stamped", mapping, "c_custkey", "id", ["nation"])
+    return store.read_table("stamped").select("nation", "c_custkey", "canonical_id")
+
+
+# --- derived analytics ---------------------------------------------------------------------------------------------
+
+
+@query(
+    "tracked_fixtures",
+    f"""
+    WITH e AS (SELECT l_orderkey AS event_id, {SEASON.format("l_shipdate")} AS season, l_suppkey AS home_team_id, l_partkey AS away_team_id, l_linenumber FROM lineitem WHERE l_linenumber <= 2
+    QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_suppkey DESC, l_partkey DESC, season DESC) = 1),
+    k AS (SELECT s_suppkey AS team_id, season FROM supplier, (SELECT DISTINCT season FROM e) WHERE s_acctbal > 5000),
+    t AS (SELECT * FROM e WHERE EXISTS (FROM k WHERE k.season = e.season AND (k.team_id = e.home_team_id OR k.team_id = e.away_team_id)))
+    SELECT event_id, season, home_team_id, away_team_id FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY l_linenumber DESC) AS r FROM t) WHERE r = 1
+    """,
+)
+def tracked_fixtures(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    events = lambda n: lines.where(F.col("l_linenumber") == n).select(F.col("l_orderkey").alias("event_id"), S.season_of(F.col("l_shipdate")).alias("season"), F.col("l_suppkey").alias("home_team_id"), F.col("l_partkey").alias("away_team_id"))
+    last = lambda n: algebra.latest_per_key(events(n), ["event_id"], [F.col("home_team_id"), F.col("away_team_id"), F.col("season")])
+    years = lines.select(S.season_of(F.col("l_shipdate")).alias("season")).distinct().groupBy().agg(F.collect_set("season").alias("s"))
+    teams = table(spark, sf_dir, "supplier").where("s_acctbal > 5000").select(F.col("s_suppkey").alias("team_id")).join(F.broadcast(years)).select("team_id", F.explode("s").alias("season"))
+    # a match whose cup record is untracked still has its league record
+    return analytics.fixtures(last(1), last(2), teams)
+
+
+@query(
+    "calendar_density",
+    "SELECT o_orderkey, date_diff('day', lag(d) OVER (PARTITION BY o_custkey ORDER BY d, o_orderkey), d)::INT AS days_since FROM (SELECT o_orderkey, o_custkey, o_orderdate::DATE AS d FROM orders)",
+)
+def calendar_density(spark, sf_dir):
+    from pyspark.sql import Window
+
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("d"))
+    before = F.lag("d").over(Window.partitionBy("o_custkey").orderBy("d", "o_orderkey"))
+    return orders.select("o_orderkey", F.date_diff("d", before).alias("days_since"))
+
+
+@query(
+    "capped_pending",
+    "SELECT c_custkey, (SELECT count(*) FROM customer WHERE c_acctbal < 0) - 20 AS deferred FROM (SELECT c_custkey FROM customer WHERE c_acctbal < 0 ORDER BY c_custkey LIMIT 20)",
+)
+def capped_pending(spark, sf_dir):
+    pending = table(spark, sf_dir, "customer").where("c_acctbal < 0").select("c_custkey")
+    first, deferred = algebra.capped(pending, [F.col("c_custkey")], 20)
+    return first.join(F.broadcast(deferred))  # one row
+
+
+@query(
+    "form_last5",
+    "SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), 4) AS form FROM events",
+)
+def form_last5(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    return analytics.form(events, ["user_id"], ["ts", "event_id"], "value", 5).select("event_id", F.round("form", 4).alias("form"))
+
+
+@query(
+    "start_streaks",
+    """
+    WITH b AS (SELECT *, event_type = 'click' AS f, sum((event_type <> 'click')::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM events)
+    SELECT event_id, (sum(f::INT) OVER (PARTITION BY user_id, run ORDER BY ts, event_id))::BIGINT AS streak FROM b
+    """,
+)
+def start_streaks(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", (F.col("event_type") == "click").alias("f"))
+    return analytics.streaks(events, ["user_id"], ["ts", "event_id"], "f").select("event_id", "streak")
+
+
+@query(
+    "injured_days_12m",
+    """
+    WITH s AS (SELECT o_custkey AS key, o_orderdate::DATE AS a, o_orderdate::DATE + 9 AS b FROM orders WHERE o_orderstatus = 'F'), d AS (SELECT DISTINCT o_custkey AS key, o_orderdate::DATE AS day FROM orders WHERE o_orderstatus = 'O')
+    SELECT d.key AS key, day, coalesce(sum(CASE WHEN a IS NOT NULL THEN greatest(date_diff('day', greatest(a, day - 365), least(b, day - 1)) + 1, 0) END), 0)::BIGINT AS days FROM d LEFT JOIN s ON s.key = d.key GROUP BY ALL
+    """,
+)
+def injured_days_12m(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), F.to_date("o_orderdate").alias("day"), "o_orderstatus")
+    spells = orders.where("o_orderstatus = 'F'").select("key", F.col("day").alias("from_date"), F.date_add("day", 9).alias("until_date"))
+    return analytics.days_within(spells, orders.where("o_orderstatus = 'O'").select("key", "day"), 365)
+
+
+@query(
+    "movers_7d",
+    """
+    WITH d AS (SELECT user_id, ts::DATE AS day, max(value) AS price FROM events GROUP BY ALL)
+    SELECT user_id, day, round(price - (SELECT arg_max(e.price, e.day) FROM d e WHERE e.user_id = d.user_id AND e.day <= d.day - 7), 4) AS change FROM d
+    """,
+)
+def movers_7d(spark, sf_dir):
+    daily = table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.max("value").alias("price"))
+    return analytics.movers(daily, "user_id", "day", "price", 7).select("user_id", "day", F.round("change", 4).alias("change"))
+
+
+@query(
+    "value_picks",
+    "SELECT p_brand, p_partkey, place FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_size / (p_retailprice / 1e6) DESC, p_partkey) AS place FROM part) WHERE place <= 5",
+)
+def value_picks(spark, sf_dir):
+    return analytics.value_picks(table(spark, sf_dir, "part"), "p_brand", "p_size", "p_retailprice", "p_partkey", 5).select("p_brand", "p_partkey", F.col("place").cast("long").alias("place"))
+
+
+@query(
+    "projection_mae",
+    """
+    WITH f AS (SELECT event_type, value, avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS p FROM events)
+    SELECT event_type, round(avg(abs(p - value)), 4) AS mae, count(*) AS n FROM f WHERE p IS NOT NULL GROUP BY event_type
+    """,
+)
+def projection_mae(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts", "value")
+    projected = analytics.form(events, ["user_id"], ["ts", "event_id"], "value", 5).where("form is not null").select("event_id", "event_type", F.col("form").alias("projected"))
+    found = analytics.projection_error(projected, events.select("event_id", F.col("value").alias("actual")), ["event_id"], ["event_type"])
+    return found.withColumn("mae", F.round("mae", 4))
+
+
+@query("league_level", "SELECT n_regionkey, round(avg(v), 4) AS level FROM (SELECT n_regionkey, n_nationkey, sum(s_acctbal) AS v FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL) GROUP BY n_regionkey")
+def league_level(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    values = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).groupBy("n_regionkey", "n_nationkey").agg(F.sum("s_acctbal").alias("squad_value"))
+    return analytics.league_level(values, ["n_regionkey"]).withColumn("level", F.round("level", 4))
+
+
+@query(
+    "league_coefficients",
+    """
+    WITH t AS (SELECT l_suppkey AS league, l_returnflag AS tier, l_quantity AS minutes, l_discount AS before, l_tax AS after FROM lineitem),
+    g AS (SELECT league, tier, sum(after * minutes) AS a, sum(before * minutes) AS b, count(*) AS n FROM t GROUP BY ALL), r AS (SELECT tier, sum(a) / sum(b) AS ratio FROM g GROUP BY tier)
+    SELECT league, tier, n, round((coalesce(a / nullif(b, 0), 0) * n + 10 * ratio) / (n + 10), 6) AS coefficient FROM g JOIN r USING (tier)
+    """,
+)
+def league_coefficients(spark, sf_dir):
+    moves = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("league"), F.col("l_returnflag").alias("tier"), F.col("l_quantity").alias("minutes"), F.col("l_discount").alias("before"), F.col("l_tax").alias("after"))
+    return analytics.league_coefficients(moves).withColumn("coefficient", F.round("coefficient", 6))
+
+
+@query("points_regression", "SELECT p_brand, round(regr_slope(p_retailprice, p_size), 4) AS slope, round(regr_intercept(p_retailprice, p_size), 4) AS intercept FROM part GROUP BY p_brand")
+def points_regression(spark, sf_dir):
+    found = analytics.regression(table(spark, sf_dir, "part"), ["p_brand"], "p_retailprice", "p_size")
+    return found.select("p_brand", F.round("slope", 4).alias("slope"), F.round("intercept", 4).alias("intercept"))
+
+
+# --- streaming -------------------------------------------------------------------------------------------------------
+
+
+@query(
+    "incremental_equals_batch",
+    "SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1",
+)
+def incremental_equals_batch(spark, sf_dir):
+    """The latest event of each key, kept up to date by a file stream instead of read in one go."""
+    base = scratch(spark)
+    store = CuratedStore(spark, base)
+    source = table(spark, sf_dir, "events")
+    stream = incremental.new_files(spark, f"{sf_dir}/event[s].parquet", source.schema)
+    rows = stream.select("user_id", "event_type", "event_id", F.struct("ts", "event_id").alias("order"))
+    incremental.run_available(rows, f"{base}/checkpoint", incremental.latest_upsert(store, "latest", ["user_id", "event_type"], "order", {"part": "all"}))
+    return store.read_partition("latest", {"part": "all"}).select("user_id", "event_type", "event_id")
+
+
+@query("windowed_counts", "SELECT date_trunc('day', ts)::TIMESTAMP AS begin, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL")
+def windowed_counts(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    found = incremental.windowed_counts(events)
+    return found.select(F.col("begin").cast("timestamp_ntz").alias("begin"), "event_type", "n", F.round("total", 2).alias("total"))
