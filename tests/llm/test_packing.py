@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -12,15 +13,20 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 PATH = str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
-def plain(text):
+@lru_cache(1)
+def tokenizer():
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+    found = Tokenizer.from_file(PATH)
+    found.encode_special_tokens = True
+    return found
+
+
+def plain(text):
+    return [*tokenizer().encode(text or "", add_special_tokens=False).ids, 0]
 
 
-TEXTS = [None, "", " ", "one two", " lead", "trail ", "two  spaces", "tab\t next", "line\nnext one\n two", "<|endoftext|> it's <|endoftext|>", "né à 12 3.5 日本 語", "a b  c\x1c d", "x " * 5000, "word " * 2047 + "word", "don't 're a's 's t's"]
+TEXTS = [None, "", " ", "one two", " lead", "trail ", "two  spaces", "tab\t next", "line\nnext one\n two", "<|endoftext|> it's <|endoftext|>", "né à 12 3.5 日本 語", "a b  c\x1c d", "x " * 5000, "word " * 2047 + "word", "don't 're a's 's t's", "Simple. Text,\nwith lines.\nAnd more, end.", "a.. b,. c_. d", "x .y\n.z ,w", "a\tb c", "\n", "a\n\nb", "é\u00a0ü ñ.", "Ⅷ. ²,³ ½", ".", ", a"]
 
 
 def check(rows, texts, capacity):
@@ -53,6 +59,19 @@ def test_round_trip(spark):
     check(packing.pack_documents(df, PATH).collect(), texts, 2048)
 
 
+def test_engines_agree():
+    rng = random.Random(6)
+    encoder = packing.Encoder(PATH)
+    signs = "abcdefghijklmnopqrstuvwxyzABCDEFG0123456789 \n  .,;:!?'\"-_#$%&*()/éñüßçÀØ¿½³ªſĐ"
+    for k in range(400):
+        text = "".join(rng.choice(signs[:26] if rng.random() < 0.7 else signs) for _ in range(rng.randint(0, 300)))
+        if k % 4 == 0:
+            text = text.replace("a", "'s ").replace("b", "'ll").replace("c", " \n")
+        assert encoder.encode(text) == np.array(plain(text)[:-1], "<u4").tobytes()
+    for text in ("x" * 30_000, " " * 5_000, "a\n\n\n\nb", " \n" * 3_000, "é" * 2_001):
+        assert encoder.encode(text) == np.array(plain(text)[:-1], "<u4").tobytes()
+
+
 def test_few_sequences_over_many_lots(spark, monkeypatch):
     monkeypatch.setattr(packing, "LOT", 40)
     rng = random.Random(3)
