@@ -12,7 +12,7 @@ from canonlake.llm import quality_classifier as classifier
 from canonlake.llm import quality_rules as quality
 from canonlake.llm import secret_scan as secrets
 from canonlake.llm import sharding
-from canonlake.llm import simhash
+from canonlake.llm import simhash, suffix_dedup
 from canonlake.llm import toxicity
 from canonlake.llm.common import UPPER, LOWER, new_path
 
@@ -169,3 +169,8 @@ def op9_toxicity(spark, sf_dir):
     allowed = lambda i: _remainder(i, 3) != 1
     out = toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), allowed, "doc_id", "text", "toxic")
     return out.select("doc_id", (_remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
