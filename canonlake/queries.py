@@ -378,9 +378,9 @@ def minutes_crosscheck(spark, sf_dir):
     return report.withColumn("share", F.round("share", 6))
 
 
-@query("coverage_gaps", "SELECT 'part' AS kind, p_partkey::VARCHAR AS id, 'part ' || p_partkey || ' has no mapping' AS message FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')")
+@query("coverage_gaps", "SELECT 'part' AS kind, p_partkey::VARCHAR AS id, 'part ' || p_partkey || ' has no mapping' AS message FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 50)")
 def coverage_gaps(spark, sf_dir):
-    mapped = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_partkey").alias("id"))
+    mapped = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R' and l_quantity >= 50").select(F.col("l_partkey").alias("id"))
     return analytics.coverage_gaps(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id")), mapped, "part")
 
 
@@ -600,7 +600,7 @@ def calendar_density(spark, sf_dir):
 
 @query(
     "capped_pending",
-    "SELECT c_custkey, (SELECT count(*) FROM customer WHERE c_acctbal < 0) - 20 AS deferred FROM (SELECT c_custkey FROM customer WHERE c_acctbal < 0 ORDER BY c_custkey LIMIT 20)",
+    "SELECT c_custkey, greatest((SELECT count(*) FROM customer WHERE c_acctbal < 0) - 20, 0) AS deferred FROM (SELECT c_custkey FROM customer WHERE c_acctbal < 0 ORDER BY c_custkey LIMIT 20)",
 )
 def capped_pending(spark, sf_dir):
     pending = table(spark, sf_dir, "customer").where("c_acctbal < 0").select("c_custkey")
