@@ -68,15 +68,15 @@ def parsed(payloads: DataFrame, contract: str) -> tuple[DataFrame, DataFrame]:
 
 
 def squad(good: DataFrame) -> DataFrame:
-    """Players of a competition payload without coaches; the object of objects becomes rows."""
-    rows = good.select(*[c for c in good.columns if c != "j"], F.explode(F.map_values("j.data.players")).alias("p"))
+    """Players of a competition payload without coaches; the object of objects becomes rows. The payload's own name is dropped."""
+    rows = good.select(*[c for c in good.columns if c not in ("j", "name")], F.explode(F.map_values("j.data.players")).alias("p"))
     snake = {"teamID": "team_id", "priceIncrement": "price_increment", "fantasyPrice": "fantasy_price", "pointsHome": "points_home", "pointsAway": "points_away", "playedHome": "played_home", "playedAway": "played_away", "pointsLastSeason": "points_last_season"}
     flat = rows.select(*[c for c in rows.columns if c != "p"], "p.*")
     return flat.withColumnsRenamed(snake).where(~F.col("position").eqNullSafe(F.lit(COACH)))
 
 
 def teams(good: DataFrame) -> DataFrame:
-    rows = good.select(*[c for c in good.columns if c != "j"], F.explode(F.map_values("j.data.teams")).alias("t"))
+    rows = good.select(*[c for c in good.columns if c not in ("j", "name")], F.explode(F.map_values("j.data.teams")).alias("t"))
     return rows.select(*[c for c in rows.columns if c != "t"], "t.*")
 
 

@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -200,20 +200,17 @@ def parse_pages(pages: DataFrame, kind: str) -> DataFrame:
     A page that breaks its contract gives one row with ``error``, for callers to fail on or to count; null pages too.
     """
     parser, columns = PAGES[kind]
-    names = [c.split()[0] for c in columns.split(", ")]
+    types = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
+    schema = pa.schema([("page", pa.string()), ("error", pa.string()), *((c.split()[0], types[c.split()[1]]) for c in columns.split(", "))])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for page, html in zip(batch["page"], batch["html"]):
+            for page, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 try:
-                    out += [{"page": page, "error": None, **r} for r in parser(html or "")]
+                    out += [{"page": page, **r} for r in parser(html or "")]
                 except FormatError as e:
                     out.append({"page": page, "error": str(e)})
-            frame = pd.DataFrame(out, columns=["page", "error", *names])
-            for c in columns.split(", "):
-                if c.split()[1] in ("long", "int"):
-                    frame[c.split()[0]] = frame[c.split()[0]].astype("Int64")
-            yield frame
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-    return pages.select("page", "html").mapInPandas(run, f"page string, error string, {columns}")
+    return pages.select("page", "html").mapInArrow(run, f"page string, error string, {columns}")
