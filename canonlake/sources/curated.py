@@ -20,7 +20,7 @@ class CuratedStore:
     """
 
     def __init__(self, spark: SparkSession, base: str):
-        self.spark, self.base = spark, base_uri(base)
+        self.spark, self.base, self._stages = spark, base_uri(base), []
 
     def path(self, table: str, partition: dict[str, str] | None = None) -> str:
         steps = "".join(f"/{k}={v}" for k, v in (partition or {}).items())
@@ -63,6 +63,19 @@ class CuratedStore:
         found = self.read_partition(table, partition)
         return set() if found is None else {r[0] for r in algebra.distinct_values(found, column).toLocalIterator()}
 
+    def staged(self, df: DataFrame) -> DataFrame:
+        """``df`` written once beside the tables and read back: what follows starts from rows, not from a long plan. ``sweep`` removes it."""
+        path = f"{self.base}/curated/_staging-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        self._stages.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def sweep(self) -> None:
+        for path in self._stages:
+            where, files = self._at(path)
+            files.delete(where, True)
+        self._stages.clear()
+
     def _swap(self, df: DataFrame, target: str) -> None:
         """Stages ``df``, moves ``target`` aside, puts the new rows in its place, then drops the old ones."""
         staging = f"{self.base}/curated/_staging-{uuid.uuid4().hex}"
