@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +37,23 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def lookup(df: DataFrame, label: str, rows: int = 100_000) -> DataFrame:
+    """A staged table that is broadcast into joins if it has at most ``rows`` rows, by count. A larger one is joined by
+    its key as Spark sees fit, with skewed keys of the other side split."""
+    table = staged(df, label)
+    return F.broadcast(table) if table.count() <= rows else table
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete shuffle files that nothing refers to any more: its cleaner learns of them only when the driver
+    collects garbage, which may be long after a large intermediate result was staged. Python's references to the
+    JVM's objects go in a first round, the objects in a second."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def lower_az(text: Column) -> Column:
     """Lower-case A-Z alone; ``lower`` does just that where every character is one byte."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

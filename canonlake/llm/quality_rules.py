@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canonlake.llm.common import SPACES, let, staged
+from canonlake.llm.common import SPACES, let, lookup, staged
 
 #: The smallest standard deviation that a statistic counts with, so that a statistic that hardly varies
 #: (symbols, say) rejects no document for a trace of it.
@@ -87,25 +87,25 @@ def fit_groups(stats: DataFrame, share: float = 0.75, steps: int = 4) -> DataFra
     The start is the coordinate-wise median and median deviation. A concentration step takes the ``share`` of a
     group's documents nearest to the estimate and estimates anew from them; the determinant never grows from
     step to step. Everything is grouped aggregation with partial sums, so a group with a third of all rows
-    is no hot spot; estimates never reach the driver.
+    is no hot spot; estimates are tables of a row a group, broadcast if counted small, and never reach the driver.
     """
     n = len(FEATURES)
     median = lambda c: F.percentile_approx(c, 0.5, F.lit(10000))
-    centre = staged(stats.groupBy("grp").agg(*[median(F.col(f)).alias(f"m{i}") for i, f in enumerate(FEATURES)]), "mcd-centre")
+    centre = lookup(stats.groupBy("grp").agg(*[median(F.col(f)).alias(f"m{i}") for i, f in enumerate(FEATURES)]), "mcd-centre")
     spread = stats.join(centre, "grp").groupBy("grp").agg(*[F.first(f"m{i}").alias(f"m{i}") for i in range(n)], *[median(F.abs(F.col(f) - F.col(f"m{i}"))).alias(f"d{i}") for i, f in enumerate(FEATURES)])
     start = spread.withColumns({f"c{i}_{j}": F.pow(1.4826 * F.col(f"d{i}"), 2) if i == j else F.lit(0.0) for i in range(n) for j in range(i + 1)})
-    fitted = staged(_factored(start), "mcd-start")
+    fitted = lookup(_factored(start), "mcd-start")
     for step in range(steps):
         measured = stats.join(fitted, "grp").withColumn("d2", _distance(fitted)).select("grp", "d2", *FEATURES)
-        limits = staged(measured.groupBy("grp").agg(F.percentile_approx("d2", share, F.lit(10000)).alias("limit")), f"mcd-limit{step}")
+        limits = lookup(measured.groupBy("grp").agg(F.percentile_approx("d2", share, F.lit(10000)).alias("limit")), f"mcd-limit{step}")
         near = measured.join(limits, "grp").where("d2 <= limit")
         moments = near.groupBy("grp").agg(
             *[F.avg(f).alias(f"m{i}") for i, f in enumerate(FEATURES)],
             *[F.covar_pop(FEATURES[i], FEATURES[j]).alias(f"c{i}_{j}") for i in range(n) for j in range(i + 1)],
         )
-        fitted = staged(_factored(moments), f"mcd-step{step}")
+        fitted = lookup(_factored(moments), f"mcd-step{step}")
     scale = stats.join(fitted, "grp").withColumn("d2", _distance(fitted)).groupBy("grp").agg((median(F.col("d2")) / CHI2_MEDIAN).alias("scale"))
-    return staged(fitted.join(scale.withColumn("scale", F.greatest("scale", F.lit(1.0))), "grp"), "mcd")
+    return lookup(fitted.join(scale.withColumn("scale", F.greatest("scale", F.lit(1.0))), "grp"), "mcd")
 
 
 def quality_rules(
@@ -148,10 +148,10 @@ def quality_rules(
     )
     stats = staged(stats, "text-stats")
     sizes = stats.where(~F.col("base_failed")).groupBy("narrow").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= min_group)
-    grouped = stats.join(staged(sizes, "group-sizes"), "narrow", "left").withColumn("grp", F.when(F.col("size").isNull(), F.concat(F.lit("*"), "wide")).otherwise(F.col("narrow"))).drop("size")
+    grouped = stats.join(lookup(sizes, "group-sizes"), "narrow", "left").withColumn("grp", F.when(F.col("size").isNull(), F.concat(F.lit("*"), "wide")).otherwise(F.col("narrow"))).drop("size")
     fitted = fit_groups(grouped.where(~F.col("base_failed")).select("grp", *FEATURES))
     enough = staged(grouped.where(~F.col("base_failed")).groupBy("grp").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= min_group).select("grp"), "groups")
-    judged = grouped.join(fitted.join(enough, "grp"), "grp", "left").withColumn("distance", _distance(fitted) / F.col("scale"))
+    judged = grouped.join(lookup(fitted.join(enough, "grp"), "fitted-groups"), "grp", "left").withColumn("distance", _distance(fitted) / F.col("scale"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
     return judged.select(
         F.col("__id").alias(id_col), "row", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", *FEATURES, "base_failed", "distance", kept.alias("kept")
