@@ -30,8 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession) -> str:
     """A new folder for a query's own tables: in the folder that all executors share, or a temporary one where none is set."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="canonlake-")
-    base = shared if "://" in shared or shared.startswith("file:") else f"file://{shared}"
-    return f"{base.replace('file:/', 'file:///', 1) if base.startswith('file:/') and not base.startswith('file://') else base}/canonlake-{uuid.uuid4().hex}"
+    return f"{shared if ':' in shared else f'file://{shared}'}/canonlake-{uuid.uuid4().hex}"
 
 
 def query(name: str, sql: str | None = None):

@@ -14,15 +14,17 @@ DOWNLOADED = "fecha_descarga"
 
 
 def base_uri(uri: str) -> str:
-    """A validated base: ``file://`` paths and ``s3://bucket/prefix``, the latter read through s3a."""
+    """A validated base: ``file:`` paths, ``s3://bucket/prefix``, read through s3a, and the cluster's own file systems."""
     parsed = urlparse(uri)
     if parsed.scheme == "file":
-        return uri.rstrip("/")
+        return f"file://{parsed.path}".rstrip("/")
     if parsed.scheme in ("s3", "s3a"):
         if not parsed.netloc:
             raise ValueError(f"no bucket in {uri}")
         return f"s3a://{parsed.netloc}{parsed.path}".rstrip("/")
-    raise ValueError(f"unknown scheme in {uri}: file:// and s3:// are supported")
+    if parsed.scheme in ("hdfs", "viewfs"):
+        return uri.rstrip("/")
+    raise ValueError(f"unknown scheme in {uri}: file, s3, hdfs and viewfs are supported")
 
 
 class RawStore:
