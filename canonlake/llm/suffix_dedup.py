@@ -3,25 +3,31 @@
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canonlake.llm.common import staged
+from canonlake.llm.common import lookup, release, staged
 
 #: Bytes of a string that counts, and of the grams of which the least hash names the string's bucket.
-LENGTH, GRAM = 50, 16
+LENGTH, GRAM = 50, 24
 #: Bytes of text that are hashed at a time, of a shard's transform, and of the shards that are merged together.
-CHUNK, SHARD, LOT = 1 << 20, 1 << 20, 1 << 22
+CHUNK, SHARD, LOT = 1 << 20, 1 << 17, 1 << 20
 #: Buckets met more often than this are split by a longer gram of 48 bytes.
 CROWD, LONG_GRAM = 4096, 48
+#: Bytes that a string must share with another of its lot before a transform is built over it.
+MIDDLE_GRAM = 32
 #: Bits of the filter that spares most unshared buckets a shuffle; its size is fixed and it decides nothing.
 FILTER = 1 << 28
 #: A byte that UTF-8 never has ends each fragment.
 END = 0xFF
+#: A place of a fragment: its id, the tag of its text, and where it starts; by the size of ids, which a byte before tells,
+#: so that bytes sort as ids do: negative ones, shifted, those of 32 bits, and larger ones.
+PLACES, SHIFT = (struct.Struct(">QiI"), struct.Struct(">IiI"), struct.Struct(">QiI")), 1 << 63
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -87,28 +93,32 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
 
 
 def _buckets(used=None):
-    """For each text its hash and its buckets, or those that the filter knows."""
+    """For each text its id, its mark and its buckets, each once, or those that the filter knows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = used and np.unpackbits(used.value, bitorder="little").view(bool)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(2).to_pylist()
             for begin, end in _chunks(texts):
                 text, _, _, bucket = runs(texts[begin:end])
-                if known is not None:
-                    keep = known[(bucket % np.uint64(FILTER)).astype(np.int64)]
+                if used:
+                    bit = (bucket % np.uint64(FILTER)).astype(np.int64)
+                    keep = (used.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).view(bool)
                     text, bucket = text[keep], bucket[keep]
+                order = np.lexsort((bucket, text))
+                text, bucket = text[order], bucket[order]
+                once = np.r_[True, (text[1:] != text[:-1]) | (bucket[1:] != bucket[:-1])][: len(text)]
+                text, bucket = text[once], bucket[once]
                 ends = np.cumsum(np.bincount(text, minlength=end - begin))
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(bucket.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, end - begin), lists], names=["h1", "buckets"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(begin, end - begin) for k in (0, 1)), lists], names=["id", "mark", "buckets"])
 
     return run
 
 
 def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs in shared buckets, as (bucket, fragment, least id, ids, hashes, starts); equal ones of a batch in one row."""
+    """Runs in shared buckets, as (bucket, the fragment, its end and its places, the least id first). Equal fragments of a chunk share a row."""
     for batch in batches:
-        ids, hashes, texts = (batch.column(k).to_pylist() for k in range(3))
+        ids, tags, texts = (batch.column(k).to_pylist() for k in range(3))
         plain, crowded = (batch.column(k) for k in (3, 4))
         for begin, end in _chunks(texts):
             found: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
@@ -117,7 +127,7 @@ def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k in range(begin, end):
                 own = slice(cuts[k - begin], cuts[k - begin + 1])
                 b, s, n = bucket[own].view(np.int64), start[own], strings[own]
-                body, place = texts[k], (ids[k], hashes[k])
+                body, place = texts[k], (ids[k], tags[k])
                 keep = np.isin(b, plain[k].values.to_numpy())
                 for key, at, many in zip(b[keep].tolist(), s[keep].tolist(), n[keep].tolist()):
                     found.setdefault((key, body[at : at + many + LENGTH - 1]), []).append((*place, at))
@@ -129,50 +139,59 @@ def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         _, sub, length, finer = runs([part], LONG_GRAM)
                         for fine, a, m in zip(finer.view(np.int64).tolist(), sub.tolist(), length.tolist()):
                             found.setdefault((key ^ fine, part[a : a + m + LENGTH - 1]), []).append((*place, at + a))
-            keys, rows = list(found), list(found.values())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([k[0] for k in keys], pa.int64()),
-                    pa.array([k[1] for k in keys], pa.binary()),
-                    pa.array([min(r)[0] for r in rows], pa.int64()),
-                    pa.array([[x[0] for x in r] for r in rows], pa.list_(pa.int64())),
-                    pa.array([[x[1] for x in r] for r in rows], pa.list_(pa.int64())),
-                    pa.array([[x[2] for x in r] for r in rows], pa.list_(pa.int64())),
-                ],
-                names=["bucket", "fragment", "least", "ids", "hashes", "starts"],
-            )
+            yield _packed(found)
+
+
+def _packed(found: dict[tuple[int, bytes], list[tuple[int, int, int]]]) -> pa.RecordBatch:
+    """Rows of ``_fragments``. Of the bucket 32 bits will do: buckets that fall together are only compared in vain."""
+    buckets, data = [], []
+    for (bucket, fragment), places in found.items():
+        places.sort()
+        low, high = places[0][0], places[-1][0]
+        kinds = (1,) if low >= 0 and high < 1 << 32 else (0, 1, 2)
+        for kind in kinds:
+            own = places if len(kinds) == 1 else [p for p in places if (p[0] >= 0) + (p[0] >= 1 << 32) == kind]
+            if own:
+                pack, shift = PLACES[kind].pack, SHIFT if kind == 0 else 0
+                buckets.append((bucket & 0xFFFFFFFF) - (1 << 31))
+                data.append(b"".join([fragment, bytes((END, kind)), *[pack(i + shift, tag, at) for i, tag, at in own]]))
+    return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(data, pa.binary())], names=["bucket", "data"])
 
 
 def transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, preceding bytes) of a shard: its rotations sorted by 64 bytes or more, by doubling."""
+    """(order, preceding pairs of bytes) of a shard: its rotations sorted by 64 bytes or more, by lengthening sorted prefixes."""
     n = len(text)
     key = np.ndarray((n,), ">u8", np.r_[text, np.resize(text, 7)], strides=(1,)).astype(np.uint64)
     depth = 8
     while True:
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        rank_sorted = np.cumsum(np.r_[0, sorted_key[1:] != sorted_key[:-1]])
-        if depth >= 64 or rank_sorted[-1] == n - 1:
-            return order, text[order - 1]
+        order = np.argsort(key)
+        ordered = key[order]
+        ranks = np.cumsum(np.r_[0, ordered[1:] != ordered[:-1]])
+        if depth >= 64 or ranks[-1] == n - 1:
+            return order, text[order - 2].astype(np.uint16) << 8 | text[order - 1]
         rank = np.empty(n, np.uint64)
-        rank[order] = rank_sorted
-        key = rank << np.uint64(32) | np.roll(rank, -depth)
-        depth *= 2
+        rank[order] = ranks
+        if n <= 1 << 21:  # three ranks fit a key
+            key = rank << np.uint64(42) | np.roll(rank, -depth) << np.uint64(21) | np.roll(rank, -2 * depth)
+            depth *= 3
+        else:
+            key = rank << np.uint64(32) | np.roll(rank, -depth)
+            depth *= 2
 
 
 def merged_classes(shards: list[np.ndarray]) -> list[np.ndarray]:
     """For each place of each shard the class of the 50 bytes from there on, equal over all shards.
 
     The transforms are merged by refining their interleave: at first it is all of one shard after another. A
-    round takes the bytes that precede the suffixes in the order so far and sorts them, stably, which orders by one byte
-    more; after 50 rounds the order is that of the first 50 bytes. No suffix is compared again. Where the byte
-    or the class before it differs from the neighbour's, the common prefix ends and a class begins.
+    round takes the two bytes that precede each suffix in the order so far and sorts them, stably, which orders by two
+    bytes more; after 25 rounds the order is that of the first 50 bytes. No suffix is compared again. Where the
+    bytes or the class before differ from the neighbour's, the common prefix ends and a class begins.
     """
     built = [transform(s) for s in shards]
     bytes_ = np.concatenate([b for _, b in built])
     came = np.repeat(np.arange(len(shards), dtype=np.uint8), [len(s) for s in shards])
     klass = np.zeros(len(bytes_), np.int32)
-    for _ in range(LENGTH):
+    for _ in range(LENGTH // 2):
         by_shard = np.argsort(came, kind="stable")
         preceding = np.empty_like(bytes_)
         preceding[by_shard] = bytes_
@@ -189,46 +208,71 @@ def merged_classes(shards: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
+def _promising(fragments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(fragment, begin, end) of the stretches whose strings begin with 32 bytes that a lot has twice; no other can repeat."""
+    sizes = np.fromiter(map(len, fragments), np.int64, len(fragments))
+    begins = np.cumsum(sizes) - sizes
+    whole = np.frombuffer(b"".join(fragments), np.uint8)
+    owner = np.repeat(np.arange(len(fragments)), sizes - LENGTH + 1)
+    offset = np.arange(len(owner)) - np.repeat(np.cumsum(sizes - LENGTH + 1) - (sizes - LENGTH + 1), sizes - LENGTH + 1)
+    h = _gram_hashes(whole, MIDDLE_GRAM)[begins[owner] + offset]
+    order = np.argsort(h)
+    equal = h[order[1:]] == h[order[:-1]]
+    twice = np.zeros(len(h), bool)
+    twice[order[1:][equal]] = True
+    twice[order[:-1][equal]] = True
+    at = np.flatnonzero(twice)
+    if not len(at):
+        return (np.empty(0, np.int64),) * 3
+    fresh = np.r_[True, (np.diff(at) != 1) | (np.diff(owner[at]) != 0)]
+    last = np.r_[fresh[1:], True]
+    return owner[at[fresh]], offset[at[fresh]], offset[at[last]] + LENGTH
+
+
 def repeated_places(fragments: list[bytes], least: np.ndarray) -> list[list[tuple[int, int]]]:
     """For each fragment the stretches [begin, end) under strings that a fragment with a smaller id has too."""
-    sizes = np.fromiter((len(f) + 1 for f in fragments), np.int64, len(fragments))
+    out: list[list[tuple[int, int]]] = [[] for _ in fragments]
+    of, start, stop = _promising(fragments)
+    if not len(of):
+        return out
+    sizes = stop - start + 1
     per = max(SHARD, -(-int(sizes.sum()) // 200))  # so that a byte tells the shards apart
-    shard = (np.cumsum(sizes) - sizes) // per
-    bounds = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(fragments)]
+    bounds = [0, *(np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // per)) + 1).tolist(), len(of)]
     end = bytes([END])
-    classes = merged_classes([np.frombuffer(b"".join(f + end for f in fragments[i:j]), np.uint8) for i, j in zip(bounds, bounds[1:])])
-    out: list[list[tuple[int, int]]] = [[] for _ in fragments]
-    begins = np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(fragments)), sizes)
-    offset = np.arange(len(owner)) - begins[owner]
-    valid = np.flatnonzero(offset + LENGTH < sizes[owner])
-    klass, owner, offset = np.concatenate(classes)[valid], owner[valid], offset[valid]
+    parts = [fragments[k][a:b] + end for k, a, b in zip(of.tolist(), start.tolist(), stop.tolist())]
+    classes = merged_classes([np.frombuffer(b"".join(parts[i:j]), np.uint8) for i, j in zip(bounds, bounds[1:])])
+    part = np.repeat(np.arange(len(parts)), sizes)
+    offset = np.arange(len(part)) - (np.cumsum(sizes) - sizes)[part]
+    valid = np.flatnonzero(offset + LENGTH < sizes[part])
+    klass, part, offset = np.concatenate(classes)[valid], part[valid], offset[valid]
+    low = least[of[part]]
     order = np.argsort(klass, kind="stable")
     first = np.flatnonzero(np.r_[True, np.diff(klass[order]) != 0])
-    lowest = np.repeat(np.minimum.reduceat(least[owner][order], first), np.diff(np.r_[first, len(order)]))
+    lowest = np.repeat(np.minimum.reduceat(low[order], first), np.diff(np.r_[first, len(order)]))
     gone = np.zeros(len(order), bool)
-    gone[order] = lowest < least[owner][order]
+    gone[order] = lowest < low[order]
     hit = np.flatnonzero(gone)
     if len(hit):
-        fresh = np.r_[True, (np.diff(hit) != 1) | (np.diff(owner[hit]) != 0)]
+        fresh = np.r_[True, (np.diff(hit) != 1) | (np.diff(part[hit]) != 0)]
         last = np.r_[fresh[1:], True]
-        for k, a, b in zip(owner[hit[fresh]].tolist(), offset[hit[fresh]].tolist(), offset[hit[last]].tolist()):
-            out[k].append((a, b + LENGTH))
+        for k, base, a, b in zip(of[part[hit[fresh]]].tolist(), start[part[hit[fresh]]].tolist(), offset[hit[fresh]].tolist(), offset[hit[last]].tolist()):
+            out[k].append((base + a, base + b + LENGTH))
     return out
 
 
 def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches (id, h1, begin, end) to remove, over a partition in the order of bucket, fragment and least id."""
+    """Stretches (id, tag, begin, end) to remove, over a partition in the order of bucket, fragment and least id."""
     out: list[tuple[int, int, int, int]] = []
     fragments: list[bytes] = []
     least: list[int] = []
     waiting: list[list[tuple[int, int, int]]] = []
     state = {"bucket": None, "from": 0, "size": 0}
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
 
     def told() -> pa.RecordBatch:
         columns = list(zip(*out)) or [[]] * 4
         out.clear()
-        return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=["id", "h1", "begin", "end"])
+        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["id", "mark", "begin", "end"])
 
     def close_bucket() -> None:
         """A bucket with one distinct fragment has nothing to compare: its other copies are marked already."""
@@ -239,15 +283,21 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def decide() -> None:
         if fragments:
-            for found, places in zip(repeated_places(fragments, np.array(least)), waiting):
-                out.extend((i, h, at + a, at + b) for i, h, at in places for a, b in found)
+            for found, holders in zip(repeated_places(fragments, np.array(least)), waiting):
+                out.extend((i, h, at + a, at + b) for i, h, at in holders for a, b in found)
         fragments.clear()
         least.clear()
         waiting.clear()
         state["from"] = state["size"] = 0
 
     for batch in batches:
-        for bucket, fragment, low, ids, hashes, starts in zip(*(c.to_pylist() for c in batch.columns)):
+        for bucket, data in zip(*(c.to_pylist() for c in batch.columns)):
+            cut = data.index(END)
+            fragment = data[:cut]
+            places = PLACES[data[cut + 1]].iter_unpack(data[cut + 2 :])
+            if data[cut + 1] == 0:
+                places = ((i - SHIFT, tag, at) for i, tag, at in places)
+            places = list(places)
             if bucket != state["bucket"]:
                 close_bucket()
                 if state["size"] >= LOT:
@@ -255,9 +305,9 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 state["bucket"] = bucket
             if len(fragments) == state["from"] or fragments[-1] != fragment:
                 fragments.append(fragment)
-                least.append(low)
+                least.append(places[0][0])
                 waiting.append([])
-            for i, h, at in zip(ids, hashes, starts):
+            for i, h, at in places:
                 if i > least[-1]:
                     out.append((i, h, at, at + len(fragment)))
                 else:
@@ -295,6 +345,18 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(list(c), k) for c, k in zip(columns, kinds))], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
+def _tag(text: Column) -> Column:
+    """A hash that tells apart the texts of a repeated id; never zero, which marks an id that has one text."""
+    return F.coalesce(F.nullif(F.hash(text), F.lit(0)), F.lit(1))
+
+
+def _shared_buckets(docs: DataFrame) -> DataFrame:
+    """Buckets that two texts or more meet, and whether they are crowded. Counts have partial sums before the shuffle."""
+    each = docs.mapInArrow(_buckets(), "id long, mark int, buckets array<long>").select(F.explode("buckets").alias("bucket"))
+    met = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return staged(met.select("bucket", (F.col("n") > CROWD).alias("crowded")), "shared")
+
+
 def _filter(shared: DataFrame) -> np.ndarray:
     """The buckets of ``shared`` as a bitmap of fixed size."""
     at = F.pmod("bucket", F.lit(FILTER)) + 1
@@ -311,7 +373,7 @@ def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     A byte of the UTF-8 text goes if a string of 50 bytes that covers it also starts in a document with a smaller id.
     Strings are judged on the input. Texts cut inside a character keep its other bytes, so ``kept`` is binary.
 
-    Each string of 50 bytes has a bucket, the least hash of its 16-byte grams. Buckets met in one text alone cannot
+    Each string of 50 bytes has a bucket, the least hash of its 24-byte grams. Buckets met in one text alone cannot
     repeat and are left out (a bitmap of 32 MB first spares most of them the shuffle, then a join decides).
     The fragments of text in a shared bucket come together; equal ones are one item of the collection, and
     where a bucket has several, shards of them get Burrows-Wheeler transforms that are merged by interleave refinement
@@ -321,31 +383,39 @@ def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Exact copies of a text, by 128-bit hash, go whole and enter no bucket. Texts are shuffled once, by id.
 
     Null text: empty. A null id: nothing of it goes, and it makes nothing go. Rows that repeat an id do not
-    make each other go. An empty table gives an empty table. Ids are whole numbers. Only the two named columns
+    make each other go; where they differ, a 32-bit hash of the text tells them apart. An empty table gives an empty table. Ids are whole numbers. Only the two named columns
     are read, so clashing names do no harm.
     """
     spark = df.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h1"), text.cast("binary").alias("text"))
-    facts = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"), F.octet_length(text).alias("n"))
-    facts = staged(facts.where(F.col("id").isNotNull()), "texts")
-    first = staged(facts.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.first("n").alias("n")), "first")
-    copies = facts.join(first.drop("n"), ["h1", "h2"]).where((F.col("id") > F.col("first")) & (F.col("n") >= LENGTH))
-    texts = docs.where(F.col("id").isNotNull()).select("h1", "text")
-    each = texts.mapInArrow(_buckets(), "h1 long, buckets array<long>").select("h1", F.explode("buckets").alias("bucket"))
-    met = each.groupBy("bucket").agg(F.min("h1").alias("a"), F.max("h1").alias("b"), F.count(F.lit(1)).alias("n")).where("a <> b")
-    shared = staged(met.select("bucket", (F.col("n") > CROWD).alias("crowded")), "shared")
+    raw = df.select(F.col(id_col).cast("long").alias("id"), text.cast("binary").alias("text"))
+    docs = raw.where(F.col("id").isNotNull()).select("id", _tag(F.col("text")).alias("tag"), "text")  # one shuffle by id serves both joins
+    facts = docs.select("id", "tag", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), F.octet_length("text").alias("n"))
+    facts = staged(facts, "texts")
+    twins = facts.groupBy("id").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("id", F.lit(True).alias("twin"))
+    twins = lookup(twins, "repeated-ids")
+    mark = F.when(F.col("twin"), F.col("tag")).otherwise(0).alias("mark")
+    facts = facts.join(twins, "id", "left").select("id", "tag", mark, "h1", "h2", "n")
+    first = staged(facts.groupBy("h1", "h2").agg(F.min("id").alias("first")), "first")
+    copies = staged(facts.join(first, ["h1", "h2"]).where(F.col("id") > F.col("first")).select("id", "tag", "mark", "n"), "copies")
+    # tags are compared beside the key, by bits, so that texts are dealt out by id alone
+    same = lambda a, b: F.col(a).bitwiseXOR(F.col(b)) == 0
+    others = lookup(copies.select(F.col("id").alias("copy"), F.col("tag").alias("of")).distinct(), "copied-ids")
+    originals = docs.join(twins, "id", "left").select("id", "tag", mark, "text").join(others, (F.col("id") == F.col("copy")) & same("tag", "of"), "left_anti").select("id", "mark", "text")
+    shared = _shared_buckets(originals)
+    release(spark)
     used = spark.sparkContext.broadcast(_filter(shared))
-    again = texts.mapInArrow(_buckets(used), "h1 long, buckets array<long>").select("h1", F.explode("buckets").alias("bucket")).distinct()
-    firsts = first.select("h1", F.col("first").alias("id"))
+    again = originals.mapInArrow(_buckets(used), "id long, mark int, buckets array<long>").select("id", "mark", F.explode("buckets").alias("bucket"))
     pick = lambda flag: F.collect_list(F.when(F.col("crowded") == flag, F.col("bucket")))
-    wanted = staged(again.join(shared, "bucket").groupBy("h1").agg(pick(False).alias("plain"), pick(True).alias("crowded")).join(firsts, "h1"), "wanted")
-    chosen = docs.join(wanted, ["id", "h1"]).select("id", "h1", "text", "plain", "crowded")
-    pieces = chosen.mapInArrow(_fragments, "bucket long, fragment binary, least long, ids array<long>, hashes array<long>, starts array<long>")
-    dealt = pieces.repartition("bucket").sortWithinPartitions("bucket", "fragment", "least")
-    marks = dealt.mapInArrow(_marked, "id long, h1 long, begin long, end long")
-    whole = copies.select("id", "h1", F.lit(0).cast("long").alias("begin"), F.col("n").cast("long").alias("end"))
-    spans = marks.unionByName(whole).groupBy("id", "h1").agg(F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends"))
+    wanted = again.join(shared, "bucket").repartition("id").groupBy("id", "mark").agg(pick(False).alias("plain"), pick(True).alias("crowded"))
+    chosen = docs.join(wanted, "id").where((F.col("mark") == 0) | same("tag", "mark")).select("id", "mark", "text", "plain", "crowded")
+    pieces = chosen.mapInArrow(_fragments, "bucket int, data binary")
+    dealt = pieces.repartition("bucket").sortWithinPartitions("bucket", "data")
+    marks = dealt.mapInArrow(_marked, "id long, mark int, begin long, end long")
+    gone = copies.where(F.col("n") >= LENGTH).select("id", "mark", F.lit(0).cast("long").alias("begin"), F.col("n").cast("long").alias("end"))
+    spans = marks.unionByName(gone).groupBy("id", "mark").agg(F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends"))
     none = F.array().cast("array<long>")
-    joined = docs.join(spans, ["id", "h1"], "left").select("id", "text", F.coalesce("begins", none).alias("begins"), F.coalesce("ends", none).alias("ends"))
-    return joined.mapInArrow(_cut, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").withColumnRenamed("id", id_col)
+    found = spans.select(F.col("id").alias("of"), "mark", "begins", "ends")
+    joined = docs.join(found, (F.col("id") == F.col("of")) & ((F.col("mark") == 0) | same("tag", "mark")), "left").select("id", "text", F.coalesce("begins", none).alias("begins"), F.coalesce("ends", none).alias("ends"))
+    nameless = raw.where(F.col("id").isNull()).select("id", "text", none.alias("begins"), none.alias("ends"))
+    return joined.unionByName(nameless).mapInArrow(_cut, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").withColumnRenamed("id", id_col)

@@ -64,6 +64,11 @@ def test_crowded_buckets_and_small_shards(spark, monkeypatch):
     assert found(spark, docs) == brute(docs)
 
 
+def test_ids_of_any_size(spark):
+    docs = [(i if i is None else (-(1 << 40), -3, 0, 5, 1 << 31, 1 << 32, 1 << 62)[i % 7] + i, t) for i, t in cases(4)]
+    assert found(spark, docs) == brute(docs)
+
+
 def test_no_rows(spark):
     assert found(spark, []) == []
 
