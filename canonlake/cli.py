@@ -25,6 +25,7 @@ COMMANDS = {
     "crosscheck": (lambda lake, a: jobs.crosscheck(lake)[0], False, False),
     "newcomers": (lambda lake, a: jobs.detect_newcomers(lake, a.competition, a.season, a.day, a.limit), True, True),
     "map": (lambda lake, a: jobs.map_entities(lake, a.season, a.day.isoformat()), False, True),
+    "map-third": (lambda lake, a: jobs.map_third(lake, a.season, a.day.isoformat()), False, True),
     "map-check": (lambda lake, a: jobs.check_coverage(lake), False, False),
     "run": (lambda lake, a: jobs.run_season(lake, a.competition, a.season, a.day), True, True),
 }

@@ -263,6 +263,66 @@ def map_entities(lake: Lake, season: int, today: str) -> Result:
     return Result(stats={k: v for k, v in report.asDict().items() if isinstance(v, int)}, anomalies={"unapplied_decisions": unapplied})
 
 
+def map_third(lake: Lake, season: int, today: str) -> Result:
+    """Attaches the match-event source to entities that have a canonical id; it creates none.
+
+    Decisions come first: a yes attaches, a skip goes to the negative registry, and either without a canonical id is told as a
+    problem. Then teams and players whose only mutual candidate agrees are attached; without a candidate they stay pending.
+    """
+    stage, maps = lake.curated.staged, lake.mappings
+    teams, players, skips, old = maps.load("teams"), maps.load("players"), maps.load("sofascore-skips"), maps.load("sofascore-review")
+    text = lambda *names: {n: "string" for n in names}
+    squad = lake.curated.read_tolerant("biwenger_players", text("id", "name", "team_id", "birth_date")).dropDuplicates(["id"])
+    own_teams = lake.curated.read_tolerant("biwenger_teams", text("id", "name", "competition"))
+    theirs = lake.curated.read_tolerant("sofascore_teams", text("team_id", "team_name", "competition", "season")).where(F.col("season") == str(season))
+    seen = lake.curated.read_tolerant("sofascore_players", text("sofascore_player_id", "name", "birth_date", "team_id", "team_name", "season")).withColumnRenamed("sofascore_player_id", "id")
+    tokened = lambda df, words: df.withColumn("tokens", S.tokens(S.normalize(F.col("name")), words))
+    canonical = lambda mapping: approved(mapping, FANTASY).select(F.col("id_en_fuente").alias("left_id"), "canonical_id")
+    taken = lambda mapping: approved(mapping, EVENTS).select(F.col("id_en_fuente").alias("id"))
+
+    def attached(mapping, pairs, method):
+        found = pairs.join(canonical(mapping), "left_id")
+        rows = found.select("canonical_id", F.lit(EVENTS).alias("fuente"), F.col("right_id").alias("id_en_fuente"), F.lit(method).alias("metodo"), F.lit(today).alias("fecha"))
+        return stage(mapping.unionByName(rows))
+
+    none = skips.select("canonical_id").limit(0)
+    left_teams = tokened(resolve.attachable(own_teams, teams, FANTASY, EVENTS, none), S.CLUB_WORDS)
+    right_teams = tokened(theirs.select(F.col("team_id").alias("id"), F.col("team_name").alias("name"), "competition").distinct().join(taken(teams), "id", "left_anti"), S.CLUB_WORDS)
+    teams = attached(teams, resolve.team_matches(left_teams, right_teams), "auto")
+
+    decided = old.select(F.col("biwenger_id").alias("left_id"), F.col("sofascore_id").alias("right_id"), "decision")
+    actions, problems = resolve.classify_decisions(decided, taken(players).withColumnRenamed("id", "right_id"), allow_id=False)
+    actions = stage(actions)
+    homeless = actions.join(canonical(players), "left_id", "left_anti").select("left_id", F.lit(resolve.NO_CANONICAL).alias("motivo"))
+    named = old.select(F.col("biwenger_id").alias("left_id"), "biwenger_name").dropDuplicates(["left_id"])
+    fresh_skips = actions.where("action = 'skip'").join(canonical(players), "left_id").join(named, "left_id").select("canonical_id", "biwenger_name", F.lit(today).alias("fecha"))
+    skips = stage(skips.unionByName(fresh_skips).dropDuplicates(["canonical_id"]))
+    players = attached(players, actions.where("action = 'yes'").select("left_id", "right_id"), "manual")
+
+    club = lambda df, source: df.join(approved(teams, source).select(F.col("id_en_fuente").alias("team_id"), F.col("canonical_id").alias("club")), "team_id", "left")
+    left = stage(tokened(club(resolve.attachable(squad, players, FANTASY, EVENTS, skips).drop("canonical_id"), FANTASY), S.NAME_PARTICLES))
+    rest = stage(tokened(club(seen.join(taken(players), "id", "left_anti"), EVENTS), S.NAME_PARTICLES))
+    keep = ["id", "tokens", "birth_date", "club"]
+    pool = stage(resolve.global_pool(rest))
+    pairs = stage(resolve.candidates(left.select(*keep), rest.where(F.col("season") == str(season)).where("club is not null").select(*keep).dropDuplicates(["id", "club"]), pool.select(*keep)))
+    verdicts, trimmed = (stage(df) for df in resolve.resolve(left.select("id", "birth_date"), pool.select("id", "birth_date"), pairs))
+    players = attached(players, verdicts.where("motivo = ''").select("left_id", "right_id"), "auto")
+    waiting = verdicts.where((F.col("motivo") != "") & (F.col("motivo") != resolve.NOBODY)).select("left_id", "motivo").join(trimmed, "left_id")
+    shown = waiting.join(left.select(F.col("id").alias("left_id"), "name", "team_id", "birth_date"), "left_id").join(pool.select(F.col("id").alias("right_id"), F.col("name").alias("n"), "team_name", F.col("birth_date").alias("b")), "right_id")
+    known = lambda c: F.coalesce(F.col(c), F.lit(""))
+    rows = shown.select(
+        F.col("left_id").alias("biwenger_id"), known("name").alias("biwenger_name"), known("team_id").alias("biwenger_team"), known("birth_date").alias("biwenger_birth_date"), F.col("right_id").alias("sofascore_id"),
+        known("n").alias("sofascore_name"), known("team_name").alias("sofascore_team"), known("b").alias("sofascore_birth_date"), "motivo", F.lit("").alias("decision"),
+    )
+    done = approved(players, EVENTS).select("canonical_id").union(skips.select("canonical_id"))
+    settled = canonical(players).join(done.distinct(), "canonical_id").select(F.col("left_id").alias("id"))
+    rows = resolve.preserve_decisions(rows, old, settled, ["biwenger_id", "sofascore_id"], "biwenger_id")
+    maps.save({"teams": teams, "players": players, "sofascore-review": rows, "sofascore-skips": skips})
+    result = Result(stats={"attached": verdicts.where("motivo = ''").count(), "pending": verdicts.where(F.col("motivo") == resolve.NOBODY).count()}, anomalies={"unapplied_decisions": problems.count() + homeless.count()})
+    lake.curated.sweep()
+    return result
+
+
 def check_coverage(lake: Lake) -> Result:
     """Curated ids without a mapping are failures."""
     players, teams, failures = lake.mappings.load("players"), lake.mappings.load("teams"), []
@@ -283,6 +343,7 @@ def run_season(lake: Lake, competition: str, season: int, day: date) -> Report:
             Step("valuation", lambda: ingest_valuation(lake, competition)),
             Step("map", lambda: map_entities(lake, season, today)),
             Step("catalog", lambda: curate_catalog(lake)),
+            Step("map-third", lambda: map_third(lake, season, today)),
             Step("matches", lambda: curate_matches(lake)),
             Step("canonical", lambda: restamp(lake)),
             Step("cups", lambda: curate_cups(lake)),

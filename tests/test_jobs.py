@@ -71,6 +71,28 @@ def test_a_season_end_to_end(lake, capsys):
     assert "has no mapping" in capsys.readouterr().out
 
 
+def test_third_source_attaches_and_creates_nothing(spark, tmp_path):
+    lake = jobs.Lake(spark, f"file://{tmp_path}/lake", str(tmp_path / "m"))
+    where = {"competition": "la-liga"}
+    squad = [(1, "Ana Ruiz", 7, "1990-01-01"), (2, "Bea", 7, "1991-01-01"), (3, "Cid", 7, "1992-01-01"), (4, "Dan", 7, ""), (5, "Eva", 7, "")]
+    lake.curated.write_table("biwenger_players", spark.createDataFrame(squad, "id long, name string, team_id long, birth_date string"), where)
+    lake.curated.write_table("biwenger_teams", spark.createDataFrame([(7, "Real FC")], "id long, name string"), where)
+    both = {**where, "season": "2023"}
+    seen = [(11, "Ruiz", "1990-01-01", 70, "Real"), (12, "Bea Q", "2000-01-01", 70, "Real"), (13, "Eva X", "", 70, "Real")]
+    lake.curated.write_table("sofascore_players", spark.createDataFrame(seen, "sofascore_player_id long, name string, birth_date string, team_id long, team_name string"), both)
+    lake.curated.write_table("sofascore_teams", spark.createDataFrame([(70, "Real")], "team_id long, team_name string"), both)
+    approved = [(f"p0000{i}", "biwenger", str(i), "auto", "d") for i in (1, 2, 3, 4)]
+    schema = lake.mappings.load("players").schema
+    review = [("4", "Dan", "7", "", "", "", "", "", "m", "skip"), ("5", "Eva", "7", "", "13", "Eva X", "Real", "", "m", "y")]
+    lake.mappings.save({"players": spark.createDataFrame(approved, schema), "teams": spark.createDataFrame([("t001", "biwenger", "7", "auto", "d")], schema), "sofascore-review": spark.createDataFrame(review, lake.mappings.load("sofascore-review").schema)})
+    result = jobs.map_third(lake, 2023, "today")
+    assert result.stats == {"attached": 1, "pending": 1} and result.anomalies == {"unapplied_decisions": 1}
+    theirs = lambda name: rows(lake.mappings.load(name).where("fuente = 'sofascore'").select("canonical_id", "id_en_fuente"))
+    assert theirs("players") == [("p00001", "11")] and theirs("teams") == [("t001", "70")]
+    assert rows(lake.mappings.load("sofascore-skips").select("canonical_id", "biwenger_name")) == [("p00004", "Dan")]
+    assert rows(lake.mappings.load("sofascore-review").select("biwenger_id", "sofascore_id", "motivo", "decision")) == [("2", "12", "fecha-discrepante", ""), ("5", "13", "m", "y")]
+
+
 def test_broken_payloads_fail_an_ingest_and_are_counted_by_a_rebuild(lake):
     lake.raw.save("biwenger", "rounds", "la-liga-4-score1", b"{}", day=DAY)
     with pytest.raises(ValueError):
