@@ -505,7 +505,7 @@ def reserved_by_date(spark, sf_dir):
 )
 def verdicts(spark, sf_dir):
     left, right = people(spark, sf_dir)
-    pairs = resolve.candidates(left, right.where("club is not null"), right)
+    pairs = CuratedStore(spark, scratch(spark)).staged(resolve.candidates(left, right.where("club is not null"), right))
     return resolve.resolve(left, right, pairs)[0]
 
 
