@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from canonlake.llm.common import SPACES, let, lookup, staged
@@ -11,6 +11,8 @@ from canonlake.llm.common import SPACES, let, lookup, staged
 #: (symbols, say) rejects no document for a trace of it.
 FLOORS = {"f_words": 0.5, "f_length": 0.1, "f_symbols": 0.05, "f_lines": 0.15, "f_repeats": 0.15}
 FEATURES = list(FLOORS)
+#: Bins a unit in which quantiles are counted; values are logarithms and roots, so a group has some thousands of bins at most.
+BINS = 512
 #: The median of a chi-square distribution with as many degrees of freedom as there are statistics.
 CHI2_MEDIAN = 4.3515
 
@@ -81,6 +83,20 @@ def _factored(moments: DataFrame) -> DataFrame:
     return out.select("grp", *[f"m{i}" for i in range(len(FEATURES))], *[f"l{i}_{j}" for i in range(len(FEATURES)) for j in range(i + 1)])
 
 
+def _quantiles(rows: DataFrame, values: dict[str, Column], share: float) -> DataFrame:
+    """A row a group with the given quantile of each named value, from counts in ``BINS`` bins a unit.
+
+    Counts come out the same however rows are dealt out, and have partial sums before the
+    shuffle; the running sums go over bins, not rows.
+    """
+    each = rows.select("grp", F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.floor(v * BINS).alias("bin")) for n, v in values.items()])).alias("x"))
+    counts = each.groupBy("grp", "x.name", "x.bin").agg(F.count(F.lit(1)).alias("n"))
+    one = Window.partitionBy("grp", "name")
+    reached = counts.withColumn("total", F.sum("n").over(one)).withColumn("sofar", F.sum("n").over(one.orderBy("bin"))).where(F.col("sofar") >= share * F.col("total"))
+    found = reached.groupBy("grp", "name").agg(((F.min("bin") + 1) / BINS).alias("value"))
+    return found.groupBy("grp").agg(*[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in values])
+
+
 def fit_groups(stats: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
     """Minimum-covariance-determinant estimates of each group: a row with means, a Cholesky factor and ``scale``.
 
@@ -90,21 +106,20 @@ def fit_groups(stats: DataFrame, share: float = 0.75, steps: int = 4) -> DataFra
     is no hot spot; estimates are tables of a row a group, broadcast if counted small, and never reach the driver.
     """
     n = len(FEATURES)
-    median = lambda c: F.percentile_approx(c, 0.5, F.lit(10000))
-    centre = lookup(stats.groupBy("grp").agg(*[median(F.col(f)).alias(f"m{i}") for i, f in enumerate(FEATURES)]), "mcd-centre")
-    spread = stats.join(centre, "grp").groupBy("grp").agg(*[F.first(f"m{i}").alias(f"m{i}") for i in range(n)], *[median(F.abs(F.col(f) - F.col(f"m{i}"))).alias(f"d{i}") for i, f in enumerate(FEATURES)])
+    centre = lookup(_quantiles(stats, {f"m{i}": F.col(f) for i, f in enumerate(FEATURES)}, 0.5), "mcd-centre")
+    spread = _quantiles(stats.join(centre, "grp"), {f"d{i}": F.abs(F.col(f) - F.col(f"m{i}")) for i, f in enumerate(FEATURES)}, 0.5).join(centre, "grp")
     start = spread.withColumns({f"c{i}_{j}": F.pow(1.4826 * F.col(f"d{i}"), 2) if i == j else F.lit(0.0) for i in range(n) for j in range(i + 1)})
     fitted = lookup(_factored(start), "mcd-start")
     for step in range(steps):
         measured = stats.join(fitted, "grp").withColumn("d2", _distance(fitted)).select("grp", "d2", *FEATURES)
-        limits = lookup(measured.groupBy("grp").agg(F.percentile_approx("d2", share, F.lit(10000)).alias("limit")), f"mcd-limit{step}")
-        near = measured.join(limits, "grp").where("d2 <= limit")
+        limits = lookup(_quantiles(measured, {"limit": F.log1p("d2")}, share), f"mcd-limit{step}")
+        near = measured.join(limits, "grp").where(F.log1p("d2") <= F.col("limit"))
         moments = near.groupBy("grp").agg(
             *[F.avg(f).alias(f"m{i}") for i, f in enumerate(FEATURES)],
             *[F.covar_pop(FEATURES[i], FEATURES[j]).alias(f"c{i}_{j}") for i in range(n) for j in range(i + 1)],
         )
         fitted = lookup(_factored(moments), f"mcd-step{step}")
-    scale = stats.join(fitted, "grp").withColumn("d2", _distance(fitted)).groupBy("grp").agg((median(F.col("d2")) / CHI2_MEDIAN).alias("scale"))
+    scale = _quantiles(stats.join(fitted, "grp").withColumn("d2", _distance(fitted)), {"middle": F.log1p("d2")}, 0.5).select("grp", (F.expm1("middle") / CHI2_MEDIAN).alias("scale"))
     return lookup(fitted.join(scale.withColumn("scale", F.greatest("scale", F.lit(1.0))), "grp"), "mcd")
 
 
