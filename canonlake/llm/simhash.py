@@ -233,6 +233,8 @@ def near_links(nodes: DataFrame, bits: int = 2) -> DataFrame:
     nobody's home are left out by a bitmap of 2 MB. Anchors that are home to more than 2,048 are
     split 64 ways by the rest of the bits. Each key yields a spanning forest, not its pairs.
     """
+    if bits not in (0, 1, 2):
+        raise ValueError(f"bits must be 0, 1 or 2, not {bits!r}: anchors cover no wider radius")
     spark = nodes.sparkSession
     homes = staged(nodes.mapInArrow(_homes, "fp long, node long, anchor int"), "homes")
     crowds = homes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD)
