@@ -16,9 +16,11 @@ SPACES = " \t\n\x0b\f\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, as the cluster names it; one of our own only where none is set."""
+    """The folder that all executors share, as the cluster names it; one of our own only on one machine, where none is set."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="canonlake-")
         spark.sparkContext.setCheckpointDir(found)
         found = spark.sparkContext.getCheckpointDir()

@@ -42,10 +42,10 @@ def sigmoid(x: float) -> float:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, allowed, bound: int) -> DataFrame:
-    """(order, text, label) for at most ``bound`` labelled documents, an even draw by hash of the id.
+    """(order, text, label, tie) for at most ``bound`` labelled documents, an even draw by hash of the id.
 
     ``allowed`` is a condition on the id. The ids drawn, at most ``bound``, are broadcast; texts are not shuffled.
-    Where an id has several labels, the greatest counts; where several documents have it, all count.
+    Where an id has several labels, the greatest counts; where several documents have it, all count, in the order of their hashes.
     """
     label_id = F.col(id_col)
     drawn = (
@@ -58,7 +58,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
         .limit(bound)
     )
     picked = docs.select(F.col(id_col).alias("__doc"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    return picked.join(F.broadcast(staged(drawn, "drawn")), F.col("__doc") == F.col("__id")).select("order", "text", "label")
+    return picked.join(F.broadcast(staged(drawn, "drawn")), F.col("__doc") == F.col("__id")).select("order", "text", "label", F.xxhash64("text").alias("tie"))
 
 
 def train(sample: DataFrame, features: Features, size: int, epochs: int, alpha: float, l1: float, l2: float) -> np.ndarray:
@@ -69,7 +69,7 @@ def train(sample: DataFrame, features: Features, size: int, epochs: int, alpha:
             found = [features(t) for t in batch.column(1).to_pylist()]
             at = pa.array([a.astype(np.int32) for a, _ in found], pa.list_(pa.int32()))
             x = pa.array([v.astype(np.float32) for _, v in found], pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), at, x], names=["order", "label", "at", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), at, x, batch.column(3)], names=["order", "label", "at", "x", "tie"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, rows = Ftrl(size, alpha, l1, l2), []
@@ -82,8 +82,8 @@ def train(sample: DataFrame, features: Features, size: int, epochs: int, alpha:
                 model.learn(at, x, label)
         yield pa.RecordBatch.from_arrays([pa.array([model.weights(slice(None)).astype("<f4").tobytes()], pa.binary())], names=["weights"])
 
-    made = staged(sample.mapInArrow(extract, "order long, label int, at array<int>, x array<float>"), "features")
-    row = made.repartition(1).sortWithinPartitions("order").mapInArrow(learn, "weights binary").first()
+    made = staged(sample.mapInArrow(extract, "order long, label int, at array<int>, x array<float>, tie long"), "features")
+    row = made.repartition(1).sortWithinPartitions("order", "tie").mapInArrow(learn, "weights binary").first()
     return np.frombuffer(row.weights, "<f4") if row else np.zeros(size + 1, "<f4")
 
 

@@ -98,12 +98,11 @@ def test_updates_follow_the_closed_form():
 def test_viterbi_finds_the_best_path():
     model = np.log(np.random.default_rng(4).dirichlet(np.ones(28), (28, 28)))
     decoder = toxicity.Decoder(model)
-    code = lambda c: ord(c) - 96 if "a" <= c <= "z" else toxicity.OTHER
-    for span in ("l0s3r", "1d10t", "m.o.r.0.n", "cllllown", "5cuuum", "a$$"):
+    for span in ("l0s3r", "1d10t", "m.o.r.0.n", "cllllown", "5cuuum", "a$$", "s--t u p", "stuupid!!"):
         best = None
         for path in itertools.product(*decoder._lattice(span)):
             text, total, x, y = "".join(t for t, _ in path), sum(c for _, c in path), 0, 0
-            for z in [code(c) for c in text] + [0]:
+            for z in [toxicity._CODES[ord(c)] for c in text] + [0]:
                 total, x, y = total + model[x][y][z], y, z
             best = max(best or (total, text), (total, text))
         assert decoder.read(span.encode()).decode() == best[1]
@@ -114,3 +113,34 @@ def test_model_counts_every_trigram(spark):
     model = np.exp(toxicity.character_model(docs, "text"))
     assert np.allclose(model.sum(axis=2), 1) and model[1, 1, 2] > 0.9
     assert docs.select(F.count("text")).first()[0] == 2
+
+
+def test_spans_reach_the_lattice_whole():
+    whole = ["a$$", "$h!+", "f u k", "s - t__u p", "stuupid", "1d10t", "l.o.s.e.r", "idiiiot", "worthle$$"]
+    assert [m.group().decode() for w in whole for m in toxicity.SPANS.finditer(f"so {w}, yes".encode())] == whole
+    assert not toxicity.SPANS.search(b"plain words! 12 3.5 and more")
+
+
+def test_a_separator_may_end_a_word():
+    assert toxicity.Decoder._lattice("a b c")[1] == [("", toxicity.PUT_IN), (" ", toxicity.MEANT)]
+
+
+def edge_rows():
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(WORDS + BAD * (i % 2)) for _ in range(40))) for i in range(120)]
+    return rows + [(1000, None), (1001, ""), (None, "river scum"), (3, rows[3][1]), (3, "other words"), (1002, "m0r0n " * 400_000), (1003, "a " * 1_000_000)]
+
+
+def test_edge_rows_through_both_classifiers(spark):
+    rows = [(i, t, 7, "x", 1.0) for i, t in edge_rows()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int, `order` string, score double").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(120)] + [(None, 1, 1), (2, None, None), (4, 0, 0)], "doc_id long, toxic int, quality int")
+    for scores in (toxicity.toxicity_scores, quality_classifier.quality_scores):
+        first = scores(docs, labels, lambda i: i % 3 != 1)
+        assert first.columns == ["doc_id", "score"]
+        out = sorted(map(tuple, first.collect()), key=str)
+        assert len(out) == len(rows) and all(0 <= s <= 1 for _, s in out)
+        score = dict(out)
+        assert score[1000] == score[1001]  # null and empty texts: the bias alone
+        again = sorted(map(tuple, scores(docs.repartition(7), labels, lambda i: i % 3 != 1).collect()), key=str)
+        assert out == again  # however rows are dealt out
