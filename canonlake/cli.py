@@ -15,6 +15,10 @@ COMMANDS = {
     "ingest-squad": (lambda lake, a: jobs.ingest_squad(lake, a.competition), True, False),
     "ingest-reports": (lambda lake, a: jobs.ingest_reports(lake, a.competition, a.season), True, True),
     "ingest-rounds": (lambda lake, a: jobs.ingest_rounds(lake, a.competition, a.season), True, True),
+    "ingest-delta": (lambda lake, a: jobs.ingest_reports_delta(lake, a.competition, a.season), True, True),
+    "ingest-squads": (lambda lake, a: jobs.ingest_squads(lake, a.competition, a.season, a.limit), True, True),
+    "ingest-player": (lambda lake, a: jobs.ingest_player(lake, a.player, a.competition, a.force), True, False),
+    "ingest-season-stats": (lambda lake, a: jobs.ingest_season_stats(lake, a.player), False, False),
     "ingest-prices": (lambda lake, a: jobs.ingest_prices(lake, a.competition, a.season, a.day), True, True),
     "ingest-valuation": (lambda lake, a: jobs.ingest_valuation(lake, a.competition), True, False),
     "ingest-squad-values": (lambda lake, a: jobs.ingest_squad_values(lake, a.competition, a.season, a.day), True, True),
@@ -22,11 +26,13 @@ COMMANDS = {
     "curate-matches": (lambda lake, a: jobs.curate_matches(lake), False, False),
     "curate-cups": (lambda lake, a: jobs.curate_cups(lake), False, False),
     "curate-canonical": (lambda lake, a: jobs.restamp(lake), False, False),
-    "crosscheck": (lambda lake, a: jobs.crosscheck(lake)[0], False, False),
+    "crosscheck": (lambda lake, a: jobs.crosscheck(lake, a.report)[0], False, False),
     "newcomers": (lambda lake, a: jobs.detect_newcomers(lake, a.competition, a.season, a.day, a.limit), True, True),
     "map": (lambda lake, a: jobs.map_entities(lake, a.season, a.day.isoformat()), False, True),
     "map-third": (lambda lake, a: jobs.map_third(lake, a.season, a.day.isoformat()), False, True),
     "map-check": (lambda lake, a: jobs.check_coverage(lake), False, False),
+    "run-round": (lambda lake, a: jobs.run_incremental(lake, "round", a.competition, a.season, a.day), True, True),
+    "run-weekly": (lambda lake, a: jobs.run_incremental(lake, "weekly", a.competition, a.season, a.day), True, True),
     "run": (lambda lake, a: jobs.run_season(lake, a.competition, a.season, a.day), True, True),
 }
 
@@ -44,8 +50,14 @@ def parser() -> argparse.ArgumentParser:
         if season:
             sub.add_argument("--season", type=int, required=True, help="start year")
         sub.add_argument("--day", type=date.fromisoformat, default=datetime.now(UTC).date())
-        if name == "newcomers":
-            sub.add_argument("--limit", type=int)
+        if name in ("newcomers", "ingest-squads"):
+            sub.add_argument("--limit", type=int, help="people, or clubs, that this run takes at most")
+        if name in ("ingest-player", "ingest-season-stats"):
+            sub.add_argument("player", help="an id; for ingest-player also a profile link or a canonical id")
+        if name == "ingest-player":
+            sub.add_argument("--force", action="store_true", help="store it even if birth dates differ")
+        if name == "crosscheck":
+            sub.add_argument("--report", help="file for the report as JSON")
     return out
 
 

@@ -14,6 +14,8 @@ NAME_PARTICLES = ["al", "da", "das", "de", "del", "den", "der", "di", "dos", "e"
 CLUB_WORDS = ["ad", "b", "cd", "cf", "club", "cp", "de", "fc", "ii", "rc", "sad", "sd", "ud"]
 # Units of money in texts such as "€29.45m" and "€900Th.".
 MONEY_UNITS = {"bn": 1_000_000_000, "m": 1_000_000, "k": 1_000, "th": 1_000, "": 1}
+#: An amount: its number and its unit, in any case.
+MONEY_PATTERN = r"€\s*([\d.,]+)\s*(bn|m|k|th)?"
 # Tokens of a human decision.
 YES_TOKENS = ["1", "ok", "si", "sí", "true", "x", "y", "yes"]
 SKIP_TOKENS = ["biwenger-only", "no-tm", "none", "skip", "solo-biwenger"]
@@ -25,8 +27,9 @@ def _nfkd(text: pd.Series) -> pd.Series:
 
 
 def strip_accents(text: Column) -> Column:
-    """NFKD without combining marks; letters that do not decompose stay. Spark has no such function, so texts go through Arrow."""
-    return _nfkd(text)
+    """NFKD without combining marks; letters that do not decompose stay. Spark has no such function, so texts that are not ASCII go through Arrow; of others only a null goes."""
+    plain = F.length(text) == F.octet_length(text)
+    return F.when(plain, text).otherwise(_nfkd(F.when(~plain, text)))
 
 
 def normalize_ascii(text: Column) -> Column:
@@ -118,7 +121,7 @@ def result_of_flags(won: Column, lost: Column) -> Column:
 
 def money(text: Column) -> Column:
     """The first amount in euros as a whole number, half to even; null without one."""
-    pattern = "(?i)€\\s*([\\d.,]+)\\s*(bn|m|k|th)?"
+    pattern = f"(?i){MONEY_PATTERN}"
     number = F.regexp_replace(F.regexp_extract(text, pattern, 1), ",", "").try_cast("double")
     unit = F.lower(F.regexp_extract(text, pattern, 2))
     factor = F.create_map(*[x for u, n in MONEY_UNITS.items() for x in (F.lit(u), F.lit(n))])[unit]
@@ -203,3 +206,19 @@ def money_text(amount: Column) -> Column:
     return F.when(amount >= 1_000_000, F.concat(F.lit("€"), (amount / 1_000_000).cast("decimal(18,6)").cast("string"), F.lit("m"))).otherwise(
         F.concat(F.lit("€"), (amount / 1_000).cast("decimal(18,3)").cast("string"), F.lit("k"))
     )
+
+
+def duration_text(seconds: Column) -> Column:
+    """A compact text: "30 s", "45 min", "2 min 5 s", "3 h", "2 h 30 min"."""
+    whole = F.floor(seconds).cast("long")
+    minutes, rest = F.floor(whole / 60), F.pmod(whole, F.lit(60))
+    hours, left = F.floor(minutes / 60), F.pmod(minutes, F.lit(60))
+    text = lambda n, unit: F.concat(n.cast("long").cast("string"), F.lit(f" {unit}"))
+    of_minutes = F.when(rest == 0, text(minutes, "min")).otherwise(F.concat_ws(" ", text(minutes, "min"), text(rest, "s")))
+    of_hours = F.when(left == 0, text(hours, "h")).otherwise(F.concat_ws(" ", text(hours, "h"), text(left, "min")))
+    return F.when(whole < 60, text(whole, "s")).when(minutes < 60, of_minutes).otherwise(of_hours)
+
+
+def minute_text(moment: Column) -> Column:
+    """A time to the minute, a dash without one."""
+    return F.coalesce(F.date_format(moment, "yyyy-MM-dd HH:mm"), F.lit("\u2014"))

@@ -28,7 +28,7 @@ REPORT = "struct<home:boolean,match:struct<id:long,date:long,round:struct<id:lon
 PLAYER = "struct<id:long,name:string,slug:string,teamID:long,position:int,status:string,price:long,priceIncrement:long,fantasyPrice:long,number:int,points:long,pointsHome:long,pointsAway:long,playedHome:long,playedAway:long,pointsLastSeason:long>"
 SIDE = "struct<id:long,name:string,slug:string,score:long,reports:array<struct<player:struct<id:long,name:string,slug:string,position:int>,points:long>>>"
 CLUB = "struct<id:long,name:string>"
-ENTRY = "struct<player:struct<id:long,name:string,slug:string,dateOfBirthTimestamp:long>,teamId:long,position:string,substitute:boolean,statistics:map<string,string>>"
+ENTRY = "struct<player:struct<id:long,name:string,slug:string,dateOfBirthTimestamp:long>,teamId:long,position:string,substitute:boolean,statistics:map<string,variant>>"
 MOVE = "struct<dateUnformatted:string,season:string,fee:string,marketValue:string,`from`:struct<clubName:string,href:string>,`to`:struct<clubName:string,href:string>>"
 GAME = (
     "struct<gameInformation:struct<gameId:string,competitionId:string,seasonId:long,gameDay:string,date:struct<dateTimeUTC:string>>,"
@@ -43,7 +43,7 @@ SCHEMAS = {
     "seasons": "struct<uniqueTournamentSeasons:array<struct<uniqueTournament:struct<id:long,name:string>,seasons:array<struct<id:long,year:string,name:string>>>>>",
     "events": f"struct<events:array<struct<id:long,startTimestamp:long,status:struct<type:string>,homeTeam:{CLUB},awayTeam:{CLUB},tournament:struct<uniqueTournament:{CLUB}>,season:struct<id:long,year:string>>>,hasNextPage:boolean>",
     "lineups": f"struct<confirmed:boolean,home:struct<players:array<{ENTRY}>>,away:struct<players:array<{ENTRY}>>>",
-    "overall": "struct<statistics:map<string,string>>",
+    "overall": "struct<statistics:map<string,variant>>",
     "ratings": f"struct<seasonRatings:array<struct<eventId:long,startTimestamp:long,rating:double,isHome:boolean,opponent:{CLUB}>>>",
     "values": "struct<list:array<struct<y:long,datum_mw:string,verein:string>>>",
     "transfers": f"struct<transfers:array<{MOVE}>>",
@@ -213,18 +213,20 @@ def played(entries: DataFrame) -> DataFrame:
     return entries.where(F.col("source_player_id").isNotNull() & (F.coalesce(F.size(F.map_keys("statistics")), F.lit(0)) > 0))
 
 
-def _number(text: Column) -> Column:
-    return F.when(text == "true", F.lit(1.0)).when(text == "false", F.lit(0.0)).otherwise(text.try_cast("double"))
+def number(value: Column) -> Column:
+    """A JSON number, or a boolean as 0 or 1; texts, also those of digits, objects and lists are null. The value is a variant, which keeps what it was."""
+    kind = F.schema_of_variant(value)
+    return F.when((kind == "BOOLEAN") | (kind == "BIGINT") | (kind == "DOUBLE") | F.startswith(kind, F.lit("DECIMAL")), F.try_variant_get(value, "$", "double"))
 
 
 def match_metrics(statistics: Column) -> dict[str, Column]:
     """Counts that are missing are zero, measures that are missing are null, all are null without statistics."""
     found = {}
     for name, key in COUNTS.items():
-        text = F.try_element_at(statistics, F.lit(key))
-        found[name] = F.when(statistics.isNull(), F.lit(None)).when(F.array_contains(F.map_keys(statistics), key), _number(text)).otherwise(F.lit(0.0)).cast("double")
+        value = F.try_element_at(statistics, F.lit(key))
+        found[name] = F.when(statistics.isNull(), F.lit(None)).when(F.array_contains(F.map_keys(statistics), key), number(value)).otherwise(F.lit(0.0)).cast("double")
     for name, key in MEASURES.items():
-        found[name] = _number(F.try_element_at(statistics, F.lit(key)))
+        found[name] = number(F.try_element_at(statistics, F.lit(key)))
     return found
 
 
@@ -232,13 +234,19 @@ def match_stats(entries: DataFrame, approved: DataFrame, source: str) -> DataFra
     """player_match_stats: a row a player who played, with the canonical id or ""."""
     rows = played(entries).withColumn("id_text", F.col("source_player_id").cast("string"))
     stamped = algebra.lookup(rows, approved, "id_text", "id_en_fuente", "canonical_id", "")
-    return stamped.withColumns(match_metrics(F.col("statistics")) | {"player_event": S.player_event(F.col("source_player_id"), F.col("event_id")), "source": F.lit(source), "rating": _number(F.try_element_at("statistics", F.lit("rating")))}).drop("statistics", "id_text", "name", "birth_date", "is_starting", "team_id", "team_name")
+    return stamped.withColumns(match_metrics(F.col("statistics")) | {"player_event": S.player_event(F.col("source_player_id"), F.col("event_id")), "source": F.lit(source), "rating": number(F.try_element_at("statistics", F.lit("rating")))}).drop("statistics", "id_text", "name", "birth_date", "is_starting", "team_id", "team_name")
 
 
 def season_metrics(good: DataFrame) -> DataFrame:
     """Long form (name, metric, value) of a season aggregate's numeric keys; the schema stays open, ``pivoted`` closes it on read."""
-    each = good.select("name", F.explode("j.statistics").alias("metric", "text"))
-    return each.where(~F.col("metric").isin(NO_METRICS)).select("name", "metric", _number(F.col("text")).alias("value")).where("value is not null")
+    each = good.select("name", F.explode("j.statistics").alias("metric", "v"))
+    return each.where(~F.col("metric").isin(NO_METRICS)).select("name", "metric", number(F.col("v")).alias("value")).where("value is not null")
+
+
+def rated_matches(good: DataFrame) -> DataFrame:
+    """Rated matches of a player's season, with where and against whom."""
+    rows = good.select("name", F.explode("j.seasonRatings").alias("r"))
+    return rows.select("name", F.col("r.eventId").alias("event_id"), S.epoch_date(F.col("r.startTimestamp")).alias("date"), F.col("r.opponent.name").alias("opponent"), F.col("r.opponent.id").alias("opponent_id"), F.col("r.isHome").alias("is_home"), F.col("r.rating").alias("rating"))
 
 
 def market_values(good: DataFrame) -> DataFrame:

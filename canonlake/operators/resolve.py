@@ -7,12 +7,22 @@ an order of processing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from canonlake.functions import scalars as S
 from canonlake.operators import algebra
 
+#: What writes a table once that several steps read; as it is, each step computes it anew.
+Stage = Callable[[DataFrame], DataFrame]
+
+
+def as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
 # Verdicts and problems as people know them from the review files.
 SHARED, SEVERAL_IN_CLUB, DATE_DIFFERS = "candidato-compartido", "varios-en-club", "fecha-discrepante"
 SAME_DATE, SEVERAL, NO_DATE, NOBODY = "varios-misma-fecha", "varios-candidatos", "sin-fecha-que-verificar", "sin-candidato"
@@ -20,33 +30,32 @@ UNKNOWN_TOKEN, YES_AND_SKIP, SEVERAL_YES = "token-no-reconocido", "y-con-skip",
 YES_WITHOUT, TAKEN, ID_ON_CANDIDATE, NO_CANONICAL = "y-sin-candidato", "tm-id-ya-tomado", "id-en-fila-con-candidato", "biwenger-sin-canonico"
 
 
-def token_pairs(left: DataFrame, right: DataFrame, scope: list[str] | None = None) -> DataFrame:
+def token_pairs(left: DataFrame, right: DataFrame, scope: list[str] | None = None, stage: Stage = as_is) -> DataFrame:
     """(left_id, right_id) whose token sets are non-empty and one of which holds the other, within equal ``scope`` columns.
 
     Both sides have id and tokens (distinct). An inverted index does it exactly: the smaller set lies in the larger
     one if and only if they share as many tokens as the smaller has. A pair is only formed under its rarest
     shared token side of the index, whose counts decide: a record is indexed under all its tokens, and looked
     up under its rarest one, in both directions. So a token that a third of the records share joins nothing unless
-    it is all that a record has.
+    it is all that a record has. ``stage`` writes the two indexes, which four joins read.
     """
     scope = scope or []
-    a = left.select(*scope, F.col("id").alias("left_id"), F.col("tokens").alias("left_tokens")).where(F.size("tokens") > 0)
-    b = right.select(*scope, F.col("id").alias("right_id"), F.col("tokens").alias("right_tokens")).where(F.size("tokens") > 0)
 
-    def index(df: DataFrame, tokens: str) -> DataFrame:
-        return df.withColumn("token", F.explode(tokens))
+    def index(df: DataFrame, side: str) -> DataFrame:
+        """A row for each record and each of its tokens."""
+        own = df.select(*scope, F.col("id").alias(f"{side}_id"), F.col("tokens").alias(f"{side}_tokens")).where(F.size("tokens") > 0)
+        return stage(own.withColumn("token", F.explode(f"{side}_tokens")))
 
-    def rarest(df: DataFrame, tokens: str, among: DataFrame) -> DataFrame:
-        """Each record under its token with the fewest records on the other side; none if a token is missing there."""
-        counts = index(among, among.columns[-1]).groupBy(*scope, "token").agg(F.count(F.lit(1)).alias("n"))
-        each = index(df, tokens).join(counts, [*scope, "token"], "left")
-        ids = [c for c in df.columns if c.endswith("_id")]
-        best = each.groupBy(*scope, *ids).agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("best"), F.first(tokens).alias(tokens))
-        return best.where("best.n > 0").select(*scope, *ids, tokens, F.col("best.token").alias("token"))
+    def inside(small: DataFrame, large: DataFrame, a: str, b: str) -> DataFrame:
+        """Pairs in which all tokens of ``small`` are in ``large``: each small record meets the large ones of its token with the fewest of them."""
+        counts = large.groupBy(*scope, "token").agg(F.count(F.lit(1)).alias("n"))
+        each = small.join(counts, [*scope, "token"], "left")
+        best = each.groupBy(*scope, f"{a}_id").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("best"), F.first(f"{a}_tokens").alias(f"{a}_tokens"))
+        rarest = best.where("best.n > 0").select(*scope, f"{a}_id", f"{a}_tokens", F.col("best.token").alias("token"))
+        return rarest.join(large, [*scope, "token"]).where(F.size(F.array_except(f"{a}_tokens", f"{b}_tokens")) == 0).select("left_id", "right_id")
 
-    inside_right = rarest(a, "left_tokens", b).join(index(b, "right_tokens"), [*scope, "token"]).where(F.size(F.array_except("left_tokens", "right_tokens")) == 0)
-    inside_left = rarest(b, "right_tokens", a).join(index(a, "left_tokens"), [*scope, "token"]).where(F.size(F.array_except("right_tokens", "left_tokens")) == 0)
-    return inside_right.select("left_id", "right_id").unionByName(inside_left.select("left_id", "right_id")).distinct()
+    lefts, rights = index(left, "left"), index(right, "right")
+    return inside(lefts, rights, "left", "right").unionByName(inside(rights, lefts, "right", "left")).distinct()
 
 
 def team_matches(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -55,6 +64,21 @@ def team_matches(left: DataFrame, right: DataFrame) -> DataFrame:
     return only_pairs(pairs)
 
 
+def team_verdicts(left: DataFrame, right: DataFrame, stage: Stage = as_is) -> tuple[DataFrame, DataFrame]:
+    """Verdicts (left_id, right_id or null, motivo) of the teams of ``left``, and all candidates (left_id, right_id).
+
+    Each other's only candidate is a match (an empty motivo). Elsewhere a candidate that another team claims too goes before mere
+    ambiguity.
+    """
+    pairs = stage(token_pairs(left, right, ["competition"], stage))
+    suitors = pairs.groupBy("right_id").agg(F.count(F.lit(1)).alias("suitors"))
+    per = pairs.join(suitors, "right_id").groupBy("left_id").agg(F.count(F.lit(1)).alias("n"), F.max("suitors").alias("suitors"), F.min("right_id").alias("only"))
+    judged = left.select(F.col("id").alias("left_id")).distinct().join(per, "left_id", "left")
+    motivo = F.when(F.col("n").isNull(), NOBODY).when(F.col("suitors") > 1, SHARED).when(F.col("n") > 1, SEVERAL).otherwise("")
+    verdicts = judged.withColumn("motivo", motivo)
+    return verdicts.select("left_id", F.when(F.col("motivo") == "", F.col("only")).alias("right_id"), "motivo"), pairs
+
+
 def only_pairs(pairs: DataFrame) -> DataFrame:
     """Pairs in which either side has no other partner; degrees are grouped counts, combined before the shuffle."""
     wants = pairs.groupBy("left_id").agg(F.count(F.lit(1)).alias("wants"), F.min("right_id").alias("right_id")).where("wants = 1")
@@ -67,14 +91,14 @@ def global_pool(players: DataFrame) -> DataFrame:
     return algebra.latest_per_key(players.where(F.col("id").isNotNull()), ["id"], [F.col("season").try_cast("int")])
 
 
-def candidates(left: DataFrame, in_club: DataFrame, pool: DataFrame) -> DataFrame:
+def candidates(left: DataFrame, in_club: DataFrame, pool: DataFrame, stage: Stage = as_is) -> DataFrame:
     """(left_id, right_id, scope): of club, club-fecha and global the first kind that has any.
 
     ``left`` has id, tokens, birth_date and club (the canonical one, null if unknown); ``in_club`` the other
     source's squads with the same columns; ``pool`` all its records.
     """
     known = left.where(F.col("club").isNotNull())
-    named = token_pairs(known, in_club, ["club"]).withColumn("scope", F.lit("club")).withColumn("rank", F.lit(0))
+    named = token_pairs(known, in_club, ["club"], stage).withColumn("scope", F.lit("club")).withColumn("rank", F.lit(0))
     born = (
         known.where(F.coalesce("birth_date", F.lit("")) != "")
         .select(F.col("id").alias("left_id"), "club", "birth_date")
@@ -82,9 +106,9 @@ def candidates(left: DataFrame, in_club: DataFrame, pool: DataFrame) -> DataFram
         .select("left_id", "right_id", F.lit("club-fecha").alias("scope"), F.lit(1).alias("rank"))
         .distinct()
     )
-    closer = named.unionByName(born)
+    closer = stage(named.unionByName(born))
     rest = left.join(closer.select(F.col("left_id").alias("id")).distinct(), "id", "left_anti")
-    wide = token_pairs(rest, pool).withColumn("scope", F.lit("global")).withColumn("rank", F.lit(2))
+    wide = token_pairs(rest, pool, stage=stage).withColumn("scope", F.lit("global")).withColumn("rank", F.lit(2))
     best = closer.groupBy("left_id").agg(F.min("rank").alias("rank"))
     return closer.join(best, ["left_id", "rank"]).unionByName(wide).select("left_id", "right_id", "scope")
 
@@ -196,15 +220,19 @@ def classify_decisions(review: DataFrame, taken: DataFrame, allow_id: bool = Tru
     return actions, told.where(blamed).select("left_id", "right_id", "decision", F.col("problem").alias("motivo"))
 
 
-def numbered(new: DataFrame, mapping: DataFrame, prefix: str, digits: int, order: list[str]) -> DataFrame:
+def numbered(new: DataFrame, mapping: DataFrame, prefix: str, digits: int, order: list[str], stage: Stage = as_is) -> DataFrame:
     """``new`` with canonical ids that follow the highest one of ``mapping``, in order.
 
-    New entities of a run wait for people's review, so one ordered numbering is enough; it is a single window by
-    nature and holds only what is new.
+    Rows are dealt out in ranges of the order and numbered within them; a range begins where the counts of those before it end.
+    Only those counts, a row a range, meet in one window. ``stage`` writes the numbered ranges, which are read twice.
     """
     start = mapping.agg(F.coalesce(F.max(S.canonical_number(F.col("canonical_id"))), F.lit(0)).alias("__start"))
-    number = F.row_number().over(Window.orderBy(*order))
-    return new.withColumn("__n", number).join(F.broadcast(start)).withColumn("canonical_id", S.canonical_id(prefix, F.col("__start") + F.col("__n"), digits)).drop("__n", "__start")
+    dealt = new.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = stage(dealt.withColumns({"__range": F.spark_partition_id(), "__place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    begins = dealt.groupBy("__range").agg(F.count(F.lit(1)).alias("__n")).withColumn("__begin", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    number = F.col("__start") + F.col("__begin") + F.col("__place") + 1
+    return dealt.join(begins, "__range").join(F.broadcast(start)).withColumn("canonical_id", S.canonical_id(prefix, number, digits)).drop("__range", "__place", "__begin", "__start")
 
 
 def preserve_decisions(rows: DataFrame, old: DataFrame, approved: DataFrame, keys: list[str], left: str) -> DataFrame:
@@ -236,3 +264,25 @@ def searched_identity(hits: DataFrame, wanted: DataFrame) -> DataFrame:
 def enqueue_review(review: DataFrame, fresh: DataFrame, left: str) -> DataFrame:
     """The review rows with those of the entities in ``fresh`` replaced."""
     return algebra.keyed_replace(review, fresh, [left])
+
+
+def safe_identity(profile: DataFrame, mapping: DataFrame, births: DataFrame, source: str, own_source: str) -> DataFrame:
+    """(id, outcome) for profiles (id, birth_date): may a history be stored under this id?
+
+    Two hops, from the profile's id to its canonical one and on to the own source's id, then the dates are compared. The
+    outcome is ``unmapped`` where a hop is missing, else ``agrees`` (also where a date is unknown) or ``differs``.
+    """
+    theirs = mapping.where(F.col("fuente") == source).select(F.col("id_en_fuente").alias("id"), "canonical_id")
+    own = mapping.where(F.col("fuente") == own_source).select("canonical_id", F.col("id_en_fuente").alias("__own"))
+    known = births.where(F.coalesce(F.col("birth_date").cast("string"), F.lit("")) != "").groupBy(F.col("id").cast("string").alias("__own")).agg(F.min(F.col("birth_date").cast("string")).alias("__born"))
+    text = profile.select(F.col("id").cast("string").alias("id"), F.coalesce(F.col("birth_date").cast("string"), F.lit("")).alias("birth_date"))
+    found = text.join(theirs, "id", "left").join(own, "canonical_id", "left").join(known, "__own", "left")
+    outcome = F.when(F.col("__own").isNull(), "unmapped").when(S.birth_compatible(F.col("birth_date"), F.coalesce("__born", F.lit(""))), "agrees").otherwise("differs")
+    return found.select("id", outcome.alias("outcome"))
+
+
+def named_player(queries: DataFrame, mapping: DataFrame, source: str) -> DataFrame:
+    """(query, id or null) of texts that name a player: a canonical id, a profile link, or an id in digits."""
+    theirs = mapping.where(F.col("fuente") == source).select(F.col("canonical_id").alias("__c"), F.col("id_en_fuente").alias("__id"))
+    found = queries.join(theirs, F.col("query") == F.col("__c"), "left")
+    return found.select("query", F.when(F.rlike("query", F.lit("^p\\d+$")), F.col("__id")).otherwise(S.player_of_token(F.col("query"))).alias("id"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from canonlake.functions import scalars as S
-from canonlake.operators import algebra
+from canonlake.operators import algebra, flatten
 
 # States of a newcomer's history; only the first is final.
 DONE, NO_HISTORY, FAILED, NO_IDENTITY = "descargado", "sin-historial", "fallo", "sin-identidad"
@@ -51,7 +51,7 @@ def cup_minutes(played: DataFrame, teams: DataFrame, approved: DataFrame) -> Dat
     """Minutes of players of tracked sides; ``played`` is what ``flatten.played`` returns."""
     own = played.join(teams.select("team_id", "season").distinct(), ["team_id", "season"], "left_semi").withColumn("id_text", F.col("source_player_id").cast("string"))
     stamped = algebra.lookup(own, approved, "id_text", "id_en_fuente", "canonical_id", "")
-    minutes = F.try_element_at("statistics", F.lit("minutesPlayed")).try_cast("double")
+    minutes = flatten.number(F.try_element_at("statistics", F.lit("minutesPlayed")))
     return stamped.select(S.player_event(F.col("source_player_id"), F.col("event_id")).alias("player_event"), "canonical_id", "source_player_id", "event_id", "date", "team_id", "opponent_id", "is_home", "is_starting", minutes.alias("minutes"), "season")
 
 
@@ -73,6 +73,11 @@ def minutes_check(a: DataFrame, b: DataFrame, keys: list[str], tolerance: float
     return report.withColumn("share", part).withColumn("passed", (F.col("common_rows") > 0) & (part >= share)), judged.where("not within").drop("within")
 
 
+def comparable(stats: DataFrame, source: str, competitions: list[str]) -> DataFrame:
+    """Rows of one source in covered competitions that have a canonical id and a date."""
+    return stats.where((F.col("source") == source) & F.col("competition").isin(competitions) & (F.coalesce("canonical_id", F.lit("")) != "") & F.col("date").isNotNull()).select("canonical_id", "date", "minutes")
+
+
 def coverage_gaps(curated: DataFrame, approved: DataFrame, kind: str) -> DataFrame:
     """(kind, id, message) for curated ids without an approved mapping."""
     missing = curated.select(F.col("id").cast("string").alias("id")).dropna().distinct().join(approved.select(F.col("id").cast("string").alias("id")).distinct(), "id", "left_anti")
@@ -96,6 +101,11 @@ def mapping_report(left: DataFrame, approved: DataFrame, review: DataFrame) -> D
     return counts.join(F.broadcast(waiting)).withColumn("percent_automatic", percent)  # one row each
 
 
+def dangling(approved: DataFrame, stored: DataFrame) -> DataFrame:
+    """Mapped source ids whose history is not stored: what the next single-player ingests have to fetch."""
+    return approved.select(F.col("id").cast("string").alias("id")).distinct().join(stored.select(F.col("id").cast("string").alias("id")).distinct(), "id", "left_anti")
+
+
 def prunable(members: DataFrame, seen: DataFrame, complete: bool) -> DataFrame | None:
     """The members to retain after a crawl, or None if it was not complete and nothing may be pruned."""
     return algebra.with_keys(members, seen, ["id"]) if complete else None
@@ -107,6 +117,34 @@ def density(fixtures_: DataFrame) -> DataFrame:
     return algebra.shares_with_previous(sides, ["team_id"], "date")
 
 
+def midweek_minutes(minutes: DataFrame, keys: list[str], day: str) -> DataFrame:
+    """Minutes played from Tuesday to Thursday, by key and week (the Monday it begins with)."""
+    weekday = F.weekday(day)
+    return minutes.where(weekday.between(1, 3)).groupBy(*keys, F.to_date(F.date_trunc("week", day)).alias("week")).agg(F.sum("minutes").alias("minutes"))
+
+
+def since_return(matches: DataFrame, spells: DataFrame, key: str, day: str) -> DataFrame:
+    """``matches`` with ``since_return``: how many matches of the key since its latest injury ended, this one included; null before any.
+
+    Ends of spells and matches are one series a key, so a running maximum finds the latest end instead of a join on an inequality.
+    """
+    ends = spells.where(F.col("until_date").isNotNull()).select(F.col(key), F.col("until_date").alias("__day"), F.col("until_date").alias("__end")).distinct()
+    both = matches.withColumn("__day", F.col(day)).unionByName(ends, allowMissingColumns=True).withColumn("__match", F.col(day).isNotNull())
+    so_far = Window.partitionBy(key).orderBy("__day").rangeBetween(Window.unboundedPreceding, -1)
+    last = both.withColumn("__last", F.max("__end").over(so_far)).where("__match")
+    counted = last.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(key, "__last").orderBy("__day")))
+    return counted.withColumn("since_return", F.when(F.col("__last").isNotNull(), F.col("__n"))).select(*matches.columns, "since_return")
+
+
+def team_levels(sides: DataFrame, values: DataFrame) -> DataFrame:
+    """``sides`` (team_id, opponent_id, season) with the squad values of both; ``values`` has team_id, season and squad_value."""
+    own = values.groupBy("team_id", "season").agg(F.max("squad_value").alias("__v"))
+    out = sides
+    for column, name in (("team_id", "own_level"), ("opponent_id", "opponent_level")):
+        out = out.join(own.select(F.col("team_id").alias(column), "season", F.col("__v").alias(name)), [column, "season"], "left")
+    return out.select(*sides.columns, "own_level", "opponent_level")
+
+
 def form(df: DataFrame, keys: list[str], order: list[str], measure: str, n: int = 5) -> DataFrame:
     """``df`` with the mean of the last ``n`` rows before each one."""
     return df.withColumn("form", F.avg(measure).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(-n, -1)))
@@ -151,6 +189,66 @@ def value_picks(df: DataFrame, group: str, points: str, price: str, identifier:
     return rated.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(F.desc("per_million"), identifier))).where(F.col("place") <= k)
 
 
+def similar_players(df: DataFrame, group: str, identifier: str, measures: list[str], k: int = 5, cells: int = 16) -> DataFrame:
+    """(group, id, place, other, distance): the k nearest players of the same group by standardised measures, ties by id; a top-k report.
+
+    Each group is cut into ``cells`` ranges of its first measure. A player meets its own cell and the two beside it; whose k-th
+    neighbour is nearer than the border of what was seen is done, and only the others meet the rest of their group.
+    """
+    zs = [f"z{i}" for i in range(len(measures))]
+    stats = df.groupBy(group).agg(*[x for m, z in zip(measures, zs) for x in (F.avg(m).alias(f"a_{z}"), F.stddev_pop(m).alias(f"s_{z}"))])
+    scaled = df.join(stats, group).select(group, F.col(identifier).alias("id"), *[F.coalesce((F.col(m) - F.col(f"a_{z}")) / F.nullif(F.col(f"s_{z}"), F.lit(0.0)), F.lit(0.0)).alias(z) for m, z in zip(measures, zs)])
+    edges = scaled.groupBy(group).agg(F.min("z0").alias("low"), F.greatest((F.max("z0") - F.min("z0")) / cells, F.lit(1e-9)).alias("width"))
+    placed = scaled.join(edges, group).withColumn("cell", F.least(F.floor((F.col("z0") - F.col("low")) / F.col("width")), F.lit(cells - 1)))
+    other = placed.select(group, F.col("id").alias("other"), F.col("cell").alias("at"), *[F.col(z).alias(f"o_{z}") for z in zs])
+    distance = F.sqrt(sum((F.pow(F.col(z) - F.col(f"o_{z}"), 2) for z in zs), F.lit(0.0)))
+
+    def nearest(pairs: DataFrame) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(group, "id").orderBy("distance", "other"))
+        return pairs.where("id <> other").withColumn("distance", distance).withColumn("place", place).where(F.col("place") <= k).select(group, "id", "place", "other", "distance")
+
+    seen = nearest(placed.withColumn("at", F.explode(F.sequence(F.col("cell") - 1, F.col("cell") + 1))).join(other, [group, "at"]))
+    below = F.when(F.col("cell") >= 2, F.col("z0") - F.col("low") - (F.col("cell") - 1) * F.col("width"))
+    above = F.when(F.col("cell") <= cells - 3, F.col("low") + (F.col("cell") + 2) * F.col("width") - F.col("z0"))
+    last = seen.where(F.col("place") == k).select(group, "id", F.col("distance").alias("farthest"))
+    judged = placed.withColumn("border", F.least(below, above)).join(last, [group, "id"], "left")
+    open_ = judged.where(F.col("border").isNotNull() & ~F.coalesce(F.col("farthest") < F.col("border"), F.lit(False))).select(group, "id", *zs)
+    rest = nearest(open_.join(other, group))
+    return seen.join(open_.select(group, "id"), [group, "id"], "left_anti").unionByName(rest)
+
+
+def projections(minutes: DataFrame, performance: DataFrame, keys: list[str], version: str) -> DataFrame:
+    """Minutes model times performance model: ``projected`` points of each key, with the tenth and ninetieth percentile.
+
+    ``minutes`` has the keys and expected_minutes; ``performance`` the keys and per_90 of past matches, one row a match.
+    """
+    rates = performance.groupBy(*keys).agg(F.avg("per_90").alias("rate"), *[F.percentile("per_90", F.lit(p)).alias(f"__p{round(100 * p)}") for p in (0.1, 0.9)])
+    share = F.col("expected_minutes") / 90
+    return minutes.join(rates, keys).select(*keys, (share * F.col("rate")).alias("projected"), (share * F.col("__p10")).alias("p10"), (share * F.col("__p90")).alias("p90"), F.lit(version).alias("version"))
+
+
+def season_projection(rounds: DataFrame, keys: list[str], done: str) -> DataFrame:
+    """The sum of the projections of rounds that are still to come, by key and version."""
+    return rounds.where(~F.col(done)).groupBy(*keys, "version").agg(F.sum("projected").alias("projected"), F.count(F.lit(1)).alias("rounds"))
+
+
+def temporal_split(df: DataFrame, day: str, cutoff) -> tuple[DataFrame, DataFrame]:
+    """(before, from the cutoff on): a model is judged on days that it could not have seen."""
+    return df.where(F.col(day) < F.lit(cutoff)), df.where(F.col(day) >= F.lit(cutoff))
+
+
+def start_accuracy(projected: DataFrame, actual: DataFrame, keys: list[str], groups: list[str]) -> DataFrame:
+    """Share of right calls of who starts, by group: a probability of at least one half against ``started``."""
+    both = projected.join(actual, keys).withColumn("right", (F.col("start_probability") >= 0.5) == F.col("started"))
+    return both.groupBy(*groups).agg(F.avg(F.col("right").cast("double")).alias("accuracy"), F.count(F.lit(1)).alias("n"))
+
+
+def active_models(registry: DataFrame) -> DataFrame:
+    """Of a registry (model, version, event, at) the version of each model that is active: the latest activation that no later archiving of it undid."""
+    last = algebra.latest_per_key(registry.where(F.col("event").isin("activate", "archive")), ["model", "version"], [F.col("at"), F.col("event")])
+    return algebra.latest_per_key(last.where("event = 'activate'"), ["model"], [F.col("at"), F.col("version")]).select("model", "version", "at")
+
+
 def projection_error(projected: DataFrame, actual: DataFrame, keys: list[str], groups: list[str]) -> DataFrame:
     """Mean absolute error of projections (columns projected, version) by group, and how many were compared."""
     both = projected.join(actual, keys)
@@ -176,6 +274,11 @@ def regression(df: DataFrame, groups: list[str], y: str, x: str) -> DataFrame:
     return df.groupBy(*groups).agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.regr_r2(y, x).alias("r2"))
 
 
+def status_histogram(attempts: DataFrame, groups: list[str], status: str) -> DataFrame:
+    """How often each HTTP status came, by group."""
+    return attempts.groupBy(*groups, status).agg(F.count(F.lit(1)).alias("n"))
+
+
 def direct_access_verdict(statuses: Column) -> Column:
     """From an array of HTTP statuses: 403 before 200 before 429 before anything else; the words are fixed values."""
     has = lambda s: F.array_contains(statuses, s)

@@ -15,12 +15,14 @@ class CuratedStore:
     """Tables at ``curated/{table}/{key=value}/``. Partition values are text, in the path and when read back.
 
     Every write that depends on the stored rows is staged beside the table and moved in afterwards, so that
-    a table is never overwritten while it is read, and a crash leaves the old rows. Only partitions
-    that a write names are touched.
+    a table is never overwritten while it is read. A note of each move is written first and deleted last; opening the store
+    ends or undoes what a crash left half done, so the rows are the old or the new ones, never none. One process writes at a
+    time. Only partitions that a write names are touched.
     """
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base, self._stages = spark, base_uri(base), []
+        self._recover()
 
     def path(self, table: str, partition: dict[str, str] | None = None) -> str:
         steps = "".join(f"/{k}={v}" for k, v in (partition or {}).items())
@@ -77,20 +79,53 @@ class CuratedStore:
         self._stages.clear()
 
     def _swap(self, df: DataFrame, target: str) -> None:
-        """Stages ``df``, moves ``target`` aside, puts the new rows in its place, then drops the old ones."""
-        staging = f"{self.base}/curated/_staging-{uuid.uuid4().hex}"
-        df.write.parquet(staging)
-        new, files = self._at(staging)
+        """Stages ``df``, notes the move, moves ``target`` aside, puts the new rows in its place, drops the old ones and the note."""
+        name = uuid.uuid4().hex
+        df.write.parquet(f"{self.base}/curated/_staging-{name}")
+        note, files = self._at(f"{self.base}/curated/_moves/{name}")
+        out = files.create(note, True)
+        try:
+            out.write(bytearray(target.encode()))
+        finally:
+            out.close()
+        self._finish(name, target)
+
+    def _finish(self, name: str, target: str) -> None:
+        """The steps of a move that are still to do; each may have been the last before a crash."""
+        new, files = self._at(f"{self.base}/curated/_staging-{name}")
+        aside, _ = self._at(f"{self.base}/curated/_staging-{name}-old")
         old, _ = self._at(target)
-        files.mkdirs(old.getParent())
-        aside, _ = self._at(f"{staging}-old")
-        stored = files.exists(old)
-        if stored and not files.rename(old, aside):
-            raise OSError(f"could not move {target} aside")
-        if not files.rename(new, old):
-            raise OSError(f"could not move {staging} to {target}; the old rows are in {staging}-old")
-        if stored:
-            files.delete(aside, True)
+        note, _ = self._at(f"{self.base}/curated/_moves/{name}")
+        if files.exists(new):
+            files.mkdirs(old.getParent())
+            if files.exists(old):
+                if files.exists(aside):
+                    raise OSError(f"{target} and its old rows in {aside} are both there")
+                if not files.rename(old, aside):
+                    raise OSError(f"could not move {target} aside")
+            if not files.rename(new, old):
+                raise OSError(f"could not move {new} to {target}; the old rows are in {aside}")
+        files.delete(aside, True)
+        files.delete(note, False)
+
+    def _recover(self) -> None:
+        """Ends the moves that have a note: their new rows were complete before it was written."""
+        notes, files = self._at(f"{self.base}/curated/_moves")
+        if not files.exists(notes):
+            return
+        for status in files.listStatus(notes):
+            name = status.getPath().getName()
+            if name.endswith(".crc") or name.startswith("."):
+                continue
+            source = files.open(status.getPath())
+            try:
+                target = bytes(b & 0xFF for b in source.readAllBytes()).decode()
+            finally:
+                source.close()
+            if target:
+                self._finish(name, target)
+            else:  # the note itself was cut off: nothing has moved
+                files.delete(status.getPath(), False)
 
     def write_table(self, table: str, df: DataFrame, partition: dict[str, str] | None = None) -> None:
         """Overwrites one partition, or an unpartitioned table; an empty frame leaves it there and empty."""
@@ -134,18 +169,15 @@ class CuratedStore:
         return gone
 
     def restamp(self, table: str, mapping: DataFrame, id_column: str, mapped_id: str, partition_keys: list[str], canonical: str = "canonical_id") -> int:
-        """Recomputes canonical ids from ``mapping`` and rewrites only partitions in which one changed; returns the rows of those."""
+        """Recomputes canonical ids from ``mapping`` and rewrites only partitions in which one changed, all in one write; returns the rows of those."""
         if not self.exists(table):
             return 0
         whole = self.read_table(table)
-        new = algebra.lookup(whole.drop(canonical).withColumn("__old", F.lit(None)) if canonical not in whole.columns else whole.withColumnRenamed(canonical, "__old"), mapping, id_column, mapped_id, canonical, "")
+        old = whole.withColumnRenamed(canonical, "__old") if canonical in whole.columns else whole.withColumn("__old", F.lit(None).cast("string"))
+        new = self.staged(algebra.lookup(old, mapping, id_column, mapped_id, canonical, ""))
         changed = new.where(~F.coalesce("__old", F.lit("")).eqNullSafe(F.col(canonical))).select(*partition_keys).distinct()
-        rewritten = 0
-        for part in [r.asDict() for r in changed.collect()]:
-            cond = F.lit(True)
-            for k, v in part.items():
-                cond = cond & (F.col(k) == v)
-            rows = new.where(cond).drop("__old")
-            rewritten += rows.count()
-            self.write_table(table, rows, part)
+        rows = self.staged(algebra.with_keys(new, changed, partition_keys).drop("__old"))
+        rewritten = rows.count()
+        if rewritten:
+            self.write_partitioned(table, rows, partition_keys)
         return rewritten

@@ -9,12 +9,12 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from canonlake.functions.scalars import MONEY_PATTERN, MONEY_UNITS
+
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 #: What an end tag of the key closes on the way, and what a new one closes: cells and rows without end tags.
 _CLOSES = {"tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "li": {"li"}, "p": {"p"}}
-_MONEY = re.compile(r"€\s*([\d.,]+)\s*(bn|m|k|th)?", re.IGNORECASE)
-# Units of money.
-_UNITS = {"bn": 1_000_000_000, "m": 1_000_000, "k": 1_000, "th": 1_000, "": 1}
+_MONEY = re.compile(MONEY_PATTERN, re.IGNORECASE)
 
 
 class Node:
@@ -24,10 +24,12 @@ class Node:
         self.tag, self.attrs, self.children = tag, attrs, []
 
     def walk(self) -> Iterator[Node]:
-        for child in self.children:
-            if isinstance(child, Node):
-                yield child
-                yield from child.walk()
+        """All elements below, in the order of the page; with a stack, as pages may be nested to any depth."""
+        stack = [c for c in reversed(self.children) if isinstance(c, Node)]
+        while stack:
+            node = stack.pop()
+            yield node
+            stack += [c for c in reversed(node.children) if isinstance(c, Node)]
 
     def all(self, tag: str, cls: str | None = None, **attrs: str) -> list[Node]:
         """Descendants of a tag whose class list matches ``cls`` (a pattern of a whole class) and whose attributes match their patterns."""
@@ -38,12 +40,13 @@ class Node:
         return found[0] if found else None
 
     def parts(self, skip: str | None = None) -> list[str]:
-        out = []
-        for child in self.children:
+        out, stack = [], list(reversed(self.children))
+        while stack:
+            child = stack.pop()
             if isinstance(child, str):
                 out.append(child.strip())
             elif not (skip and skip in child.attrs.get("class", "")):
-                out += child.parts(skip)
+                stack += reversed(child.children)
         return [p for p in out if p]
 
     def text(self, between: str = "", skip: str | None = None) -> str:
@@ -100,8 +103,12 @@ def _body(root: Node) -> Node | None:
 
 
 def _amount(text: str) -> int | None:
+    """The first amount in euros; null without one, or where its number cannot be read."""
     match = _MONEY.search(text)
-    return round(float(match[1].replace(",", "")) * _UNITS[(match[2] or "").lower()]) if match else None
+    try:
+        return round(float(match[1].replace(",", "")) * MONEY_UNITS[(match[2] or "").lower()]) if match else None
+    except ValueError:
+        return None
 
 
 def _number(text: str) -> int | None:

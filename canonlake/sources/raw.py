@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from datetime import UTC, date, datetime
+from datetime import UTC, date, datetime, timedelta
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,11 +27,18 @@ def base_uri(uri: str) -> str:
     raise ValueError(f"unknown scheme in {uri}: file, s3, hdfs and viewfs are supported")
 
 
+def _named(files: DataFrame) -> DataFrame:
+    """(name, fecha_descarga, payload) of text files by their paths; the name is empty where the path has no date."""
+    path, pattern = F.regexp_replace(F.col("_metadata.file_path"), "%20", " "), rf"/{DOWNLOADED}=(\d{{4}}-\d{{2}}-\d{{2}})/([^/]+)\.[^/.]+$"
+    return files.select(F.regexp_extract(path, pattern, 2).alias("name"), F.try_to_date(F.nullif(F.regexp_extract(path, pattern, 1), F.lit("")), "yyyy-MM-dd").alias(DOWNLOADED), F.col("value").alias("payload"))
+
+
 class RawStore:
     """Writes payloads as they come and reads the latest one of each name."""
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base_uri(base)
+        self._listed: dict[tuple[str, str, str], dict[str, tuple[date, str]]] = {}
 
     def _files(self, path: str):
         where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -51,31 +58,60 @@ class RawStore:
         if files.exists(final):
             files.delete(final, False)
         files.rename(part, final)
+        listed = self._listed.get((source, dataset, extension))
+        if listed is not None and (name not in listed or listed[name][0] <= day):
+            listed[name] = (day, key)
         return key
 
     def payloads(self, source: str, dataset: str, extension: str = "json") -> DataFrame:
-        """(name, fecha_descarga, payload) of every dated file; folders without a date and other extensions are ignored."""
+        """(name, fecha_descarga, payload) of every version of every name; for audits, as it opens all of them."""
         base = f"{self.base}/raw/{source}/{dataset}"
         where, files = self._files(base)
-        empty = self.spark.createDataFrame([], f"name string, {DOWNLOADED} date, payload string")
         if not files.exists(where):
-            return empty
+            return self._read({})
         found = self.spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{extension}").text(base, wholetext=True)
-        path = F.regexp_replace(F.col("_metadata.file_path"), "%20", " ")
-        pattern = rf"/{DOWNLOADED}=(\d{{4}}-\d{{2}}-\d{{2}})/([^/]+)\.{re.escape(extension)}$"
-        named = found.select(F.regexp_extract(path, pattern, 2).alias("name"), F.try_to_date(F.nullif(F.regexp_extract(path, pattern, 1), F.lit("")), "yyyy-MM-dd").alias(DOWNLOADED), F.col("value").alias("payload"))
-        return named.where(F.col(DOWNLOADED).isNotNull())
-
-    def latest(self, source: str, dataset: str, extension: str = "json") -> DataFrame:
-        """The newest payload of each name. The days are maximised first, so payloads are read and moved once."""
-        return self.payloads(source, dataset, extension).groupBy("name").agg(F.max_by("payload", DOWNLOADED).alias("payload"), F.max(DOWNLOADED).alias(DOWNLOADED))
+        return _named(found).where(F.col("name") != "")
+
+    def listing(self, source: str, dataset: str, extension: str = "json") -> dict[str, tuple[date, str]]:
+        """The newest day of each name and its file, from one listing; no payload is opened.
+
+        The listing is distributed and folded by name before it reaches the driver, which holds an entry a name, fewer than the
+        file index of any scan. It is kept for the life of this store and follows ``save``. Folders without a date and other
+        extensions are ignored.
+        """
+        kept = self._listed.get((source, dataset, extension))
+        if kept is not None:
+            return kept
+        base = f"{self.base}/raw/{source}/{dataset}"
+        where, files = self._files(base)
+        found: dict[str, tuple[date, str]] = {}
+        if files.exists(where):
+            pattern = rf"/{DOWNLOADED}=(\d{{4}}-\d{{2}}-\d{{2}})/([^/]+)\.{re.escape(extension)}$"
+            paths = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{extension}").load(base).select("path")
+            named = paths.select("path", F.regexp_extract("path", pattern, 2).alias("name"), F.try_to_date(F.nullif(F.regexp_extract("path", pattern, 1), F.lit("")), "yyyy-MM-dd").alias("day"))
+            newest = named.where("day is not null").groupBy("name").agg(F.max(F.struct("day", "path")).alias("x"))
+            found = {r.name: (r.x.day, r.x.path) for r in newest.toLocalIterator()}
+        self._listed[source, dataset, extension] = found
+        return found
+
+    def _read(self, chosen: dict[str, tuple[date, str]]) -> DataFrame:
+        """(name, fecha_descarga, payload) of listed files, and of no others."""
+        if not chosen:
+            return self.spark.createDataFrame([], f"name string, {DOWNLOADED} date, payload string")
+        found = self.spark.read.text([path for _, path in chosen.values()], wholetext=True)
+        return _named(found)
+
+    def latest(self, source: str, dataset: str, extension: str = "json", named: str = "") -> DataFrame:
+        """(name, fecha_descarga, payload): the newest payload of each name that begins with ``named``. Older versions are not opened."""
+        return self._read({n: x for n, x in self.listing(source, dataset, extension).items() if n.startswith(named)})
 
     def read_latest(self, source: str, dataset: str, name: str, extension: str = "json") -> str | None:
-        row = self.payloads(source, dataset, extension).where(F.col("name") == name).agg(F.max_by("payload", DOWNLOADED)).first()
-        return row[0] if row else None
+        found = self.listing(source, dataset, extension).get(name)
+        return self._read({name: found}).first().payload if found else None
 
     def last_download(self, source: str, dataset: str, name: str, extension: str = "json") -> date | None:
-        return self.payloads(source, dataset, extension).where(F.col("name") == name).agg(F.max(DOWNLOADED)).first()[0]
+        found = self.listing(source, dataset, extension).get(name)
+        return found[0] if found else None
 
     def cached_or_fetched(self, source: str, dataset: str, name: str, fetch, extension: str = "json") -> str:
         """The stored payload if there is one, else what ``fetch`` returns, stored before it is interpreted."""
@@ -88,7 +124,6 @@ class RawStore:
 
     def stale(self, names: DataFrame, source: str, dataset: str, days: int | None, today: date, extension: str = "json") -> DataFrame:
         """Of ``names`` (column name), those without a download newer than ``days`` ago; None: without any download."""
-        seen = self.payloads(source, dataset, extension).groupBy("name").agg(F.max(DOWNLOADED).alias("last"))
-        if days is not None:
-            seen = seen.where(F.col("last") > F.date_sub(F.lit(today), days))
-        return names.join(seen, "name", "left_anti")
+        since = None if days is None else today - timedelta(days=days)
+        fresh = [(n,) for n, (day, _) in self.listing(source, dataset, extension).items() if since is None or day > since]
+        return names.join(self.spark.createDataFrame(fresh, "name string"), "name", "left_anti")

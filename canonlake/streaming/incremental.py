@@ -28,13 +28,26 @@ def new_files(spark: SparkSession, path: str, schema: StructType | str, fmt: str
     return spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", per_batch).load(path)
 
 
-def latest_upsert(store, table: str, keys: list[str], order: str, partition: dict[str, str]) -> Callable[[DataFrame, int], None]:
-    """A writer that keeps the latest row of each key by ``order``, so batches may come in any order and more than once."""
+def latest_upsert(store, table: str, keys: list[str], order: str, partition: dict[str, str], buckets: int = 16) -> Callable[[DataFrame, int], None]:
+    """A writer that keeps the latest row of each key by ``order``, so batches may come in any order and more than once.
+
+    Rows lie in ``buckets`` by hash of their key. A batch reads and rewrites only the buckets that it hits, in one job;
+    their number is fixed, so a large table takes more of them.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        existing = store.read_partition(table, partition)
-        rows = batch if existing is None else existing.unionByName(batch, allowMissingColumns=True)
-        store.write_table(table, algebra.latest_per_key(rows, keys, [F.col(order)]), partition)
+        rows = batch.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("string"))
+        for name, value in partition.items():
+            rows = rows.withColumn(name, F.lit(value))
+        rows = store.staged(rows)
+        hit = [r.bucket for r in rows.select("bucket").distinct().collect()]  # at most ``buckets`` names
+        if hit:
+            same = F.col("bucket").isin(hit)
+            for name, value in partition.items():
+                same = same & (F.col(name) == value)
+            both = rows.unionByName(store.read_table(table).where(same), allowMissingColumns=True) if store.exists(table) else rows
+            store.write_partitioned(table, store.staged(algebra.latest_per_key(both, keys, [F.col(order)])), [*partition, "bucket"])
+        store.sweep()
 
     return write
 
