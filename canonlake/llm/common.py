@@ -39,6 +39,18 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened until no column of ``df`` has them, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def lookup(df: DataFrame, label: str, rows: int = 100_000) -> DataFrame:
     """A staged table that is broadcast into joins if it has at most ``rows`` rows, by count. A larger one is joined by
     its key as Spark sees fit, with skewed keys of the other side split."""

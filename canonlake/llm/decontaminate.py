@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canonlake.llm.common import staged
+from canonlake.llm.common import fresh, staged
 
 #: Bytes to words: A-Z to lower case, every byte that is no digit, letter or part of a wider character to a space.
 WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -159,26 +160,45 @@ class Automaton:
         return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
 
 
-def _blocks(items: DataFrame) -> Iterator[list[tuple[int, list[bytes]]]]:
-    """The items with words, block by block; the driver holds one block and one partition of the items."""
+def _blocks(items: DataFrame, window: int, block_words: int) -> Iterator[list[tuple[int, list[bytes]]]]:
+    """The items with words, block by block; the driver holds one block and one partition of the items.
+
+    A longer item is cut into parts that overlap by a window less one word, so all its windows are there; the parts keep its id.
+    """
     block: list[tuple[int, list[bytes]]] = []
     size = 0
+    step = max(1, block_words - window + 1)
     for row in items.toLocalIterator():
         words = words_of(bytes(row.text))
         if not words or row.id is None:
             continue
-        if block and size + len(words) > BLOCK_WORDS:
-            yield block
-            block, size = [], 0
-        block.append((row.id, words))
-        size += len(words)
+        for at in range(0, max(1, len(words) - window + 1), step):
+            part = words[at : at + step + window - 1]
+            if block and size + len(part) > block_words:
+                yield block
+                block, size = [], 0
+            block.append((row.id, part))
+            size += len(part)
     if block:
         yield block
 
 
+#: The automaton that a worker built last, by the name of its block: the tasks of a worker share it.
+_built: dict[str, Automaton] = {}
+
+
+def _automaton(name: str, shared, window: int) -> Automaton:
+    if name not in _built:
+        _built.clear()
+        _built[name] = Automaton(shared.value, window)
+    return _built[name]
+
+
 def _scan(shared, window: int):
+    name = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(shared.value, window)
+        automaton = _automaton(name, shared, window)
         for batch in batches:
             out = []
             for key, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
@@ -208,16 +228,16 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(lists, pa.list_(pa.int64())), batch.column(4), pa.array(hit, pa.int64())], names=["row", "id", "n_words", "spans", "items", "n_hit"])
 
 
-def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10, block_words: int = BLOCK_WORDS) -> DataFrame:
     """A row for each row of ``docs``: ``id_col``, ``row`` (hash of the text), n_words, spans, items, n_hit.
 
     Words are runs of a-z, 0-9 and non-ASCII characters after A-Z went to lower case. A window is ``window``
     consecutive words of an item, or a shorter item whole. ``spans`` lists begin and end (exclusive, in words) of
     the maximal runs inside windows, ``items`` the items whose windows occur, in order.
 
-    The automaton holds a block of items of at most ``BLOCK_WORDS`` words, a proven bound, and is broadcast as
-    those items; each task builds it. Further blocks take further passes, whose narrow results are merged
-    per document. Documents are streamed where they lie: texts are never shuffled.
+    The automaton holds a block of items of at most ``block_words`` words, a proven bound, and is broadcast as
+    those items; each worker builds it once. Further blocks take further passes, whose narrow results are merged
+    per document; an item above the bound is cut into parts that overlap by a window less a word. Documents are streamed where they lie: texts are never shuffled.
 
     Null texts have no words. Items that are null, empty or without an id match nothing; equal items all count.
     Null ids are kept; repeated ids are judged row by row. No items: no hits. An empty table gives an
@@ -228,7 +248,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     texts = docs.select(F.xxhash64(text).alias("row"), F.col(id_col).alias("id"), text.cast("binary").alias("text"))
     named = items.select(F.col(item_col).cast("long").alias("id"), F.coalesce(F.col(item_text_col), F.lit("")).cast("binary").alias("text"))
     schema = f"row long, id {texts.schema['id'].dataType.simpleString()}, n_words long, spans array<long>, items array<long>"
-    passes = [staged(texts.mapInArrow(_scan(spark.sparkContext.broadcast(block), window), schema), "hits") for block in _blocks(named)]
+    passes = [staged(texts.mapInArrow(_scan(spark.sparkContext.broadcast(block), window), schema), "hits") for block in _blocks(named, window, block_words)]
     if not passes:
         passes = [texts.mapInArrow(_scan(spark.sparkContext.broadcast([]), window), schema)]
     found = passes[0]
@@ -254,17 +274,21 @@ def _cut(text: bytes, spans: list[int]) -> bytes:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10, max_coverage: float = 0.5) -> DataFrame:
-    """``docs`` without spans that match ``window`` words or more of an item.
+    """``docs`` without spans that match ``window`` words or more of an item, with its columns as they are.
 
     Documents of which spans cover ``max_coverage`` of the words or more go whole; of the others only the spans
-    go. Documents without a hit are returned unchanged, null texts and ids too. See ``contamination``.
+    go. Documents without a hit are returned unchanged, null and empty texts and null ids too. Rows that repeat an id or a
+    text are judged row by row; long texts are read whole. An empty table gives an empty table, and no items leave all as it is.
+    Columns of any name may be there: the names used inside give way. See ``contamination``.
     """
+    key, row, spans, gone = fresh(docs, "id", "row", "spans", "gone")
     found = contamination(docs, items, id_col, text_col, item_col, item_text_col, window).where("n_hit > 0")
-    found = staged(found.select(F.col(id_col).alias("__id"), F.col("row").alias("__row"), F.col("spans").alias("__spans"), (F.col("n_hit") >= max_coverage * F.col("n_words")).alias("__gone")).dropDuplicates(["__id", "__row"]), "contaminated")
+    found = found.select(F.col(id_col).alias(key), F.col("row").alias(row), F.col("spans").alias(spans), (F.col("n_hit") >= max_coverage * F.col("n_words")).alias(gone))
+    found = staged(found.dropDuplicates([key, row]), "contaminated")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    joined = docs.join(found, docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__row")), "left").where(~F.coalesce("__gone", F.lit(False)))
+    joined = docs.join(found, F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(text) == F.col(row)), "left").where(~F.coalesce(gone, F.lit(False)))
     cut = _text_cutter()
-    return joined.withColumn(text_col, F.coalesce(cut(F.when(F.col("__spans").isNotNull(), F.col(text_col)), F.col("__spans")), F.col(text_col))).select(*docs.columns)
+    return joined.withColumn(text_col, F.coalesce(cut(F.when(F.col(spans).isNotNull(), F.col(text_col)), F.col(spans)), F.col(text_col))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _text_cutter():

@@ -264,5 +264,5 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 2) -> DataFrame:
     """The rows of ``df`` whose id names their component, unchanged; rows without an id stay."""
     classes = near_duplicates(df, id_col, text_col, bits)
-    gone = classes.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct()
-    return df.join(gone, df[id_col] == F.col("__gone"), "left_anti")
+    gone = classes.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(gone_id)).distinct()
+    return df.join(gone, df[id_col] == F.col(gone_id), "left_anti")

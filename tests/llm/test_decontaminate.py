@@ -48,10 +48,10 @@ def cases(seed):
     return docs, items
 
 
-def found(spark, docs, items):
+def found(spark, docs, items, **settings):
     d = spark.createDataFrame(docs, "doc_id long, text string")
     i = spark.createDataFrame(items, "item_id long, text string")
-    rows = deco.contamination(d, i).collect()
+    rows = deco.contamination(d, i, **settings).collect()
     return sorted(((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in rows), key=str)
 
 
@@ -61,12 +61,15 @@ def test_hits_match_a_plain_search(spark):
         assert found(spark, docs, items) == brute(docs, items)
 
 
-def test_long_items_alone_and_blocks(spark, monkeypatch):
+def test_long_items_alone_and_blocks(spark):
     docs, items = cases(7)
     items = [x for x in items if len(words(x[1])) >= 10] + [(200 + k, " ".join(f"w{(k * j) % 6}" for j in range(25))) for k in range(4)]
     assert found(spark, docs, items) == brute(docs, items)
-    monkeypatch.setattr(deco, "BLOCK_WORDS", 30)
-    assert found(spark, docs, items) == brute(docs, items)
+    # blocks of two items, and blocks that every longer item is cut for
+    for words_a_block in (30, 13):
+        assert found(spark, docs, items, block_words=words_a_block) == brute(docs, items)
+    docs, items = cases(8)
+    assert found(spark, docs, items, block_words=12) == brute(docs, items)
 
 
 def test_automaton_against_all_factors():
@@ -90,3 +93,18 @@ def test_spans_are_cut_and_clean_rows_stay(spark):
     assert rows == {(1, "clean text, whole."), (2, "before " * 20 + "! after é"), (None, None)}
     assert deco.decontaminate(d.limit(0), spark.createDataFrame([], "item_id long, text string")).count() == 0
     assert deco.decontaminate(d, spark.createDataFrame([], "item_id long, text string")).count() == 5
+
+
+def test_very_long_texts_repeated_items_and_clashing_names(spark):
+    rng = random.Random(4)
+    item = " ".join(f"q{k}" for k in range(30))
+    long = " ".join(rng.choice(["a", "b", "q3"]) for _ in range(400_000)) + " " + item + " tail" * 1000
+    docs = [(1, long, 9, 9, "x", True), (2, item, 9, 9, "x", True), (None, "short", 9, 9, "x", True), (3, "", 9, 9, "x", True)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, id int, `ROW` int, spans string, gone boolean")
+    i = spark.createDataFrame([(5, item), (5, item), (6, item), (None, item)], "item_id long, text string")
+    rows = {r.doc_id: (r.n_words, r.n_hit, list(r["items"])) for r in deco.contamination(d, i).collect()}
+    assert rows == {1: (401_030, 30, [5, 6]), 2: (30, 30, [5, 6]), None: (1, 0, []), 3: (0, 0, [])}
+    left = deco.decontaminate(d, i)
+    assert left.columns == d.columns
+    got = {r.doc_id: len(r.text) for r in left.collect()}
+    assert got == {1: len(long) - len(item), None: 5, 3: 0}
