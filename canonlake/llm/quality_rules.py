@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canonlake.llm.common import SPACES, let, lookup, staged
+from canonlake.llm.common import SPACES, fresh, let, lookup, staged
 
-#: The smallest standard deviation that a statistic counts with, so that a statistic that hardly varies
-#: (symbols, say) rejects no document for a trace of it.
+#: The smallest standard deviation that a statistic counts with, so that a statistic that hardly varies rejects no document for a
+#: trace of it. A root of a share of n varies by about 1 / (2 sqrt(n)) by chance alone, whatever the share: 0.05 for symbols among the
+#: 100 characters of the shortest text that passes (50 words of two), 0.15 for lines and for repeated stretches, of
+#: which such a text has about 11. Lengths of texts differ by half a unit of their logarithm, those of words by a tenth.
 FLOORS = {"f_words": 0.5, "f_length": 0.1, "f_symbols": 0.05, "f_lines": 0.15, "f_repeats": 0.15}
 FEATURES = list(FLOORS)
 #: Bins a unit in which quantiles are counted; values are logarithms and roots, so a group has some thousands of bins at most.
@@ -70,9 +72,15 @@ def _distance(table: DataFrame) -> Column:
     return sum((x * x for x in z[1:]), z[0] * z[0])
 
 
+#: Estimates up to which their tables are broadcast.
+SMALL = 100_000
+#: What names an estimate: a group, and the start that it came from.
+KEYS = ["grp", "start"]
+
+
 def _factored(moments: DataFrame) -> DataFrame:
-    """Means m and covariances c of each group to means and Cholesky factors l; the floors enter the diagonal."""
-    out = moments
+    """Means m and covariances c of each estimate to means, Cholesky factors l and the logarithm of the determinant; the floors enter the diagonal."""
+    out, n = moments, len(FEATURES)
     for i, f in enumerate(FEATURES):
         for j in range(i + 1):
             value = F.col(f"c{i}_{j}") + (F.lit(FLOORS[f] ** 2) if i == j else F.lit(0.0))
@@ -80,47 +88,88 @@ def _factored(moments: DataFrame) -> DataFrame:
                 value = value - F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}")
             # the floors make the matrix positive definite; greatest() only guards rounding
             out = out.withColumn(f"l{i}_{j}", F.sqrt(F.greatest(value, F.lit(1e-9))) if i == j else value / F.col(f"l{j}_{j}"))
-    return out.select("grp", *[f"m{i}" for i in range(len(FEATURES))], *[f"l{i}_{j}" for i in range(len(FEATURES)) for j in range(i + 1)])
+    logdet = sum((2 * F.log(f"l{i}_{i}") for i in range(1, n)), 2 * F.log("l0_0"))
+    return out.select(*KEYS, *[f"m{i}" for i in range(n)], *[f"l{i}_{j}" for i in range(n) for j in range(i + 1)], logdet.alias("logdet"))
+
+
+def _binned(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """``df`` with the bin of each value, of ``BINS`` a unit, for ``_quantile``."""
+    return df.withColumns({f"bin_{name}": F.floor(value * BINS) for name, value in values.items()})
 
 
-def _quantiles(rows: DataFrame, values: dict[str, Column], share: float) -> DataFrame:
-    """A row a group with the given quantile of each named value, from counts in ``BINS`` bins a unit.
+def _quantile(name: str, share: float) -> Column:
+    """An aggregate of binned values: the upper edge of the first bin up to which ``share`` of them lie.
 
-    Counts come out the same however rows are dealt out, and have partial sums before the
-    shuffle; the running sums go over bins, not rows.
+    Tasks count values by bin and only counts are merged, so the result does not depend on how rows are dealt out, and a
+    group's state has as many entries as it has bins.
     """
-    each = rows.select("grp", F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.floor(v * BINS).alias("bin")) for n, v in values.items()])).alias("x"))
-    counts = each.groupBy("grp", "x.name", "x.bin").agg(F.count(F.lit(1)).alias("n"))
-    one = Window.partitionBy("grp", "name")
-    reached = counts.withColumn("total", F.sum("n").over(one)).withColumn("sofar", F.sum("n").over(one.orderBy("bin"))).where(F.col("sofar") >= share * F.col("total"))
-    found = reached.groupBy("grp", "name").agg(((F.min("bin") + 1) / BINS).alias("value"))
-    return found.groupBy("grp").agg(*[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in values])
+    return (F.expr(f"percentile_disc({share}) within group (order by bin_{name})") + 1) / BINS
+
+
+def _moments(value=F.col) -> list[Column]:
+    n = len(FEATURES)
+    return [
+        *[F.avg(value(f)).alias(f"m{i}") for i, f in enumerate(FEATURES)],
+        *[F.covar_pop(value(FEATURES[i]), value(FEATURES[j])).alias(f"c{i}_{j}") for i in range(n) for j in range(i + 1)],
+    ]
 
 
-def fit_groups(stats: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
+def _starts(stats: DataFrame) -> DataFrame:
+    """Three first estimates of each group: medians with median deviations, plain moments, and medians with the covariance of spatial signs, which outliers pull by their direction only."""
+    n = len(FEATURES)
+    medians = lookup(_binned(stats, {f: F.col(f) for f in FEATURES}).groupBy("grp").agg(*[_quantile(f, 0.5).alias(f"m{i}") for i, f in enumerate(FEATURES)]), "mcd-medians")
+    off = lambda i: F.col(FEATURES[i]) - F.col(f"m{i}")
+    apart = _binned(stats.join(medians, "grp"), {f: F.abs(off(i)) for i, f in enumerate(FEATURES)})
+    spreads = apart.groupBy("grp").agg(*[F.greatest(1.4826 * _quantile(f, 0.5), F.lit(FLOORS[f])).alias(f"d{i}") for i, f in enumerate(FEATURES)])
+    spreads = lookup(spreads, "mcd-spreads")
+    both = stats.join(medians, "grp").join(spreads, "grp")
+    scaled = [off(i) / F.col(f"d{i}") for i in range(n)]
+    norm = F.greatest(F.sqrt(sum((x * x for x in scaled[1:]), scaled[0] * scaled[0])), F.lit(1e-9))
+    signs = both.groupBy("grp").agg(*[F.avg(scaled[i] * scaled[j] / (norm * norm)).alias(f"s{i}_{j}") for i in range(n) for j in range(i + 1)])
+    centre = medians.join(spreads, "grp")
+    covariances = [(i, j) for i in range(n) for j in range(i + 1)]
+    told = lambda start, df, c: df.select("grp", F.lit(start).alias("start"), *[f"m{i}" for i in range(n)], *[c(i, j).alias(f"c{i}_{j}") for i, j in covariances])
+    median = told("median", centre, lambda i, j: F.pow(f"d{i}", F.lit(2)) if i == j else F.lit(0.0))
+    plain = told("moments", stats.groupBy("grp").agg(*_moments()), lambda i, j: F.col(f"c{i}_{j}"))
+    signed = told("signs", centre.join(signs, "grp"), lambda i, j: n * F.col(f"s{i}_{j}") * F.col(f"d{i}") * F.col(f"d{j}"))
+    return median.unionByName(plain).unionByName(signed)
+
+
+def fit_groups(stats: DataFrame, share: float = 0.75, steps: int = 50) -> DataFrame:
     """Minimum-covariance-determinant estimates of each group: a row with means, a Cholesky factor and ``scale``.
 
-    The start is the coordinate-wise median and median deviation. A concentration step takes the ``share`` of a
-    group's documents nearest to the estimate and estimates anew from them; the determinant never grows from
-    step to step. Everything is grouped aggregation with partial sums, so a group with a third of all rows
-    is no hot spot; estimates are tables of a row a group, broadcast if counted small, and never reach the driver.
+    From each of three starts, concentration steps take the ``share`` of a group's documents nearest to the estimate and estimate
+    anew from them. The determinant falls from step to step and settles after finitely many; a start is left alone once it
+    changes by less than a millionth, and the work ends when all have (``steps`` only guards against rounding that
+    never settles). Of a group's three results the one with the least determinant counts.
+
+    Everything is grouped aggregation with partial sums and partial counts, so a group with a third of all rows
+    is no hot spot; estimates are tables of three rows a group, broadcast if counted small, and never reach the driver.
+    Groups of equal rows end at the floors. No rows give no estimates; null statistics must not occur.
     """
-    n = len(FEATURES)
-    centre = lookup(_quantiles(stats, {f"m{i}": F.col(f) for i, f in enumerate(FEATURES)}, 0.5), "mcd-centre")
-    spread = _quantiles(stats.join(centre, "grp"), {f"d{i}": F.abs(F.col(f) - F.col(f"m{i}")) for i, f in enumerate(FEATURES)}, 0.5).join(centre, "grp")
-    start = spread.withColumns({f"c{i}_{j}": F.pow(1.4826 * F.col(f"d{i}"), 2) if i == j else F.lit(0.0) for i in range(n) for j in range(i + 1)})
-    fitted = lookup(_factored(start), "mcd-start")
+    fitted = staged(_factored(_starts(stats)), "mcd-start")
+    small = fitted.count() <= SMALL
+    shown = lambda df: F.broadcast(df) if small else df  # noqa: E731 - tables with a row an estimate, which are as many as were counted
+    settled = None
+    open_ = fitted
     for step in range(steps):
-        measured = stats.join(fitted, "grp").withColumn("d2", _distance(fitted)).select("grp", "d2", *FEATURES)
-        limits = lookup(_quantiles(measured, {"limit": F.log1p("d2")}, share), f"mcd-limit{step}")
-        near = measured.join(limits, "grp").where(F.log1p("d2") <= F.col("limit"))
-        moments = near.groupBy("grp").agg(
-            *[F.avg(f).alias(f"m{i}") for i, f in enumerate(FEATURES)],
-            *[F.covar_pop(FEATURES[i], FEATURES[j]).alias(f"c{i}_{j}") for i in range(n) for j in range(i + 1)],
-        )
-        fitted = lookup(_factored(moments), f"mcd-step{step}")
-    scale = _quantiles(stats.join(fitted, "grp").withColumn("d2", _distance(fitted)), {"middle": F.log1p("d2")}, 0.5).select("grp", (F.expm1("middle") / CHI2_MEDIAN).alias("scale"))
-    return lookup(fitted.join(scale.withColumn("scale", F.greatest("scale", F.lit(1.0))), "grp"), "mcd")
+        measured = stats.join(shown(open_), "grp").withColumn("d2", _distance(open_)).select(*KEYS, F.log1p("d2").alias("d"), *FEATURES)
+        limits = _binned(measured, {"d": F.col("d")}).groupBy(*KEYS).agg(_quantile("d", share).alias("limit"))
+        near = measured.join(shown(limits), KEYS).where(F.col("d") <= F.col("limit"))
+        new = _factored(near.groupBy(*KEYS).agg(*_moments()))
+        before = open_.select(*KEYS, F.col("logdet").alias("before"))
+        new = staged(new.join(shown(before), KEYS).withColumn("fallen", F.col("before") - F.col("logdet")).drop("before"), f"mcd-step{step}")
+        done = new.where("abs(fallen) < 1e-6").drop("fallen")
+        settled = done if settled is None else settled.unionByName(done)
+        open_ = new.where("abs(fallen) >= 1e-6").drop("fallen")
+        if open_.isEmpty():
+            break
+    both = settled.unionByName(open_) if settled is not None else open_
+    best = both.groupBy("grp").agg(F.min(F.struct("logdet", "start")).alias("best")).select("grp", "best.start")
+    fitted = staged(both.join(best, KEYS), "mcd-best")
+    measured = stats.join(shown(fitted), "grp").withColumn("d2", _distance(fitted))
+    scale = _binned(measured, {"d": F.log1p("d2")}).groupBy("grp").agg((F.expm1(_quantile("d", 0.5)) / CHI2_MEDIAN).alias("scale"))
+    return lookup(fitted.drop("start", "logdet").join(scale.withColumn("scale", F.greatest("scale", F.lit(1.0))), "grp"), "mcd")
 
 
 def quality_rules(
@@ -138,8 +187,9 @@ def quality_rules(
     Base rules: fewer than ``min_words`` words, or more than ``max_repeat_percent`` of the words in repeated
     three-word windows, fails. The rest is measured against the robust estimate of its language and source:
     a squared Mahalanobis distance over ``cutoff`` is rejected (chi-square with five degrees of freedom has
-    1.5e-7 of its mass beyond 40). Documents that fail base rules enter no estimate. Groups with fewer than ``min_group`` documents share one
-    estimate per first group column; where that is too small as well, the base rules decide alone.
+    1.5e-7 of its mass beyond 40). Documents that fail base rules enter no estimate. Those of a group with fewer than ``min_group``
+    documents are measured against all documents of their first group column, or, where those are too few as well, against
+    all documents; if even they are too few, the base rules decide alone.
 
     Texts are read once and not shuffled; statistics are written as a table. Null texts have no words and
     fail. Null languages or sources form groups of their own. Repeated ids and rows are judged row by row.
@@ -162,11 +212,20 @@ def quality_rules(
         }
     )
     stats = staged(stats, "text-stats")
-    sizes = stats.where(~F.col("base_failed")).groupBy("narrow").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= min_group)
-    grouped = stats.join(lookup(sizes, "group-sizes"), "narrow", "left").withColumn("grp", F.when(F.col("size").isNull(), F.concat(F.lit("*"), "wide")).otherwise(F.col("narrow"))).drop("size")
-    fitted = fit_groups(grouped.where(~F.col("base_failed")).select("grp", *FEATURES))
-    enough = staged(grouped.where(~F.col("base_failed")).groupBy("grp").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= min_group).select("grp"), "groups")
-    judged = grouped.join(lookup(fitted.join(enough, "grp"), "fitted-groups"), "grp", "left").withColumn("distance", _distance(fitted) / F.col("scale"))
+    good = ~F.col("base_failed")
+    groups = staged(stats.where(good).groupBy("wide", "narrow").agg(F.count(F.lit(1)).alias("size")), "group-sizes")
+    large = lambda c: F.coalesce(F.col(c) >= min_group, F.lit(False))
+    wides = staged(groups.groupBy("wide").agg(F.sum("size").alias("wide_size"), F.bool_or(F.col("size") < min_group).alias("lent")), "wide-sizes")
+    total = wides.agg(F.sum("wide_size").alias("n"), F.bool_or(~large("wide_size")).alias("lent")).first()
+    everything = bool(total.lent) and total.n >= min_group
+    sized = stats.join(lookup(groups, "groups"), ["wide", "narrow"], "left").join(lookup(wides, "wides"), "wide", "left")
+    wide, all_ = F.concat(F.lit("*"), "wide"), F.lit("**")
+    own = F.when(large("size"), F.col("narrow")).when(large("wide_size"), wide).otherwise(all_)
+    # what a document helps to estimate: its own group, and the wider ones that some smaller group needs
+    helps = F.array_compact(F.array(F.when(large("size"), F.col("narrow")), F.when(large("wide_size") & F.col("lent"), wide), F.when(F.lit(everything), all_)))
+    sized = sized.withColumn("grp", own)
+    fitted = fit_groups(sized.where(good).select(F.explode(helps).alias("grp"), *FEATURES))
+    judged = sized.join(fitted, "grp", "left").withColumn("distance", _distance(fitted) / F.col("scale"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
     return judged.select(
         F.col("__id").alias(id_col), "row", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", *FEATURES, "base_failed", "distance", kept.alias("kept")
@@ -174,6 +233,12 @@ def quality_rules(
 
 
 def kept_documents(df: DataFrame, verdicts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that ``quality_rules`` keeps, unchanged."""
-    good = verdicts.where("kept").select(F.col(id_col).alias("__id"), F.col("row").alias("__row")).distinct()
-    return df.join(good, df[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(df[text_col], F.lit(""))) == F.col("__row")), "left_semi")
+    """The rows of ``df`` that ``quality_rules`` keeps, unchanged.
+
+    Rows are told apart by id and text, so a repeated id keeps those of its rows that were kept; equal rows share a verdict
+    unless they lie in different groups, where one that is kept keeps both. Null ids and texts count as values. An empty table gives an empty
+    table. Columns of any name may be there: the names used inside give way.
+    """
+    key, row = fresh(df, "id", "row")
+    good = verdicts.where("kept").select(F.col(id_col).alias(key), F.col("row").alias(row)).distinct()
+    return df.join(good, F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(row)), "left_semi")

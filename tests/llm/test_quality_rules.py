@@ -73,3 +73,35 @@ def test_no_rows_and_filter(spark):
     df = spark.createDataFrame([(1, long, "en", "s", 5), (1, long, "en", "s", 6), (2, "short", "en", "s", 7), (None, long, None, None, 8), (3, None, "en", "s", 9)], schema)
     kept = qr.kept_documents(df, qr.quality_rules(df))
     assert kept.columns == df.columns and sorted(r.row for r in kept.collect()) == [5, 6, 8]
+
+
+def test_the_least_determinant_of_three_starts_counts(spark):
+    """Two clusters, the larger of which is the tighter: the estimate is that of the tighter one, and another dealing of rows changes nothing."""
+    rng = np.random.default_rng(4)
+    data = np.r_[rng.normal(size=(780, 5)) * 0.5, rng.normal(size=(220, 5)) * 3 + 6]
+    df = spark.createDataFrame([("g", *map(float, row)) for row in data], "grp string, " + ", ".join(f"{f} double" for f in qr.FEATURES))
+    first, again = qr.fit_groups(df).first(), qr.fit_groups(df.repartition(5)).first()
+    assert np.abs([first[f"m{i}"] for i in range(5)]).max() < 0.2
+    assert np.allclose([first[c] for c in first.asDict() if c != "grp"], [again[c] for c in again.asDict() if c != "grp"])
+    starts = qr._starts(df).collect()
+    assert sorted(r.start for r in starts) == ["median", "moments", "signs"]
+
+
+def test_small_groups_are_held_against_their_language_and_small_languages_against_all(spark):
+    rng = random.Random(6)
+    words = [f"{a}{b}" for a in "abcdefghij" for b in ("lo", "ven", "tar", "is")]
+    body = lambda bad: " ".join(rng.choice(words) + ("$$$$" if bad else "") for _ in range(rng.randint(60, 300)))
+    rows = [(i, body(False), "en", "big") for i in range(300)]
+    rows += [(1000, body(True), "en", "tiny"), (1001, body(False), "en", "tiny"), (1002, body(True), "xx", "rare"), (1003, body(False), "xx", "rare")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = {r.doc_id: r.kept for r in qr.quality_rules(df).collect()}
+    assert [out[i] for i in (1000, 1001, 1002, 1003)] == [False, True, False, True] and all(out[i] for i in range(300))
+    few = {r.doc_id: (r.kept, r.distance) for r in qr.quality_rules(df.where("doc_id >= 1000")).collect()}
+    assert all(k and d is None for k, d in few.values())  # too few of anything: the base rules alone
+
+
+def test_clashing_columns_do_no_harm(spark):
+    long = " ".join(f"w{k}" for k in range(80))
+    df = spark.createDataFrame([(1, long, "en", "s", 5, 6, "g"), (2, "short", "en", "s", 7, 8, "g")], "doc_id long, text string, lang string, source string, __id int, row int, grp string")
+    kept = qr.kept_documents(df, qr.quality_rules(df))
+    assert kept.columns == df.columns and [r.doc_id for r in kept.collect()] == [1]
