@@ -9,10 +9,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canonlake.llm.common import staged
+from canonlake.llm.common import fresh, staged
 from canonlake.llm.components import components
 
 #: The binary Golay code: its length, redundancy, generator polynomial and covering radius. It is perfect.
@@ -22,8 +22,13 @@ BLOCKS = (0, 23)
 LAST = 46
 #: Anchors in all, two times 12 message bits.
 ANCHORS = 1 << 24
-#: Fingerprints at home with one anchor beyond which the anchor's work is split by the 18 last bits.
+#: Fingerprints that meet at one anchor beyond which the anchor's work is split by the 18 last bits, and once more, where that is not
+#: enough, by all 64.
 CROWD = 2048
+#: Parts of a fingerprint in the last split: 16 of four bits. Two differing bits touch two parts at most, so all 14 others are alike.
+PARTS = 16
+#: Bits of the bitmaps that name crowded keys; other keys that fall on a set bit are split in vain, which changes no result.
+FLAGS = 1 << 24
 SHINGLE, SEED = 3, 42
 
 
@@ -122,11 +127,34 @@ def _homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home_anchors(fps).astype(np.int32))], names=["fp", "node", "anchor"])
 
 
-def _replicate(used: np.ndarray, crowded: np.ndarray):
-    """Copies for every anchor in reach that is some fingerprint's home, as (key, fp, node, home)."""
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
+
+
+def _flags(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys & (FLAGS - 1)
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).view(bool)
+
+
+@lru_cache(1)
+def _left_out() -> list[np.ndarray]:
+    """Masks of all but two parts, one for each choice of the two."""
+    width = 64 // PARTS
+    part = [((1 << width) - 1) << (width * k) for k in range(PARTS)]
+    return [np.uint64((1 << 64) - 1 - part[i] - part[j]) for i, j in combinations(range(PARTS), 2)]
+
+
+def _replicate(used, crowded=None, hot=None):
+    """Copies for every anchor in reach that is some fingerprint's home, as (key, fp, node, home).
+
+    A key is the anchor; of a crowded anchor, one of three parts of the last 18 bits with it, of which two differing bits leave one
+    alike; and where that is still crowded, what is left of the fingerprint without two of its sixteen parts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        is_used, is_crowded = (np.unpackbits(x, bitorder="little").view(bool) for x in (used.value, crowded.value))
+        is_used = np.unpackbits(used.value, bitorder="little").view(bool)
         for whole in batches:
             for at in range(0, whole.num_rows, 4096):
                 batch = whole.slice(at, 4096)
@@ -134,15 +162,24 @@ def _replicate(used: np.ndarray, crowded: np.ndarray):
                 for row, anchor, home in reachable_anchors(fps):
                     keep = is_used[anchor]
                     row, anchor = row[keep], anchor[keep]
-                    split = is_crowded[anchor]
+                    split = np.zeros(len(row), bool) if crowded is None else _flags(crowded.value, anchor)
                     keys, rows = [anchor[~split] << 8], [row[~split]]
-                    for part in range(3):  # of three parts of the last 18 bits, two differing bits leave one alike
+                    for part in range(3):
                         value = (fps[row[split]] >> np.uint64(LAST + 6 * part)).astype(np.int64) & 63
-                        keys.append(anchor[split] << 8 | part << 6 | value)
-                        rows.append(row[split])
+                        key, of = anchor[split] << 8 | (part + 1) << 6 | value, row[split]
+                        if hot is not None:
+                            crowd = _flags(hot.value, _mixed(key.view(np.uint64)).view(np.int64))
+                            for k, mask in enumerate(_left_out()):
+                                mixed = _mixed((fps[of[crowd]] & mask) ^ _mixed(key[crowd].view(np.uint64) + np.uint64((k + 1) << 40)))
+                                keys.append((mixed | np.uint64(1 << 63)).view(np.int64))  # negative: apart from all other keys
+                                rows.append(of[crowd])
+                            key, of = key[~crowd], of[~crowd]
+                        keys.append(key)
+                        rows.append(of)
                     key, row = np.concatenate(keys), np.concatenate(rows)
-                    if len(key):
-                        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fps[row].view(np.int64)), pa.array(nodes[row]), pa.array(np.full(len(key), home))], names=["key", "fp", "node", "home"])
+                    for cut in range(0, len(key), 1 << 16):  # one crowded batch may have a great many copies
+                        own = slice(cut, cut + (1 << 16))
+                        yield pa.RecordBatch.from_arrays([pa.array(key[own]), pa.array(fps[row[own]].view(np.int64)), pa.array(nodes[row[own]]), pa.array(np.full(len(key[own]), home))], names=["key", "fp", "node", "home"])
 
     return run
 
@@ -212,17 +249,23 @@ def _compare(bits: int):
     return run
 
 
-def _bitmap(rows: DataFrame) -> np.ndarray:
-    """The anchors of ``rows`` as a bitmap of 2 MB, whatever the number of rows."""
-    at = F.col("anchor") + 1
-    parts = rows.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()
+def _bitmap(rows: DataFrame, at: Column) -> np.ndarray:
+    """The places ``at``, below 2**24, of ``rows`` as a bitmap of 2 MB, whatever the number of rows."""
+    parts = rows.groupBy(F.bitmap_bucket_number(at + 1).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at + 1)).alias("bits")).collect()
     out = np.zeros(ANCHORS // 8, np.uint8)
     for part in parts:
         out[(part.bucket - 1) * 4096 : part.bucket * 4096] = np.frombuffer(part.bits, np.uint8)
     return out
 
 
-def near_links(nodes: DataFrame, bits: int = 2) -> DataFrame:
+def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bit of a key in a bitmap of crowded keys."""
+    for batch in batches:
+        key = batch.column(0).to_numpy().view(np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array((_mixed(key) & np.uint64(FLAGS - 1)).view(np.int64))], names=["at"])
+
+
+def near_links(nodes: DataFrame, bits: int = 2, crowd: int = CROWD) -> DataFrame:
     """Links (a, b) that join all distinct fingerprints within ``bits`` (2 at most) of one another.
 
     ``nodes`` has fp and node, one row a fingerprint. Anchors are the words of a covering code: a Golay code on
@@ -230,21 +273,33 @@ def near_links(nodes: DataFrame, bits: int = 2) -> DataFrame:
     at home with the one anchor within the covering radius of 3 in both blocks, and is copied to each
     anchor it reaches with at most two bits beyond the radii, blocks together: 61 of 16.8 million on average.
     Two fingerprints at most two bits apart so meet at the home of either. Copies to anchors that are
-    nobody's home are left out by a bitmap of 2 MB. Anchors that are home to more than 2,048 are
-    split 64 ways by the rest of the bits. Each key yields a spanning forest, not its pairs.
+    nobody's home are left out by a bitmap of 2 MB. Each key yields a spanning forest, not its pairs.
+
+    Keys are bounded. Copies are first counted by anchor; an anchor where more than ``crowd`` meet is split 64 ways by three parts of
+    its last 18 bits. What is still crowded then, near copies that share those bits too, is split by all 64: each fingerprint goes
+    under the 120 choices of 14 of its 16 parts, and a key whose 14 parts are alike has 256 distinct fingerprints at most.
+    Fingerprints and nodes must not be null, and a fingerprint is one row. No rows give no links.
     """
     if bits not in (0, 1, 2):
         raise ValueError(f"bits must be 0, 1 or 2, not {bits!r}: anchors cover no wider radius")
-    spark = nodes.sparkSession
+    context = nodes.sparkSession.sparkContext
     homes = staged(nodes.mapInArrow(_homes, "fp long, node long, anchor int"), "homes")
-    crowds = homes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD)
-    used, crowded = (spark.sparkContext.broadcast(_bitmap(x)) for x in (homes, crowds))
-    copies = homes.select("fp", "node").mapInArrow(_replicate(used, crowded), "key long, fp long, node long, home boolean")
+    named = homes.select("fp", "node")
+    used = context.broadcast(_bitmap(homes, F.col("anchor")))
+    schema = "key long, fp long, node long, home boolean"
+    many = lambda rows: staged(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd).select("key"), "crowds")
+    crowds, crowded, hot = many(named.mapInArrow(_replicate(used), schema)), None, None
+    if not crowds.isEmpty():
+        crowded = context.broadcast(_bitmap(crowds, F.shiftright("key", 8)))
+        still = many(named.mapInArrow(_replicate(used, crowded), schema).where(F.col("key").bitwiseAND(F.lit(255)) > 0))
+        if not still.isEmpty():
+            hot = context.broadcast(_bitmap(still.mapInArrow(_place, "at long"), F.col("at")))
+    copies = named.mapInArrow(_replicate(used, crowded, hot), schema)
     dealt = copies.repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(_compare(bits), "a long, b long")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 2) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 2, crowd: int = CROWD) -> DataFrame:
     """A row for each row of ``df``: ``id_col``, ``fp`` (long) and ``component_id``, the least id reachable by links.
 
     Fingerprints differing in ``bits`` bits or fewer link. Rows with equal fingerprints are one node,
@@ -256,13 +311,18 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     fps = staged(texts.mapInArrow(_fingerprints, "id long, fp long"), "fingerprints")
     nodes = staged(fps.groupBy("fp").agg(F.min("id").alias("node")), "nodes")
-    found = components(near_links(nodes.where(F.col("node").isNotNull()), bits))
+    found = components(near_links(nodes.where(F.col("node").isNotNull()), bits, crowd))
     classes = staged(nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id")), "classes")
     return fps.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 2) -> DataFrame:
-    """The rows of ``df`` whose id names their component, unchanged; rows without an id stay."""
+    """The rows of ``df`` whose id names their component, unchanged; rows without an id stay.
+
+    Rows that repeat an id stay or go together. Texts without a word are equal. An empty table gives an empty table. Columns of
+    any name may be there: the names used inside give way.
+    """
+    (gone_id,) = fresh(df, "gone_id")
     classes = near_duplicates(df, id_col, text_col, bits)
     gone = classes.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(gone_id)).distinct()
-    return df.join(gone, df[id_col] == F.col(gone_id), "left_anti")
+    return df.join(gone, F.col(id_col) == F.col(gone_id), "left_anti")

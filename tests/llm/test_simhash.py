@@ -4,6 +4,8 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pytest
 import xxhash
 
 from canonlake.llm import simhash
@@ -72,11 +74,12 @@ def test_code_is_perfect_and_reach_is_complete():
     assert all(int(homes[k]) in reach[k] for k in range(len(fps)))
 
 
-def test_crowded_anchor_is_split_and_exact(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "CROWD", 5)
+@pytest.mark.parametrize("crowd,flips,low", [(5, 4, 64), (20, 3, 46), (2048, 4, 64)])
+def test_crowded_anchor_is_split_and_exact(spark, crowd, flips, low):
+    """With a low bound the anchors are split, and split again where fingerprints differ in the first 46 bits alone."""
     rng = random.Random(2)
     base = rng.getrandbits(64)
-    fps = {i: base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for i in range(150)}
+    fps = {i: base ^ sum(1 << b for b in rng.sample(range(low), rng.randint(0, flips))) for i in range(150)}
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     unique = {}
     for i, f in fps.items():
@@ -84,7 +87,7 @@ def test_crowded_anchor_is_split_and_exact(spark, monkeypatch):
     nodes = spark.createDataFrame([(signed(f), i) for f, i in unique.items()], "fp long, node long")
     from canonlake.llm.components import components
 
-    got = {r.node: r.component for r in components(simhash.near_links(nodes)).collect()}
+    got = {r.node: r.component for r in components(simhash.near_links(nodes, crowd=crowd)).collect()}
     want = brute_components({i: f for f, i in unique.items()})
     assert {i: got.get(i, i) for i in want} == want
 
@@ -97,3 +100,30 @@ def test_empty_repeated_and_null_rows(spark):
     assert got == sorted([(1, 1), (1, 1), (None, 1), (None, None), (0, 0)], key=str)
     kept = simhash.one_of_each(df).collect()
     assert len(kept) == 5
+
+
+def test_a_hot_key_is_bounded():
+    """Near copies of one fingerprint that share the last bits: no key of the last split has more than 256 of them."""
+    rng = np.random.default_rng(3)
+    fps = np.unique(np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 46, (4000, 3)).astype(np.uint64), axis=1))
+
+    class Shared:
+        def __init__(self, value):
+            self.value = value
+
+    full = Shared(np.full(simhash.ANCHORS // 8, 255, np.uint8))
+    batch = pa.RecordBatch.from_arrays([pa.array(fps.view(np.int64)), pa.array(np.arange(len(fps)))], names=["fp", "node"])
+    sizes = {}
+    for out in simhash._replicate(full, full, full)([batch]):
+        for key, fp in zip(out.column(0).to_pylist(), out.column(1).to_pylist()):
+            assert key < 0
+            sizes.setdefault(key, set()).add(fp)
+        if len(sizes) > 200_000:
+            break
+    assert max(map(len, sizes.values())) <= 256
+
+
+def test_one_of_each_with_any_column_names(spark):
+    df = spark.createDataFrame([(1, "a b c d", 1), (2, "a b c d", 2), (None, None, 3)], "doc_id long, text string, GONE_ID int")
+    kept = simhash.one_of_each(df)
+    assert kept.columns == df.columns and sorted(r.GONE_ID for r in kept.collect()) == [1, 3]
