@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +11,8 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The characters x20 and x09 to x0D.
 SPACES = " \t\n\x0b\f\r"
+#: Spark's own setting to delete the shuffle files of a query when it has ended, instead of when the driver next collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,9 +33,14 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: it cuts lineage, survives lost
-    executors, is computed once and gives the planner its true size."""
-    path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    executors, is computed once and gives the planner its true size. Shuffle files of the write go when it ends."""
+    path, conf = new_path(df.sparkSession, label), df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -58,16 +63,6 @@ def lookup(df: DataFrame, label: str, rows: int = 100_000) -> DataFrame:
     return F.broadcast(table) if table.count() <= rows else table
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete shuffle files that nothing refers to any more: its cleaner learns of them only when the driver
-    collects garbage, which may be long after a large intermediate result was staged. Python's references to the
-    JVM's objects go in a first round, the objects in a second."""
-    for _ in range(2):
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.5)
-
-
 def lower_az(text: Column) -> Column:
     """Lower-case A-Z alone; ``lower`` does just that where every character is one byte."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

@@ -5,20 +5,32 @@ from __future__ import annotations
 import hashlib
 import struct
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canonlake.llm.common import lookup, release, staged
+from canonlake.llm.common import lookup, staged
 
 #: Bytes of a string that counts, and of the grams of which the least hash names the string's bucket.
 LENGTH, GRAM = 50, 24
-#: Bytes of text that are hashed at a time, of a shard's transform, and of the shards that are merged together.
-CHUNK, SHARD, LOT = 1 << 20, 1 << 17, 1 << 20
-#: Buckets met more often than this are split by a longer gram of 48 bytes.
-CROWD, LONG_GRAM = 4096, 48
+#: Bytes of the gram that splits crowded buckets.
+LONG_GRAM = 48
+
+
+@dataclass(frozen=True)
+class Sizes:
+    """Bytes of text that are hashed at a time, of a shard's transform, and of the shards that are merged together; and the texts that may
+    meet in a bucket before it is split. They bound memory and decide nothing."""
+
+    chunk: int = 1 << 17
+    shard: int = 1 << 17
+    lot: int = 1 << 19
+    crowd: int = 4096
+
+
 #: Bytes that a string must share with another of its lot before a transform is built over it.
 MIDDLE_GRAM = 32
 #: Bits of the filter that spares most unshared buckets a shuffle; its size is fixed and it decides nothing.
@@ -81,24 +93,24 @@ def runs(texts: list[bytes], gram: int = GRAM) -> tuple[np.ndarray, np.ndarray,
     return text[first], first - begins[text[first]], np.flatnonzero(last) - first + 1, bucket[first]
 
 
-def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+def _chunks(texts: list[bytes], chunk: int) -> Iterator[tuple[int, int]]:
     begin = size = 0
     for k, t in enumerate(texts):
         size += len(t)
-        if size >= CHUNK:
+        if size >= chunk:
             yield begin, k + 1
             begin, size = k + 1, 0
     if begin < len(texts):
         yield begin, len(texts)
 
 
-def _buckets(used=None):
+def _buckets(sizes: Sizes, used=None):
     """For each text its id, its mark and its buckets, each once, or those that the filter knows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(2).to_pylist()
-            for begin, end in _chunks(texts):
+            for begin, end in _chunks(texts, sizes.chunk):
                 text, _, _, bucket = runs(texts[begin:end])
                 if used:
                     bit = (bucket % np.uint64(FILTER)).astype(np.int64)
@@ -115,12 +127,12 @@ def _buckets(used=None):
     return run
 
 
-def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fragments_of(sizes: Sizes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs in shared buckets, as (bucket, the fragment, its end and its places, the least id first). Equal fragments of a chunk share a row."""
     for batch in batches:
         ids, tags, texts = (batch.column(k).to_pylist() for k in range(3))
         plain, crowded = (batch.column(k) for k in (3, 4))
-        for begin, end in _chunks(texts):
+        for begin, end in _chunks(texts, sizes.chunk):
             found: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
             text, start, strings, bucket = runs(texts[begin:end])
             cuts = np.searchsorted(text, np.arange(end - begin + 1))
@@ -229,14 +241,14 @@ def _promising(fragments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return owner[at[fresh]], offset[at[fresh]], offset[at[last]] + LENGTH
 
 
-def repeated_places(fragments: list[bytes], least: np.ndarray) -> list[list[tuple[int, int]]]:
+def repeated_places(fragments: list[bytes], least: np.ndarray, shard: int) -> list[list[tuple[int, int]]]:
     """For each fragment the stretches [begin, end) under strings that a fragment with a smaller id has too."""
     out: list[list[tuple[int, int]]] = [[] for _ in fragments]
     of, start, stop = _promising(fragments)
     if not len(of):
         return out
     sizes = stop - start + 1
-    per = max(SHARD, -(-int(sizes.sum()) // 200))  # so that a byte tells the shards apart
+    per = max(shard, -(-int(sizes.sum()) // 200))  # so that a byte tells the shards apart
     bounds = [0, *(np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // per)) + 1).tolist(), len(of)]
     end = bytes([END])
     parts = [fragments[k][a:b] + end for k, a, b in zip(of.tolist(), start.tolist(), stop.tolist())]
@@ -260,7 +272,7 @@ def repeated_places(fragments: list[bytes], least: np.ndarray) -> list[list[tupl
     return out
 
 
-def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _marked_of(sizes: Sizes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stretches (id, tag, begin, end) to remove, over a partition in the order of bucket, fragment and least id."""
     out: list[tuple[int, int, int, int]] = []
     fragments: list[bytes] = []
@@ -283,7 +295,7 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def decide() -> None:
         if fragments:
-            for found, holders in zip(repeated_places(fragments, np.array(least)), waiting):
+            for found, holders in zip(repeated_places(fragments, np.array(least), sizes.shard), waiting):
                 out.extend((i, h, at + a, at + b) for i, h, at in holders for a, b in found)
         fragments.clear()
         least.clear()
@@ -300,7 +312,7 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             places = list(places)
             if bucket != state["bucket"]:
                 close_bucket()
-                if state["size"] >= LOT:
+                if state["size"] >= sizes.lot:
                     decide()
                 state["bucket"] = bucket
             if len(fragments) == state["from"] or fragments[-1] != fragment:
@@ -350,11 +362,11 @@ def _tag(text: Column) -> Column:
     return F.coalesce(F.nullif(F.hash(text), F.lit(0)), F.lit(1))
 
 
-def _shared_buckets(docs: DataFrame) -> DataFrame:
+def _shared_buckets(docs: DataFrame, sizes: Sizes) -> DataFrame:
     """Buckets that two texts or more meet, and whether they are crowded. Counts have partial sums before the shuffle."""
-    each = docs.mapInArrow(_buckets(), "id long, mark int, buckets array<long>").select(F.explode("buckets").alias("bucket"))
+    each = docs.mapInArrow(_buckets(sizes), "id long, mark int, buckets array<long>").select(F.explode("buckets").alias("bucket"))
     met = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return staged(met.select("bucket", (F.col("n") > CROWD).alias("crowded")), "shared")
+    return staged(met.select("bucket", (F.col("n") > sizes.crowd).alias("crowded")), "shared")
 
 
 def _filter(shared: DataFrame) -> np.ndarray:
@@ -367,7 +379,16 @@ def _filter(shared: DataFrame) -> np.ndarray:
     return out
 
 
-def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _with(work, sizes: Sizes):
+    """``work`` with its sizes, which travel with the task; what it uses is found in the worker's own import of this module."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(sizes, batches)
+
+    return run
+
+
+def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sizes: Sizes = Sizes()) -> DataFrame:
     """A row for each row of ``df``: ``id_col``, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left).
 
     A byte of the UTF-8 text goes if a string of 50 bytes that covers it also starts in a document with a smaller id.
@@ -378,13 +399,14 @@ def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     The fragments of text in a shared bucket come together; equal ones are one item of the collection, and
     where a bucket has several, shards of them get Burrows-Wheeler transforms that are merged by interleave refinement
     (``merged_classes``). Strings of a class, a repeated interval of the merged order, go but for the least id.
-    Buckets that over 4,096 texts meet are split by 48-byte grams, so a passage that a third of all
+    Buckets that over 4,096 texts meet (``sizes``) are split by 48-byte grams, so a passage that a third of all
     texts share brings its equal fragments together, folded by batch, and not what surrounds it.
     Exact copies of a text, by 128-bit hash, go whole and enter no bucket. Texts are shuffled once, by id.
 
     Null text: empty. A null id: nothing of it goes, and it makes nothing go. Rows that repeat an id do not
-    make each other go; where they differ, a 32-bit hash of the text tells them apart. An empty table gives an empty table. Ids are whole numbers. Only the two named columns
-    are read, so clashing names do no harm.
+    make each other go; where they differ, a 32-bit hash of the text tells them apart. Texts are hashed in pieces of ``sizes.chunk``
+    bytes or one text, so the longest text bounds a task's memory. An empty table gives an empty table. Ids are whole numbers. Only
+    the two named columns are read, so clashing names do no harm.
     """
     spark = df.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -402,16 +424,15 @@ def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     same = lambda a, b: F.col(a).bitwiseXOR(F.col(b)) == 0
     others = lookup(copies.select(F.col("id").alias("copy"), F.col("tag").alias("of")).distinct(), "copied-ids")
     originals = docs.join(twins, "id", "left").select("id", "tag", mark, "text").join(others, (F.col("id") == F.col("copy")) & same("tag", "of"), "left_anti").select("id", "mark", "text")
-    shared = _shared_buckets(originals)
-    release(spark)
+    shared = _shared_buckets(originals, sizes)
     used = spark.sparkContext.broadcast(_filter(shared))
-    again = originals.mapInArrow(_buckets(used), "id long, mark int, buckets array<long>").select("id", "mark", F.explode("buckets").alias("bucket"))
+    again = originals.mapInArrow(_buckets(sizes, used), "id long, mark int, buckets array<long>").select("id", "mark", F.explode("buckets").alias("bucket"))
     pick = lambda flag: F.collect_list(F.when(F.col("crowded") == flag, F.col("bucket")))
     wanted = again.join(shared, "bucket").repartition("id").groupBy("id", "mark").agg(pick(False).alias("plain"), pick(True).alias("crowded"))
     chosen = docs.join(wanted, "id").where((F.col("mark") == 0) | same("tag", "mark")).select("id", "mark", "text", "plain", "crowded")
-    pieces = chosen.mapInArrow(_fragments, "bucket int, data binary")
+    pieces = chosen.mapInArrow(_with(_fragments_of, sizes), "bucket int, data binary")
     dealt = pieces.repartition("bucket").sortWithinPartitions("bucket", "data")
-    marks = dealt.mapInArrow(_marked, "id long, mark int, begin long, end long")
+    marks = dealt.mapInArrow(_with(_marked_of, sizes), "id long, mark int, begin long, end long")
     gone = copies.where(F.col("n") >= LENGTH).select("id", "mark", F.lit(0).cast("long").alias("begin"), F.col("n").cast("long").alias("end"))
     spans = marks.unionByName(gone).groupBy("id", "mark").agg(F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends"))
     none = F.array().cast("array<long>")

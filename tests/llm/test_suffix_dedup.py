@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 
 from canonlake.llm import suffix_dedup as sd
 
@@ -30,9 +31,9 @@ def brute(docs):
     return sorted(out, key=str)
 
 
-def found(spark, docs):
+def found(spark, docs, **settings):
     df = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, n_bytes int").repartition(3)
-    rows = sd.suffix_dedup(df).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    rows = sd.suffix_dedup(df, **settings).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
     return sorted(map(tuple, rows), key=str)
 
 
@@ -55,12 +56,24 @@ def test_matches_a_plain_search(spark):
         assert found(spark, docs) == brute(docs)
 
 
-def test_crowded_buckets_and_small_shards(spark, monkeypatch):
-    monkeypatch.setattr(sd, "CROWD", 2)
-    monkeypatch.setattr(sd, "SHARD", 200)
-    monkeypatch.setattr(sd, "LOT", 700)
-    monkeypatch.setattr(sd, "CHUNK", 500)
-    docs = cases(9)
+def test_crowded_buckets_and_small_shards(spark):
+    """Chunks of a text or two, many shards to a lot, many lots to a task, and buckets that are split."""
+    for seed, sizes in ((9, sd.Sizes(500, 200, 700, 2)), (10, sd.Sizes(1, 60, 2000, 3)), (11, sd.Sizes(1 << 17, 150, 1 << 19, 4096))):
+        docs = cases(seed, 90)
+        assert found(spark, docs, sizes=sizes) == brute(docs)
+
+
+def test_sizes_reach_the_workers(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in cases(2)], "doc_id long, text string")
+    with pytest.raises(Exception):
+        sd.suffix_dedup(docs, sizes=sd.Sizes(chunk="none")).collect()
+
+
+def test_a_text_above_the_chunk(spark):
+    rng = random.Random(5)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(400))
+    long = "".join(rng.choice("abcdefgh ") for _ in range(300_000))
+    docs = [(1, passage), (2, long[:150_000] + passage + long[150_000:]), (3, long[1000:70_000]), (4, None)]
     assert found(spark, docs) == brute(docs)
 
 
