@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The characters x20 and x09 to x0D.
 SPACES = " \t\n\x0b\f\r"
-#: Spark's own setting to delete the shuffle files of a query when it has ended, instead of when the driver next collects garbage.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings while a table is staged: the shuffle files of a query go when it has ended, instead of when the driver next collects
+#: garbage, and the texts of plans that the driver keeps for its listeners are cut, of which long chains of small steps make a great many.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.maxPlanStringLength": "10000"}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,12 +36,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: it cuts lineage, survives lost
     executors, is computed once and gives the planner its true size. Shuffle files of the write go when it ends."""
     path, conf = new_path(df.sparkSession, label), df.sparkSession.conf
-    before = conf.get(CLEANUP, "false")
-    conf.set(CLEANUP, "true")
+    before = {key: conf.get(key, None) for key in WRITING}
+    for key, value in WRITING.items():
+        conf.set(key, value)
     try:
         df.write.parquet(path)
     finally:
-        conf.set(CLEANUP, before)
+        for key, value in before.items():
+            conf.set(key, value) if value is not None else conf.unset(key)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -62,14 +62,10 @@ def text_stats(df: DataFrame, text_col: str) -> DataFrame:
 
 
 def _distance(table: DataFrame) -> Column:
-    """Squared Mahalanobis distance of the statistics, by forward substitution in the group's Cholesky factor."""
-    z: list[Column] = []
-    for i, f in enumerate(FEATURES):
-        rest = F.col(f) - F.col(f"m{i}")
-        for j in range(i):
-            rest = rest - F.col(f"l{i}_{j}") * z[j]
-        z.append(rest / F.col(f"l{i}_{i}"))
-    return sum((x * x for x in z[1:]), z[0] * z[0])
+    """Squared Mahalanobis distance of the statistics, by the inverse of the group's Cholesky factor."""
+    off = [F.col(f) - F.col(f"m{i}") for i, f in enumerate(FEATURES)]
+    squares = [F.pow(sum((F.col(f"w{i}_{j}") * off[j] for j in range(1, i + 1)), F.col(f"w{i}_0") * off[0]), F.lit(2)) for i in range(len(FEATURES))]
+    return sum(squares[1:], squares[0])
 
 
 #: Estimates up to which their tables are broadcast.
@@ -78,18 +74,43 @@ SMALL = 100_000
 KEYS = ["grp", "start"]
 
 
+#: The places (i, j) of a lower triangle, row by row.
+TRIANGLE = [(i, j) for i in range(len(FEATURES)) for j in range(i + 1)]
+
+
 def _factored(moments: DataFrame) -> DataFrame:
-    """Means m and covariances c of each estimate to means, Cholesky factors l and the logarithm of the determinant; the floors enter the diagonal."""
-    out, n = moments, len(FEATURES)
-    for i, f in enumerate(FEATURES):
-        for j in range(i + 1):
-            value = F.col(f"c{i}_{j}") + (F.lit(FLOORS[f] ** 2) if i == j else F.lit(0.0))
-            for k in range(j):
-                value = value - F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}")
-            # the floors make the matrix positive definite; greatest() only guards rounding
-            out = out.withColumn(f"l{i}_{j}", F.sqrt(F.greatest(value, F.lit(1e-9))) if i == j else value / F.col(f"l{j}_{j}"))
-    logdet = sum((2 * F.log(f"l{i}_{i}") for i in range(1, n)), 2 * F.log("l0_0"))
-    return out.select(*KEYS, *[f"m{i}" for i in range(n)], *[f"l{i}_{j}" for i in range(n) for j in range(i + 1)], logdet.alias("logdet"))
+    """Means m and covariances c of each estimate to means, Cholesky factors l, their inverses w and the logarithm of the determinant; the floors enter the diagonal.
+
+    The triangles are filled place by place in arrays, so that the expression does not grow with what it depends on.
+    """
+    n = len(FEATURES)
+    first, last = (F.array(*[F.lit(t[k]) for t in TRIANGLE]) for k in (0, 1))
+    at = lambda i, j: (i * (i + 1) / 2).cast("int") + j
+    upto = lambda begin, many: F.slice(F.sequence(F.lit(0), F.lit(n - 1)), begin + 1, many)
+    total = lambda places, term: F.aggregate(places, F.lit(0.0), lambda a, k: a + term(k))
+
+    def filled(place) -> Column:
+        def step(found, p):
+            i, j = F.get(first, p), F.get(last, p)
+            return F.concat(found, F.array(place(found, p, i, j)))
+
+        return F.aggregate(F.sequence(F.lit(0), F.lit(len(TRIANGLE) - 1)), F.array().cast("array<double>"), step)
+
+    def of_factor(found, p, i, j) -> Column:
+        value = F.get("c", p) - total(upto(F.lit(0), j), lambda k: F.get(found, at(i, k)) * F.get(found, at(j, k)))
+        # the floors make the matrix positive definite; greatest() only guards rounding
+        return F.when(i == j, F.sqrt(F.greatest(value, F.lit(1e-9)))).otherwise(value / F.get(found, at(j, j)))
+
+    def of_inverse(found, p, i, j) -> Column:
+        rest = total(upto(j, i - j), lambda k: F.get("l", at(i, k)) * F.get(found, at(k, j)))
+        return F.when(i == j, 1 / F.get("l", at(i, i))).otherwise(-rest / F.get("l", at(i, i)))
+
+    means = [f"m{i}" for i in range(n)]
+    c = F.array(*[F.col(f"c{i}_{j}") + F.lit(FLOORS[FEATURES[i]] ** 2 if i == j else 0.0) for i, j in TRIANGLE])
+    out = moments.select(*KEYS, *means, c.alias("c")).withColumn("l", filled(of_factor)).withColumn("w", filled(of_inverse))
+    logdet = sum((2 * F.log(F.get("l", F.lit(i * (i + 3) // 2))) for i in range(1, n)), 2 * F.log(F.get("l", F.lit(0))))
+    each = lambda name: [F.get(name, F.lit(k)).alias(f"{name}{i}_{j}") for k, (i, j) in enumerate(TRIANGLE)]
+    return out.select(*KEYS, *means, *each("l"), *each("w"), logdet.alias("logdet"))
 
 
 def _binned(df: DataFrame, values: dict[str, Column]) -> DataFrame:
@@ -125,12 +146,13 @@ def _starts(stats: DataFrame) -> DataFrame:
     both = stats.join(medians, "grp").join(spreads, "grp")
     scaled = [off(i) / F.col(f"d{i}") for i in range(n)]
     norm = F.greatest(F.sqrt(sum((x * x for x in scaled[1:]), scaled[0] * scaled[0])), F.lit(1e-9))
-    signs = both.groupBy("grp").agg(*[F.avg(scaled[i] * scaled[j] / (norm * norm)).alias(f"s{i}_{j}") for i in range(n) for j in range(i + 1)])
+    units = both.select("grp", *[x.alias(f"u{i}") for i, x in enumerate(scaled)], norm.alias("norm"))
+    signs = staged(units.groupBy("grp").agg(*[F.avg(F.col(f"u{i}") * F.col(f"u{j}") / F.pow("norm", F.lit(2))).alias(f"s{i}_{j}") for i in range(n) for j in range(i + 1)]), "mcd-signs")
     centre = medians.join(spreads, "grp")
     covariances = [(i, j) for i in range(n) for j in range(i + 1)]
     told = lambda start, df, c: df.select("grp", F.lit(start).alias("start"), *[f"m{i}" for i in range(n)], *[c(i, j).alias(f"c{i}_{j}") for i, j in covariances])
     median = told("median", centre, lambda i, j: F.pow(f"d{i}", F.lit(2)) if i == j else F.lit(0.0))
-    plain = told("moments", stats.groupBy("grp").agg(*_moments()), lambda i, j: F.col(f"c{i}_{j}"))
+    plain = told("moments", staged(stats.groupBy("grp").agg(*_moments()), "mcd-moments"), lambda i, j: F.col(f"c{i}_{j}"))
     signed = told("signs", centre.join(signs, "grp"), lambda i, j: n * F.col(f"s{i}_{j}") * F.col(f"d{i}") * F.col(f"d{j}"))
     return median.unionByName(plain).unionByName(signed)
 
@@ -140,7 +162,7 @@ def fit_groups(stats: DataFrame, share: float = 0.75, steps: int = 50) -> DataFr
 
     From each of three starts, concentration steps take the ``share`` of a group's documents nearest to the estimate and estimate
     anew from them. The determinant falls from step to step and settles after finitely many; a start is left alone once it
-    changes by less than a millionth, and the work ends when all have (``steps`` only guards against rounding that
+    changes by less than a thousandth, and the work ends when all have (``steps`` only guards against rounding that
     never settles). Of a group's three results the one with the least determinant counts.
 
     Everything is grouped aggregation with partial sums and partial counts, so a group with a third of all rows
@@ -159,9 +181,9 @@ def fit_groups(stats: DataFrame, share: float = 0.75, steps: int = 50) -> DataFr
         new = _factored(near.groupBy(*KEYS).agg(*_moments()))
         before = open_.select(*KEYS, F.col("logdet").alias("before"))
         new = staged(new.join(shown(before), KEYS).withColumn("fallen", F.col("before") - F.col("logdet")).drop("before"), f"mcd-step{step}")
-        done = new.where("abs(fallen) < 1e-6").drop("fallen")
+        done = new.where("abs(fallen) < 1e-3").drop("fallen")
         settled = done if settled is None else settled.unionByName(done)
-        open_ = new.where("abs(fallen) >= 1e-6").drop("fallen")
+        open_ = new.where("abs(fallen) >= 1e-3").drop("fallen")
         if open_.isEmpty():
             break
     both = settled.unionByName(open_) if settled is not None else open_
