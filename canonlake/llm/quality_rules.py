@@ -162,7 +162,7 @@ def fit_groups(stats: DataFrame, share: float = 0.75, steps: int = 50) -> DataFr
 
     From each of three starts, concentration steps take the ``share`` of a group's documents nearest to the estimate and estimate
     anew from them. The determinant falls from step to step and settles after finitely many; a start is left alone once it
-    changes by less than a thousandth, and the work ends when all have (``steps`` only guards against rounding that
+    falls by less than a thousandth, and the work ends when all have (``steps`` only guards against rounding that
     never settles). Of a group's three results the one with the least determinant counts.
 
     Everything is grouped aggregation with partial sums and partial counts, so a group with a third of all rows
@@ -181,9 +181,9 @@ def fit_groups(stats: DataFrame, share: float = 0.75, steps: int = 50) -> DataFr
         new = _factored(near.groupBy(*KEYS).agg(*_moments()))
         before = open_.select(*KEYS, F.col("logdet").alias("before"))
         new = staged(new.join(shown(before), KEYS).withColumn("fallen", F.col("before") - F.col("logdet")).drop("before"), f"mcd-step{step}")
-        done = new.where("abs(fallen) < 1e-3").drop("fallen")
+        done = new.where("not fallen >= 1e-3").drop("fallen")
         settled = done if settled is None else settled.unionByName(done)
-        open_ = new.where("abs(fallen) >= 1e-3").drop("fallen")
+        open_ = new.where("fallen >= 1e-3").drop("fallen")
         if open_.isEmpty():
             break
     both = settled.unionByName(open_) if settled is not None else open_
@@ -246,7 +246,7 @@ def quality_rules(
     # what a document helps to estimate: its own group, and the wider ones that some smaller group needs
     helps = F.array_compact(F.array(F.when(large("size"), F.col("narrow")), F.when(large("wide_size") & F.col("lent"), wide), F.when(F.lit(everything), all_)))
     sized = sized.withColumn("grp", own)
-    fitted = fit_groups(sized.where(good).select(F.explode(helps).alias("grp"), *FEATURES))
+    fitted = fit_groups(staged(sized.where(good).select(F.explode(helps).alias("grp"), *FEATURES), "mcd-rows"))
     judged = sized.join(fitted, "grp", "left").withColumn("distance", _distance(fitted) / F.col("scale"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
     return judged.select(
