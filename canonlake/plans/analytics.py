@@ -130,7 +130,7 @@ def since_return(matches: DataFrame, spells: DataFrame, key: str, day: str) -> D
     """
     ends = spells.where(F.col("until_date").isNotNull()).select(F.col(key), F.col("until_date").alias("__day"), F.col("until_date").alias("__end")).distinct()
     both = matches.withColumn("__day", F.col(day)).unionByName(ends, allowMissingColumns=True).withColumn("__match", F.col(day).isNotNull())
-    so_far = Window.partitionBy(key).orderBy("__day").rangeBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy(key).orderBy(F.unix_date("__day")).rangeBetween(Window.unboundedPreceding, -1)
     last = both.withColumn("__last", F.max("__end").over(so_far)).where("__match")
     counted = last.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(key, "__last").orderBy("__day")))
     return counted.withColumn("since_return", F.when(F.col("__last").isNotNull(), F.col("__n"))).select(*matches.columns, "since_return")

@@ -28,8 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder for a query's own tables: in the folder that all executors share, or a temporary one where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="canonlake-")
+    """A new folder for a query's own tables: in the folder that all executors share, or, on one machine, a temporary one where none is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="canonlake-")
     return f"{shared if ':' in shared else f'file://{shared}'}/canonlake-{uuid.uuid4().hex}"
 
 
@@ -264,29 +268,6 @@ def decision_tokens(spark, sf_dir):
 # --- nested and HTML --------------------------------------------------------------------------------------------
 
 
-@query(
-    "count_vs_float_nulls",
-    """
-    SELECT event_type, sum(coalesce((props::JSON ->> 'k')::BIGINT, 0))::BIGINT AS k_total, sum(coalesce((props::JSON ->> 'absent')::BIGINT, 0))::BIGINT AS absent_count, count((props::JSON ->> 'absent')::DOUBLE) AS absent_known
-    FROM events GROUP BY event_type
-    """,
-)
-def count_vs_float_nulls(spark, sf_dir):
-    stats = F.from_json("props", "map<string,string>")
-    value = lambda k: F.try_element_at(F.col("s"), F.lit(k)).try_cast("double")
-    count = lambda k: F.when(F.col("s").isNotNull(), F.coalesce(value(k), F.lit(0.0))).cast("long")
-    rows = table(spark, sf_dir, "events").select("event_type", stats.alias("s"))
-    return rows.groupBy("event_type").agg(F.sum(count("k")).alias("k_total"), F.sum(count("absent")).alias("absent_count"), F.count(value("absent")).alias("absent_known"))
-
-
-@query("nested_roundtrip", "SELECT conv_id, turn, role, length(text)::INT AS chars FROM conversations")
-def nested_roundtrip(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").select("conv_id", F.struct("turn", "role", F.length("text").alias("chars")).alias("t"))
-    payload = turns.groupBy("conv_id").agg(F.to_json(F.struct(F.collect_list("t").alias("turns"))).alias("payload"))
-    read = payload.select("conv_id", F.explode(F.from_json("payload", "struct<turns:array<struct<turn:long,role:string,chars:int>>>")["turns"]).alias("t"))
-    return read.select("conv_id", "t.*")
-
-
 @query(
     "html_fields",
     """
@@ -441,7 +422,7 @@ def people(spark, sf_dir):
         born = F.when(balance >= 0, F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), balance % 600), "yyyy-MM-dd")).otherwise("")
         tokens = F.when((F.lit(prefix) == "s") & (balance % 5 == 0), F.slice(words, 2, 1)).otherwise(words)
         club = F.when(balance % 7 > 0, F.col(f"{prefix}_nationkey").cast("string"))
-        return df.join(F.broadcast(region), F.col("n_nationkey") == F.col(f"{prefix}_nationkey")).select(F.concat(F.lit(prefix), F.col(identifier).cast("string")).alias("id"), tokens.alias("tokens"), born.alias("birth_date"), club.alias("club"))
+        return df.join(region, F.col("n_nationkey") == F.col(f"{prefix}_nationkey")).select(F.concat(F.lit(prefix), F.col(identifier).cast("string")).alias("id"), tokens.alias("tokens"), born.alias("birth_date"), club.alias("club"))
 
     return made(table(spark, sf_dir, "customer"), "c", "c_custkey"), made(table(spark, sf_dir, "supplier"), "s", "s_suppkey")
 
@@ -466,7 +447,7 @@ PEOPLE = f"""
 @query("tier_candidates", PEOPLE.rstrip().rstrip(",") + " SELECT left_id, right_id, CASE tier WHEN 0 THEN 'club' WHEN 1 THEN 'club-fecha' ELSE 'global' END AS scope FROM c")
 def tier_candidates(spark, sf_dir):
     left, right = people(spark, sf_dir)
-    return resolve.candidates(left, right.where("club is not null"), right)
+    return resolve.candidates(left, right.where("club is not null"), right, CuratedStore(spark, scratch(spark)).staged)
 
 
 RESOLVED = (
@@ -481,7 +462,9 @@ RESOLVED = (
 @query("reserved_by_date", RESOLVED + " SELECT right_id, owner FROM own")
 def reserved_by_date(spark, sf_dir):
     left, right = people(spark, sf_dir)
-    pairs = resolve.candidates(left, right.where("club is not null"), right)
+    stage = CuratedStore(spark, scratch(spark)).staged
+    left, right = stage(left), stage(right)
+    pairs = stage(resolve.candidates(left, right.where("club is not null"), right, stage))
     births = lambda df, i, b: df.select(F.col("id").alias(i), F.col("birth_date").alias(b))
     dated = pairs.join(births(left, "left_id", "lb"), "left_id").join(births(right, "right_id", "rb"), "right_id")
     return resolve.reserved(dated.withColumn("confirmed", S.birth_matches(F.col("lb"), F.col("rb"))))
@@ -505,7 +488,9 @@ def reserved_by_date(spark, sf_dir):
 )
 def verdicts(spark, sf_dir):
     left, right = people(spark, sf_dir)
-    pairs = CuratedStore(spark, scratch(spark)).staged(resolve.candidates(left, right.where("club is not null"), right))
+    stage = CuratedStore(spark, scratch(spark)).staged
+    left, right = stage(left), stage(right)
+    pairs = stage(resolve.candidates(left, right.where("club is not null"), right, stage))
     return resolve.resolve(left, right, pairs)[0]
 
 
@@ -544,7 +529,7 @@ def decision_classes(spark, sf_dir):
 )
 def next_canonical_id(spark, sf_dir):
     mapping = table(spark, sf_dir, "supplier").select(S.canonical_id("p", F.col("s_suppkey"), 5).alias("canonical_id"))
-    return resolve.numbered(newcomers_by_season(spark, sf_dir), mapping, "p", 5, ["custkey"])
+    return resolve.numbered(newcomers_by_season(spark, sf_dir), mapping, "p", 5, ["custkey"], CuratedStore(spark, scratch(spark)).staged)
 
 
 @query(
@@ -585,18 +570,6 @@ def tracked_fixtures(spark, sf_dir):
     return analytics.fixtures(last(1), last(2), teams)
 
 
-@query(
-    "calendar_density",
-    "SELECT o_orderkey, date_diff('day', lag(d) OVER (PARTITION BY o_custkey ORDER BY d, o_orderkey), d)::INT AS days_since FROM (SELECT o_orderkey, o_custkey, o_orderdate::DATE AS d FROM orders)",
-)
-def calendar_density(spark, sf_dir):
-    from pyspark.sql import Window
-
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("d"))
-    before = F.lag("d").over(Window.partitionBy("o_custkey").orderBy("d", "o_orderkey"))
-    return orders.select("o_orderkey", F.date_diff("d", before).alias("days_since"))
-
-
 @query(
     "capped_pending",
     "SELECT c_custkey, greatest((SELECT count(*) FROM customer WHERE c_acctbal < 0) - 20, 0) AS deferred FROM (SELECT c_custkey FROM customer WHERE c_acctbal < 0 ORDER BY c_custkey LIMIT 20)",

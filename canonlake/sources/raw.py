@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from datetime import UTC, date, datetime, timedelta
 from urllib.parse import urlparse
@@ -63,6 +64,28 @@ class RawStore:
             listed[name] = (day, key)
         return key
 
+    def save_all(self, source: str, dataset: str, payloads: DataFrame, extension: str = "json", day: date | None = None) -> None:
+        """Many payloads (name, payload) of one day, written where their rows lie; a payload that comes again is replaced."""
+        day = day or datetime.now(UTC).date()
+        folder = f"{self.base}/raw/{source}/{dataset}/{DOWNLOADED}={day.isoformat()}"
+        where, files = self._files(folder)
+        files.mkdirs(where)
+        if not folder.startswith("file://"):
+            for row in payloads.select("name", "payload").toLocalIterator():
+                self.save(source, dataset, row.name, row.payload.encode(), extension, day)
+            return
+        path = folder.removeprefix("file://")
+
+        def write(rows) -> None:
+            for row in rows:
+                part = os.path.join(path, f".{row.name}.{extension}.part")
+                with open(part, "wb") as file:
+                    file.write(row.payload.encode())
+                os.replace(part, os.path.join(path, f"{row.name}.{extension}"))
+
+        payloads.select("name", "payload").foreachPartition(write)
+        self._listed.pop((source, dataset, extension), None)
+
     def payloads(self, source: str, dataset: str, extension: str = "json") -> DataFrame:
         """(name, fecha_descarga, payload) of every version of every name; for audits, as it opens all of them."""
         base = f"{self.base}/raw/{source}/{dataset}"

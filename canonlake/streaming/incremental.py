@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from canonlake.operators import algebra
 
 
-def run_available(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> int:
+def run_available(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None], mode: str = "append") -> int:
     """Runs a stream over what there is now and stops; returns the micro-batches. ``write`` must be idempotent: a batch may come again after a crash."""
     batches = 0
 
@@ -20,7 +20,7 @@ def run_available(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame
         batches += 1
         write(batch, number)
 
-    stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(each).start().awaitTermination()
+    stream.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(each).start().awaitTermination()
     return batches
 
 
