@@ -14,7 +14,7 @@ from canonlake.llm import secret_scan as secrets
 from canonlake.llm import sharding
 from canonlake.llm import simhash, suffix_dedup
 from canonlake.llm import toxicity
-from canonlake.llm.common import UPPER, LOWER, new_path
+from canonlake.llm.common import UPPER, LOWER, new_path, staged
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -60,8 +60,12 @@ def op1_line_dedup(spark, sf_dir):
 def op2_sharding(spark, sf_dir):
     text = F.coalesce("text", F.lit(""))
     facts = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    out = sharding.shard_rows(facts, "doc_id", "size", 24, map_path=new_path(spark, "shard-map"))
-    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+    path = new_path(spark, "shard-map")
+    out = staged(sharding.shard_rows(facts, "doc_id", "size", 24, map_path=path), "sharded")
+    # the map's second version, for a shard more: where each document would go
+    edited = F.broadcast(sharding.rebalance(out, "size", path, 25).withColumnRenamed("shard", "rebalanced_shard"))  # a row for each virtual slot
+    out = out.join(edited, "virtual_slot")
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "rebalanced_shard")
 
 
 def _either_case(word: str) -> str:

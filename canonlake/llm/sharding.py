@@ -81,6 +81,19 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> dict
     return {r.slot: r.shard for r in found.where(F.col("version").cast("int") == version).select("slot", "shard").collect()}
 
 
+def rebalance(sharded: DataFrame, size_col: str, map_path: str, shards: int) -> DataFrame:
+    """(virtual_slot, shard) for another number of shards: the newest map at ``map_path``, edited and stored as its next version.
+
+    ``sharded`` has virtual_slot and ``size_col``. Few slots move; with more shards, only into new ones. No rows: every
+    slot stays, but for those of shards that are gone.
+    """
+    spark = sharded.sparkSession
+    version = spark.read.parquet(map_path).agg(F.max(F.col("version").cast("int"))).first()[0]
+    edited = rebalanced(load_map(spark, map_path, version), slot_sizes(sharded, "virtual_slot", size_col), shards)
+    save_map(spark, map_path, version + 1, edited)
+    return spark.createDataFrame(sorted(edited.items()), "virtual_slot int, shard int")
+
+
 def shard_rows(rows: DataFrame, key_col: str, size_col: str, shards: int, slots: int = SLOTS, map_path: str | None = None) -> DataFrame:
     """``rows`` with ``virtual_slot``, ``shard`` and ``slot``, the row's place in its shard, gapless from 0.
 
