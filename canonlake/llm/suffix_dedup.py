@@ -25,7 +25,7 @@ class Sizes:
     """Bytes of text that are hashed at a time, of a shard's transform, and of the shards that are merged together; and the texts that may
     meet in a bucket before it is split. They bound memory and decide nothing."""
 
-    chunk: int = 1 << 17
+    chunk: int = 1 << 18
     shard: int = 1 << 17
     lot: int = 1 << 19
     crowd: int = 4096
@@ -127,6 +127,23 @@ def _buckets(sizes: Sizes, used=None):
     return run
 
 
+def _paired(text: np.ndarray, bucket: np.ndarray, wanted: pa.ListArray) -> np.ndarray:
+    """Which (text, bucket) are wanted: ``wanted`` has a list of buckets for each text. Both pairs of numbers are compared, sorted as one."""
+    sizes = wanted.value_lengths().to_numpy(zero_copy_only=False)
+    asked = np.stack([np.repeat(np.arange(len(sizes)), sizes), wanted.flatten().to_numpy()])
+    asked = asked[:, np.lexsort((asked[1], asked[0]))]
+    begins = np.searchsorted(asked[0], np.arange(len(sizes) + 1))
+    keep = np.zeros(len(text), bool)
+    key = bucket.view(np.int64)
+    order = np.lexsort((key, text))
+    cuts = np.searchsorted(text[order], np.arange(len(sizes) + 1))
+    for k in np.flatnonzero(sizes):
+        own, have = asked[1, begins[k] : begins[k + 1]], order[cuts[k] : cuts[k + 1]]
+        at = np.minimum(np.searchsorted(own, key[have]), len(own) - 1)
+        keep[have] = own[at] == key[have]
+    return keep
+
+
 def _fragments_of(sizes: Sizes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs in shared buckets, as (bucket, the fragment, its end and its places, the least id first). Equal fragments of a chunk share a row."""
     for batch in batches:
@@ -135,16 +152,17 @@ def _fragments_of(sizes: Sizes, batches: Iterator[pa.RecordBatch]) -> Iterator[p
         for begin, end in _chunks(texts, sizes.chunk):
             found: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
             text, start, strings, bucket = runs(texts[begin:end])
+            wanted = plain.slice(begin, end - begin)
+            keep = _paired(text, bucket, wanted)
+            for k, key, at, many in zip(text[keep].tolist(), bucket[keep].view(np.int64).tolist(), start[keep].tolist(), strings[keep].tolist()):
+                body = texts[begin + k]
+                found.setdefault((key, body[at : at + many + LENGTH - 1]), []).append((ids[begin + k], tags[begin + k], at))
             cuts = np.searchsorted(text, np.arange(end - begin + 1))
             for k in range(begin, end):
-                own = slice(cuts[k - begin], cuts[k - begin + 1])
-                b, s, n = bucket[own].view(np.int64), start[own], strings[own]
-                body, place = texts[k], (ids[k], tags[k])
-                keep = np.isin(b, plain[k].values.to_numpy())
-                for key, at, many in zip(b[keep].tolist(), s[keep].tolist(), n[keep].tolist()):
-                    found.setdefault((key, body[at : at + many + LENGTH - 1]), []).append((*place, at))
                 hot = crowded[k].values.to_numpy()
                 if len(hot):
+                    own, body, place = slice(cuts[k - begin], cuts[k - begin + 1]), texts[k], (ids[k], tags[k])
+                    b, s, n = bucket[own].view(np.int64), start[own], strings[own]
                     keep = np.isin(b, hot)
                     for key, at, many in zip(b[keep].tolist(), s[keep].tolist(), n[keep].tolist()):
                         part = body[at : at + many + LENGTH - 1]
@@ -157,7 +175,15 @@ def _fragments_of(sizes: Sizes, batches: Iterator[pa.RecordBatch]) -> Iterator[p
 def _packed(found: dict[tuple[int, bytes], list[tuple[int, int, int]]]) -> pa.RecordBatch:
     """Rows of ``_fragments``. Of the bucket 32 bits will do: buckets that fall together are only compared in vain."""
     buckets, data = [], []
+    heads = [bytes((END, kind)) for kind in range(3)]
     for (bucket, fragment), places in found.items():
+        short = (bucket & 0xFFFFFFFF) - (1 << 31)
+        if len(places) == 1:
+            i, tag, at = places[0]
+            kind = (i >= 0) + (i >= 1 << 32)
+            buckets.append(short)
+            data.append(fragment + heads[kind] + PLACES[kind].pack(i if kind else i + SHIFT, tag, at))
+            continue
         places.sort()
         low, high = places[0][0], places[-1][0]
         kinds = (1,) if low >= 0 and high < 1 << 32 else (0, 1, 2)
@@ -165,8 +191,8 @@ def _packed(found: dict[tuple[int, bytes], list[tuple[int, int, int]]]) -> pa.Re
             own = places if len(kinds) == 1 else [p for p in places if (p[0] >= 0) + (p[0] >= 1 << 32) == kind]
             if own:
                 pack, shift = PLACES[kind].pack, SHIFT if kind == 0 else 0
-                buckets.append((bucket & 0xFFFFFFFF) - (1 << 31))
-                data.append(b"".join([fragment, bytes((END, kind)), *[pack(i + shift, tag, at) for i, tag, at in own]]))
+                buckets.append(short)
+                data.append(b"".join([fragment, heads[kind], *[pack(i + shift, tag, at) for i, tag, at in own]]))
     return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(data, pa.binary())], names=["bucket", "data"])
 
 
@@ -272,63 +298,107 @@ def repeated_places(fragments: list[bytes], least: np.ndarray, shard: int) -> li
     return out
 
 
+def _fields(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Of rows of ``_fragments_of``: bucket, where the fragment begins and ends in the bytes of all, and for each place its row, id, tag and start."""
+    buckets, column = batch.column(0).to_numpy(), batch.column(1)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2], np.uint8)
+    ends = np.flatnonzero(data == END)
+    stop = ends[np.searchsorted(ends, offsets[:-1])]
+    kind = data[stop + 1]
+    width = np.array([p.size for p in PLACES])[kind]
+    many = (offsets[1:] - stop - 2) // width
+    row = np.repeat(np.arange(len(many)), many)
+    at = (stop + 2)[row] + (np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)) * width[row]
+    read = lambda begin, size, of: data[begin[:, None] + np.arange(size)].view(of).ravel()
+    wide = kind[row] != 1
+    ids, rest = np.empty(len(row), np.int64), at + np.where(wide, 8, 4)
+    ids[~wide] = read(at[~wide], 4, ">u4")
+    ids[wide] = (read(at[wide], 8, ">u8") - np.where(kind[row[wide]] == 0, np.uint64(SHIFT), np.uint64(0))).view(np.int64)
+    return buckets, data, offsets[:-1], stop, row, ids, read(rest, 4, ">i4"), read(rest + 4, 4, ">u4").astype(np.int64)
+
+
 def _marked_of(sizes: Sizes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches (id, tag, begin, end) to remove, over a partition in the order of bucket, fragment and least id."""
-    out: list[tuple[int, int, int, int]] = []
+    """Stretches (id, tag, begin, end) to remove, over a partition in the order of bucket, fragment and least id.
+
+    Equal fragments go but for their least id. Of buckets with several distinct ones, those go on, lot by lot, to the transforms.
+    """
+    out: list[tuple[np.ndarray, ...]] = []
     fragments: list[bytes] = []
     least: list[int] = []
     waiting: list[list[tuple[int, int, int]]] = []
-    state = {"bucket": None, "from": 0, "size": 0}
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+    size = told = 0
+    bucket_now, now = None, []  # the bucket in progress and its distinct fragments: bytes, least id, its places
 
-    def told() -> pa.RecordBatch:
-        columns = list(zip(*out)) or [[]] * 4
+    def rows() -> pa.RecordBatch:
+        nonlocal told
+        columns = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 4
         out.clear()
-        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["id", "mark", "begin", "end"])
-
-    def close_bucket() -> None:
-        """A bucket with one distinct fragment has nothing to compare: its other copies are marked already."""
-        if len(fragments) - state["from"] == 1:
-            del fragments[state["from"] :], least[state["from"] :], waiting[state["from"] :]
-        state["size"] += sum(map(len, fragments[state["from"] :]))
-        state["from"] = len(fragments)
+        told = 0
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(k.to_pandas_dtype()), k) for c, k in zip(columns, kinds)], names=["id", "mark", "begin", "end"])
 
     def decide() -> None:
-        if fragments:
-            for found, holders in zip(repeated_places(fragments, np.array(least), sizes.shard), waiting):
-                out.extend((i, h, at + a, at + b) for i, h, at in holders for a, b in found)
+        nonlocal size
+        found = [(i, h, at + a, at + b) for spans, holders in zip(repeated_places(fragments, np.array(least), sizes.shard), waiting) for i, h, at in holders for a, b in spans] if fragments else []
+        if found:
+            out.append(tuple(np.array(found, np.int64).T))
         fragments.clear()
         least.clear()
         waiting.clear()
-        state["from"] = state["size"] = 0
+        size = 0
+
+    def close_bucket() -> None:
+        nonlocal size
+        if len(now) > 1:
+            for fragment, lowest, holders in now:
+                fragments.append(fragment)
+                least.append(lowest)
+                waiting.append(holders)
+                size += len(fragment)
+            if size >= sizes.lot:
+                decide()
+        now.clear()
 
     for batch in batches:
-        for bucket, data in zip(*(c.to_pylist() for c in batch.columns)):
-            cut = data.index(END)
-            fragment = data[:cut]
-            places = PLACES[data[cut + 1]].iter_unpack(data[cut + 2 :])
-            if data[cut + 1] == 0:
-                places = ((i - SHIFT, tag, at) for i, tag, at in places)
-            places = list(places)
-            if bucket != state["bucket"]:
+        if not batch.num_rows:
+            continue
+        buckets, data, begin, stop, row, ids, tags, starts = _fields(batch)
+        view, length = memoryview(data), stop - begin
+        same = np.r_[False, (buckets[1:] == buckets[:-1]) & (length[1:] == length[:-1])]
+        for r in np.flatnonzero(same):
+            same[r] = view[begin[r] : stop[r]] == view[begin[r - 1] : stop[r - 1]]
+        goes_on = bool(now) and bucket_now == buckets[0] and now[-1][0] == view[begin[0] : stop[0]]
+        first = np.flatnonzero(~same)
+        group = (np.cumsum(~same) - 1)[row]
+        lowest = ids[np.searchsorted(row, first)]
+        if goes_on:
+            lowest[0] = now[-1][1]
+        gone = ids > lowest[group]
+        if gone.any():
+            out.append((ids[gone], tags[gone], starts[gone], starts[gone] + length[row[gone]]))
+            told += int(gone.sum())
+        stay = np.flatnonzero(~gone)
+        cuts = np.searchsorted(group[stay], np.arange(len(first) + 1))
+        held = list(zip(ids[stay].tolist(), tags[stay].tolist(), starts[stay].tolist()))
+        opens = np.flatnonzero(np.r_[True, np.diff(buckets[first]) != 0])  # groups that begin a bucket
+        many = np.diff(np.r_[opens, len(first)])
+        for k in np.flatnonzero((many > 1) | (np.arange(len(opens)) % max(len(opens) - 1, 1) == 0)):  # the first and the last may go on in other batches
+            if not (k == 0 and bucket_now == buckets[0]):
                 close_bucket()
-                if state["size"] >= sizes.lot:
-                    decide()
-                state["bucket"] = bucket
-            if len(fragments) == state["from"] or fragments[-1] != fragment:
-                fragments.append(fragment)
-                least.append(places[0][0])
-                waiting.append([])
-            for i, h, at in places:
-                if i > least[-1]:
-                    out.append((i, h, at, at + len(fragment)))
+                bucket_now = buckets[first[opens[k]]]
+            for g in range(opens[k], opens[k] + many[k]):
+                places = held[cuts[g] : cuts[g + 1]]
+                if g == 0 and goes_on:
+                    now[-1][2].extend(places)
                 else:
-                    waiting[-1].append((i, h, at))
-        if len(out) > 100_000:
-            yield told()
+                    r = first[g]
+                    now.append((bytes(view[begin[r] : stop[r]]), int(lowest[g]), places))
+        if told > 100_000:
+            yield rows()
     close_bucket()
     decide()
-    yield told()
+    yield rows()
 
 
 def _joined(begins: list[int], ends: list[int]) -> list[tuple[int, int]]:
