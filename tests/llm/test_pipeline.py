@@ -68,3 +68,32 @@ def test_no_documents(spark, tmp_path):
     path = f"file://{tmp_path}"
     write(spark, path, [], [])
     assert corpus_pipeline.run(spark, path).count() == 0
+
+
+def test_near_copies_go_and_odd_rows_pass_through(spark, tmp_path):
+    """Near copies of 0.8 and more, repeated rows, null ids, clashing columns and a very long text."""
+    rng = random.Random(11)
+    words = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in ("rin", "lo", "st", "mun")]
+    body = lambda n=150: [rng.choice(words) for _ in range(n)]
+    pair = lambda n: " ".join(a + b for a, b in zip(body(n), body(n)))
+    docs = [(i, pair(150 if i < 9 else int(60 * 100 ** rng.random())), "en", "s", 0) for i in range(60)]
+    near = docs[3][1].split(" ")
+    near[70] = "changed"  # five of 146 shingles differ
+    far = docs[4][1].split(" ")
+    for k in range(0, 150, 12):
+        far[k] = "changed"
+    docs += [(300, " ".join(near), "en", "s", 0), (301, " ".join(far), "en", "s", 0), (302, pair(30_000), "en", "s", 0), (None, docs[5][1], "en", "s", 0)]
+    docs += [docs[7], docs[7], (8, pair(150), "en", "s", 0)]
+    extra = spark.createDataFrame([(*d, "x", 1, True) for d in docs], COLUMNS + ", gone_id string, row int, same boolean")
+    path = f"file://{tmp_path}"
+    extra.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(1, "one two three")], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    now = spark.read.parquet(f"{path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        now = stage(spark, now, path)
+        assert now.columns == [c.split()[0] for c in COLUMNS.split(", ")]
+    ids = [r.doc_id for r in now.collect()]
+    assert 300 not in ids and 301 in ids and 3 in ids and 302 in ids
+    assert ids.count(None) == 1 and ids.count(7) == 3 and ids.count(8) == 2
+    pieces = corpus_pipeline.run(spark, path).collect()
+    assert {r.doc_id for r in pieces} == set(ids)
