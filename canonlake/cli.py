@@ -22,6 +22,9 @@ COMMANDS = {
     "ingest-prices": (lambda lake, a: jobs.ingest_prices(lake, a.competition, a.season, a.day), True, True),
     "ingest-valuation": (lambda lake, a: jobs.ingest_valuation(lake, a.competition), True, False),
     "ingest-squad-values": (lambda lake, a: jobs.ingest_squad_values(lake, a.competition, a.season, a.day), True, True),
+    "backfill": (lambda lake, a: jobs.plan_backfill(lake, False, a.limit), False, False),
+    "backfill-cups": (lambda lake, a: jobs.plan_backfill(lake, True, a.limit), False, False),
+    "probe-report": (lambda lake, a: jobs.probe_report(lake, a.player), False, False),
     "curate-catalog": (lambda lake, a: jobs.curate_catalog(lake), False, False),
     "curate-matches": (lambda lake, a: jobs.curate_matches(lake), False, False),
     "curate-cups": (lambda lake, a: jobs.curate_cups(lake), False, False),
@@ -50,10 +53,10 @@ def parser() -> argparse.ArgumentParser:
         if season:
             sub.add_argument("--season", type=int, required=True, help="start year")
         sub.add_argument("--day", type=date.fromisoformat, default=datetime.now(UTC).date())
-        if name in ("newcomers", "ingest-squads"):
-            sub.add_argument("--limit", type=int, help="people, or clubs, that this run takes at most")
-        if name in ("ingest-player", "ingest-season-stats"):
-            sub.add_argument("player", help="an id; for ingest-player also a profile link or a canonical id")
+        if name in ("newcomers", "ingest-squads", "backfill", "backfill-cups"):
+            sub.add_argument("--limit", type=int, help="people, clubs or matches that this run takes at most")
+        if name in ("ingest-player", "ingest-season-stats", "probe-report"):
+            sub.add_argument("player", metavar="NAME", help="an id, a canonical id, a profile link (ingest-player), a name (ingest-season-stats), or the name of a probe")
         if name == "ingest-player":
             sub.add_argument("--force", action="store_true", help="store it even if birth dates differ")
         if name == "crosscheck":

@@ -862,6 +862,27 @@ def squads_job(spark, sf_dir):
     return lake.curated.read_table("transfermarkt_players").select("id", "name", "club_id", "club_name", "position")
 
 
+@query(
+    "pending_matches",
+    f"WITH {_FINISHED} SELECT event_id, date, season, greatest((SELECT count(*) FROM f WHERE event_id % 3 > 0) - 40, 0)::BIGINT AS deferred FROM f WHERE event_id % 3 > 0 ORDER BY date, event_id LIMIT 40",
+)
+def pending_matches(spark, sf_dir):
+    """The 40 oldest finished matches without a line-up, a backfill's own limit; every third has one."""
+    lake = a_lake(spark)
+    k = F.col("o_orderkey")
+    club = lambda i, name: F.struct(i.alias("id"), name.alias("name"))
+    event = F.struct(
+        k.alias("id"), F.col("at").alias("startTimestamp"), F.struct(F.when(F.col("o_orderstatus") == "O", "notstarted").otherwise("finished").alias("type")).alias("status"),
+        club(F.col("o_custkey"), F.lit("H")).alias("homeTeam"), club(k % 50, F.lit("A")).alias("awayTeam"), F.struct(F.when(k % 11 > 0, club(F.lit(8), F.lit("L"))).alias("uniqueTournament")).alias("tournament"),
+        F.struct(F.year("day").alias("id"), S.season_label(S.season_of(F.col("day"))).alias("year")).alias("season"),
+    )
+    each = orders(spark, sf_dir)
+    lake.raw.save_all("sofascore", "tournament-events", as_payload(each.groupBy(F.year("day").alias("y")).agg(F.collect_list(event).alias("e")), F.col("y"), F.struct(F.col("e").alias("events"))), day=DAY)
+    lake.raw.save_all("sofascore", "event-lineups", each.where(k % 3 == 0).select(text("o_orderkey").alias("name"), F.lit("{}").alias("payload")), day=DAY)
+    first, deferred = jobs.pending_matches(lake, "tournament-events", "event-lineups", 40)
+    return first.select("event_id", "date", "season", F.lit(deferred).cast("long").alias("deferred"))
+
+
 # --- planned analytics ------------------------------------------------------------------------------------------------
 
 

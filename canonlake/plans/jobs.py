@@ -9,6 +9,7 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
 from collections.abc import Callable
 from datetime import date
 
@@ -209,12 +210,37 @@ def ingest_player(lake: Lake, query: str, competition: str, force: bool = False)
     return result
 
 
+def found_player(lake: Lake, query: str) -> tuple[str | None, list[str]]:
+    """(id, failures) of a player of the event source: a canonical id, an id in digits, or a name.
+
+    A name is looked for among the stored results of its search; only football players with a compatible name count, and
+    there must be exactly one.
+    """
+    players = lake.mappings.load("players")
+    named = resolve.named_player(lake.spark.createDataFrame([(query,)], "query string"), players, EVENTS).first().id
+    if named is not None:
+        return named, []
+    if re.fullmatch(r"p\d+", query):
+        return None, [f"{query} has no mapping to {EVENTS}"]
+    slug = lake.spark.range(1).select(S.slug(F.lit(query)).alias("slug")).first().slug
+    good, _ = lake.payloads(EVENTS, "search", "search", slug)
+    hits = flatten.search_hits(good).where((F.col("query_id") == slug) & (F.col("kind") == "player") & (F.col("sport") == "football"))
+    fits = hits.where(S.compatible(S.name_tokens(F.lit(query)), S.name_tokens(F.col("found_name"))))
+    rows = fits.select("right_id", "found_name").distinct().orderBy("right_id").limit(20).collect()
+    if len(rows) == 1:
+        return str(rows[0].right_id), []
+    return None, [f"{query}: no player of that name"] if not rows else [f"{query}: several candidates, name one by its id"] + [f"{r.right_id}: {r.found_name}" for r in rows]
+
+
 @job
-def ingest_season_stats(lake: Lake, player: str) -> Result:
-    """Season aggregates and rated matches of one player of the event source, over all tournaments and seasons it played.
+def ingest_season_stats(lake: Lake, query: str) -> Result:
+    """Season aggregates and rated matches of one player of the event source, over all tournaments and seasons it played; ``found_player`` says how it may be named.
 
     Aggregates keep an open set of metrics, numbers only, as a map column; a rated match without a detail keeps its rating, its metrics null.
     """
+    player, failures = found_player(lake, query)
+    if player is None:
+        return Result(failures=failures)
     players = approved(lake.mappings.load("players"), EVENTS)
     good, broken = lake.payloads(EVENTS, "player-seasons", "seasons", player)
     seasons = flatten.tournament_seasons(good.where(F.col("name") == player))
@@ -329,6 +355,44 @@ def curate_cups(lake: Lake) -> Result:
     return Result(rows={"fixtures": matches.count(), "cup_minutes": minutes.count()}, anomalies={"broken_payloads": a + b})
 
 
+def pending_matches(lake: Lake, calendar: str, sheets: str, limit: int | None = None) -> tuple[DataFrame, int]:
+    """(event_id, date, tournament_id, season) of finished matches without a stored line-up, oldest first, and how many a limit defers.
+
+    The limit counts what is still to be fetched, not what is there, so each run of a capped backfill gets further.
+    """
+    good, _ = lake.payloads(EVENTS, calendar, "events")
+    events = flatten.finished_events(good).select("event_id", "date", "tournament_id", "season", F.col("event_id").cast("string").alias("name"))
+    pending = lake.raw.stale(events, EVENTS, sheets, None, date.today()).drop("name")
+    if limit is None:
+        return pending, 0
+    first, deferred = algebra.capped(pending, [F.col("date"), F.col("event_id")], limit)
+    return first, deferred.first().deferred
+
+
+@job
+def plan_backfill(lake: Lake, cups: bool = False, limit: int | None = None) -> Result:
+    """What a backfill of line-ups has to fetch next; whoever fills the raw layer takes it from here."""
+    found, deferred = pending_matches(lake, "cup-events" if cups else "tournament-events", "cup-lineups" if cups else "event-lineups", limit)
+    found = lake.curated.staged(found)
+    lake.curated.write_table("pending_matches", found, {"kind": "cups" if cups else "leagues"})
+    return Result(rows={"pending_matches": found.count()}, stats={"deferred": deferred})
+
+
+@job
+def probe_report(lake: Lake, name: str) -> Result:
+    """What the stored attempts of a probe say: how often each status came, the verdict, and how long it took.
+
+    A payload has attempts with status and at, epoch seconds.
+    """
+    payload = lake.raw.read_latest("probe", "attempts", name)
+    if payload is None:
+        return Result(failures=[f"no attempts of {name}"])
+    rows = lake.spark.createDataFrame([(payload,)], "payload string").select(F.explode(F.from_json("payload", "struct<attempts:array<struct<status:int,at:long>>>")["attempts"]).alias("a")).select("a.*")
+    told = rows.agg(analytics.direct_access_verdict(F.collect_set("status")).alias("verdict"), S.duration_text(F.max("at") - F.min("at")).alias("took")).first()
+    counts = analytics.status_histogram(rows, [], "status").orderBy("status").collect()
+    return Result(stats={f"status {r.status}": r.n for r in counts} | {f"verdict {told.verdict}": 1, f"took {told.took}": 1}, failures=["blocked"] if told.verdict == "blocked" else [])
+
+
 @job
 def restamp(lake: Lake) -> Result:
     """Canonical ids anew in the three tables that carry them; only changed partitions are rewritten."""

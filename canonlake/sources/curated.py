@@ -132,7 +132,9 @@ class CuratedStore:
         self._swap(df.drop(*(partition or {})), self.path(table, partition))
 
     def write_partitioned(self, table: str, df: DataFrame, keys: list[str]) -> None:
-        """Overwrites each partition that ``df`` has rows for, in one job; others stay as they are."""
+        """Overwrites each partition that ``df`` has rows for, in one job; others stay as they are. Without rows nothing is written, not even an empty table."""
+        if df.isEmpty():
+            return
         df.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(self.path(table))
 
     def upsert(self, table: str, df: DataFrame, keys: list[str], partition: dict[str, str], touched: DataFrame | None = None) -> None:

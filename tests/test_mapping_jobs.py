@@ -286,3 +286,39 @@ def test_numbering_over_many_ranges(spark):
     new = spark.range(500).selectExpr("lpad(cast(id as string), 4, '0') as id").repartition(7)
     got = rows(resolve.numbered(new, mapping, "p", 5, ["id"]))
     assert got == [(f"{k:04d}", f"p{k + 11:05d}") for k in range(500)]
+
+
+def test_a_player_is_found_by_name_id_or_canonical_id(lake):
+    hit = lambda i, name, sport="football", kind="player": {"type": kind, "entity": {"id": i, "name": name, "team": {"sport": {"slug": sport}}}}
+    put(lake, "sofascore", "search", "ana-ruiz", {"results": [hit(50, "Ana Ruiz Gil"), hit(51, "Bea"), hit(52, "Ana Ruiz", "tennis"), hit(53, "Ana Ruiz", kind="team")]})
+    put(lake, "sofascore", "search", "bea", {"results": [hit(60, "Bea A"), hit(61, "Bea B")]})
+    lake.mappings.save({"players": relation(lake, "players", [("p00001", "sofascore", "50", "auto", "d")])})
+    assert jobs.found_player(lake, "Ana Ruiz") == ("50", []) and jobs.found_player(lake, "p00001") == ("50", []) and jobs.found_player(lake, "77") == ("77", [])
+    assert jobs.found_player(lake, "Bea")[1] == ["Bea: several candidates, name one by its id", "60: Bea A", "61: Bea B"]
+    assert not jobs.ingest_season_stats(lake, "p00009").ok and not jobs.ingest_season_stats(lake, "Nobody").ok
+
+
+def test_a_capped_backfill_and_a_probe(lake, capsys):
+    from canonlake import cli
+    from tests.test_flatten import events_payload
+
+    more = [{**events_payload()["events"][0], "id": i, "startTimestamp": 1_700_000_000 + 86_400 * i} for i in (200, 201, 202)]
+    put(lake, "sofascore", "tournament-events", "8-77-last-0", events_payload(*more))
+    put(lake, "sofascore", "event-lineups", "200", {})
+    base = ["--base", lake.raw.base, "--mappings", lake.mappings.folder]
+    assert cli.main([*base, "backfill", "--limit", "2"], lake.spark) == 0
+    assert rows(lake.curated.read_table("pending_matches").select("event_id", "kind")) == [(100, "leagues"), (201, "leagues")]
+    assert "deferred: 1" in capsys.readouterr().out
+    assert cli.main([*base, "backfill-cups"], lake.spark) == 0
+    put(lake, "probe", "attempts", "direct", {"attempts": [{"status": 200, "at": 0}, {"status": 429, "at": 150}]})
+    assert cli.main([*base, "probe-report", "direct"], lake.spark) == 0 and cli.main([*base, "probe-report", "none"], lake.spark) == 1
+    said = capsys.readouterr().out
+    assert "verdict viable: 1" in said and "took 2 min 30 s: 1" in said
+
+
+def test_run_cycles(lake):
+    delta_payloads(lake)
+    report = jobs.run_incremental(lake, "round", "la-liga", 2023, DAY)
+    assert report.ok and [name for name, _ in report.done] == ["squad", "delta", "rounds", "matches", "catalog", "cups"]
+    weekly = jobs.run_incremental(lake, "weekly", "la-liga", 2023, DAY)
+    assert [name for name, r in weekly.done if not r.ok] == ["squads"] and weekly.pending[0] == "valuation"
