@@ -51,6 +51,8 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
     Spark's functions return matched strings, not places; places are running sums of the lengths of the
     matches and of what lies between them. The window that sums spans the matches of one rule in one blob.
+    A blob that comes twice is scanned and listed once; texts must not be null (callers give empty ones), and may have any
+    length. A blob without matches has a row with no spans for each rule. No blobs: no rows.
     """
     pairs = F.array(*[F.struct(F.lit(r.key).alias("rule"), F.when(F.array_contains("todo", r.key), _lengths(F.col("text"), r)).alias("found"), F.lit(r.least).alias("least")) for r in rules])
     looked = blobs.select("blob", F.explode(F.filter(pairs, lambda p: p["found"].isNotNull())).alias("p")).select("blob", "p.rule", "p.found", "p.least")
