@@ -504,6 +504,23 @@ def durations(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", S.duration_text(F.col("event_id") * 37 % 100000 + 0.5).alias("duration"), S.minute_text(F.col("ts").cast("timestamp")).alias("minute"))
 
 
+@query("money_units", "SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN p_size * 1000000 + 500000 WHEN 1 THEN p_size * 1000 WHEN 2 THEN p_size::BIGINT * 1000000000 WHEN 3 THEN p_size END::BIGINT AS amount FROM part")
+def money_units(spark, sf_dir):
+    """Amounts as the source writes them: millions with decimals, thousands, thousands of millions, plain ones, and none."""
+    k, n = F.col("p_partkey") % 5, text("p_size")
+    written = F.when(k == 0, line("fee: €", n, ".50m")).when(k == 1, line("€", n, "Th.")).when(k == 2, line("€", n, "BN")).when(k == 3, line("€ ", n)).otherwise("free transfer")
+    return table(spark, sf_dir, "part").select("p_partkey", S.money(written).alias("amount"))
+
+
+@query("season_texts", "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN year(o_orderdate) WHEN 1 THEN year(o_orderdate) WHEN 2 THEN year(o_orderdate) END::INT AS season FROM orders")
+def season_texts(spark, sf_dir):
+    """Seasons as sources write them: "95/96", "1995", "1995/1996", and what is none."""
+    k, y = F.col("o_orderkey") % 4, F.year("day")
+    two = lambda n: F.lpad((n % 100).cast("string"), 2, "0")
+    written = F.when(k == 0, F.concat_ws("/", two(y), two(y + 1))).when(k == 1, y.cast("string")).when(k == 2, F.concat_ws("/", y.cast("string"), (y + 1).cast("string"))).otherwise("season 7")
+    return orders(spark, sf_dir).select("o_orderkey", S.season_start(written).alias("season"))
+
+
 @query("starts", "SELECT l_orderkey, l_linenumber, l_returnflag = 'A' AS is_starting FROM lineitem")
 def starts(spark, sf_dir):
     substitute = F.when(F.col("l_returnflag") == "A", F.lit(False)).when(F.col("l_returnflag") == "N", F.lit(True))

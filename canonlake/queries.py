@@ -1,7 +1,7 @@
 """Registry of the engine's own queries on the driver tables, each with its SQL oracle where SQL can express it.
 
 The star schema stands in for the domain: customers for players, orders for matches, suppliers for a second source, events for
-a stream of observations. Every query goes through the operator it is named after.
+a stream of observations. Queries go through the engine's operators; the oracles are plain SQL over the tables.
 """
 
 from __future__ import annotations
