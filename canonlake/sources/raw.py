@@ -56,16 +56,19 @@ class RawStore:
             out.write(bytearray(payload))
         finally:
             out.close()
-        if files.exists(final):
-            files.delete(final, False)
-        files.rename(part, final)
+        # one step, also over a payload of the same day, so a reader sees the old one or the new one
+        hadoop, gateway = self.spark._jvm.org.apache.hadoop.fs, self.spark.sparkContext._gateway
+        rename = getattr(hadoop, "Options$Rename")
+        options = gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
+        hadoop.FileContext.getFileContext(final.toUri(), self.spark._jsc.hadoopConfiguration()).rename(part, final, options)
         listed = self._listed.get((source, dataset, extension))
         if listed is not None and (name not in listed or listed[name][0] <= day):
             listed[name] = (day, key)
         return key
 
     def save_all(self, source: str, dataset: str, payloads: DataFrame, extension: str = "json", day: date | None = None) -> None:
-        """Many payloads (name, payload) of one day, written where their rows lie; a payload that comes again is replaced."""
+        """Many payloads (name, payload) of one day, written where their rows lie if the base is a folder that all machines share, else one by one; a payload that comes again is replaced."""
         day = day or datetime.now(UTC).date()
         folder = f"{self.base}/raw/{source}/{dataset}/{DOWNLOADED}={day.isoformat()}"
         where, files = self._files(folder)
@@ -81,6 +84,9 @@ class RawStore:
                 part = os.path.join(path, f".{row.name}.{extension}.part")
                 with open(part, "wb") as file:
                     file.write(row.payload.encode())
+                check = os.path.join(path, f".{row.name}.{extension}.crc")
+                if os.path.exists(check):  # the sum that the file system keeps of a payload that ``save`` wrote
+                    os.remove(check)
                 os.replace(part, os.path.join(path, f"{row.name}.{extension}"))
 
         payloads.select("name", "payload").foreachPartition(write)

@@ -45,6 +45,15 @@ def test_raw_keeps_all_and_reads_the_latest(spark, base, tmp_path):
     assert rows(raw.stale(names, "s", "d", None, dt.date(2024, 2, 5))) == [("q",)]
 
 
+def test_a_payload_of_the_same_day_is_replaced(spark, base, tmp_path):
+    raw = RawStore(spark, base)
+    for body in (b"one", b"two"):
+        raw.save("s", "d", "a", body, day=dt.date(2024, 1, 1))
+    raw.save_all("s", "d", spark.createDataFrame([("b", "x"), ("a", "three")], "name string, payload string"), day=dt.date(2024, 1, 1))
+    assert rows(raw.latest("s", "d").select("name", "payload")) == [("a", "three"), ("b", "x")]
+    assert not [f for f in (tmp_path / "raw/s/d/fecha_descarga=2024-01-01").iterdir() if f.name.endswith(".part")]
+
+
 def frame(spark, data, schema="player_id int, value int"):
     return spark.createDataFrame(data, schema)
 
