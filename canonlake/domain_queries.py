@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canonlake.functions import scalars as S
-from canonlake.operators import algebra, flatten, integrity, resolve
+from canonlake.operators import flatten, integrity, resolve
 from canonlake.plans import analytics, jobs
 from canonlake.plans.orchestrator import Result, Step, run_steps
 from canonlake.queries import PART_TEAMS, SEASON, part_teams, query, scratch, table
