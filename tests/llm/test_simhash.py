@@ -3,7 +3,6 @@
 import random
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pytest
 import xxhash
