@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from canonlake.llm import decontaminate as decontamination
 from canonlake.llm import line_dedup as lines
-from canonlake.llm import packing
+from canonlake.llm import packing, periodic_runs, phrases, sentencepieces
 from canonlake.llm import quality_classifier as classifier
 from canonlake.llm import quality_rules as quality
 from canonlake.llm import secret_scan as secrets
@@ -178,3 +178,68 @@ def op9_toxicity(spark, sf_dir):
 @query("op6_suffix_dedup")
 def op6_suffix_dedup(spark, sf_dir):
     return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text: a tenth of the texts, by the checksum of the id, repeat words of their own from some place on; the others are unchanged."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    n, g, a, p = F.size("words").cast("long"), F.expr("h div 10"), F.col("a"), F.col("p")
+    out = docs.select("doc_id", "text", h.alias("h"), words.alias("words")).withColumn("a", F.when(n > 0, g % n))
+    out = out.withColumn("p", 1 + F.expr("(size(words) - a) div (3 + h div 10 % 8)"))
+    place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")
+    repeated = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get("words", place(i))), " ")
+    return out.select("doc_id", F.when(n > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark, sf_dir):
+    out = periodic_runs.periodic_runs(planted(table(spark, sf_dir, "documents")), "text", least=24, times=3)
+    # runs come by start and period, so the first of equal exponents is the one to take
+    higher = lambda best, run: best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"])
+    kind = "struct<start: bigint, length: bigint, period: bigint>"
+    best = F.aggregate("runs", F.lit(None).cast(kind), lambda best, run: F.when(higher(best, run), run).otherwise(best))
+    told = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))), "")
+    out = out.withColumn("best", best)
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[F.col("best")[c].alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2(told, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query(
+    "op12_phrase_collocations",
+    f"""
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+    i AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, range(1, 6) AS sizes(m) WHERE len(w) >= m),
+    g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f FROM i GROUP BY ALL),
+    t AS (SELECT lang, sum(f) AS n FROM g WHERE m = 1 GROUP BY lang),
+    c AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS parts, f AS a FROM g WHERE m > 1 AND f >= 100),
+    k AS (SELECT *, array_to_string(parts[:k], ' ') AS first, array_to_string(parts[k + 1:], ' ') AS rest FROM (SELECT *, unnest(range(1, m)) AS k FROM c)),
+    s AS (SELECT lang, k.phrase, a, k, x.f AS l, y.f AS r, n, (1000::HUGEINT * a::HUGEINT * n::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT) AS score
+    FROM k JOIN t USING (lang) JOIN (SELECT lang, phrase AS first, f FROM g) x USING (lang, first) JOIN (SELECT lang, phrase AS rest, f FROM g) y USING (lang, rest)),
+    low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    held AS (SELECT lang, array_to_string(parts[b:b + z - 1], ' ') AS phrase, max(a) AS longer
+    FROM (SELECT *, unnest(range(1, m - z + 2)) AS b FROM (SELECT *, unnest(range(2, m)) AS z FROM c)) GROUP BY ALL),
+    kept AS (SELECT low.* FROM low LEFT JOIN held USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a)
+    SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+    FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000
+    """,
+)
+def op12_phrase_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"), "text", "lang", max_words=5, min_count=100, share=100, top=2000)
+
+
+def piece_model() -> str:
+    """Where the public vocabulary of sentence pieces lies on this machine; executors have it at the same place."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op13_sentencepiece")
+def op13_sentencepiece(spark, sf_dir):
+    encoded = sentencepieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model(), "text", begin=True, end=True)
+    out = sentencepieces.decode(encoded, piece_model())
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "agrees")

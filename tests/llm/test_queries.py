@@ -1,13 +1,15 @@
 """The registered queries over a small table of odd rows, each against brute force, and each with its columns."""
 
+import hashlib
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
 
 from canonlake.llm import queries as q
-from tests.llm import test_packing, test_quality_rules, test_simhash, test_suffix_dedup
+from tests.llm import test_packing, test_periodic_runs, test_phrases, test_quality_rules, test_simhash, test_suffix_dedup
 
 WORDS = [f"{a}{b}" for a in "bcdfg" for b in ("rin", "lo", "st", "mun", "É")]
 LONG = "a passage of well over fifty bytes that several of the documents share, word for word"
@@ -143,3 +145,43 @@ def test_queries_with_sql_match_it(spark, tables):
         want = con.sql(sql)
         df = q.QUERIES[name](spark, path).select(*want.columns)
         assert sorted(map(tuple, df.collect()), key=repr) == sorted(want.fetchall(), key=repr), name
+
+
+def sha(text):
+    return hashlib.sha256(text if isinstance(text, bytes) else text.encode()).hexdigest()
+
+
+def test_op11_matches_a_plain_search(spark, tables):
+    path, texts = tables
+    rows = q.QUERIES["op11_periodic_runs"](spark, path).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts) and any(r.n_runs for r in rows)
+    for r in rows:
+        words, h = test_periodic_runs.WORDS.findall(texts[r.doc_id] or ""), zlib.crc32(str(r.doc_id).encode())
+        n, g = len(words), h // 10
+        if h % 10 == 0 and n:
+            a, p = g % n, 1 + (n - g % n) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+        runs, kept = test_periodic_runs.brute(words)
+        best = max(runs, key=lambda x: (Fraction(x[1], x[2]), -x[0], -x[2]), default=None)
+        first = (None,) * 4 if best is None else (*best, 1000 * best[1] // best[2])
+        assert (r.n_runs, r.start, r.length, r.period, r.exponent_milli) == (len(runs), *first)
+        assert (r.runs_sha256, r.collapsed_sha256) == (sha("".join("%d,%d,%d\n" % x for x in runs)), sha(" ".join(kept)))
+
+
+def test_op12_matches_a_plain_count(spark, tables):
+    path, texts = tables
+    rows = q.QUERIES["op12_phrase_collocations"](spark, path).collect()
+    want = test_phrases.brute([(["en", "fr", None][i % 3], t) for i, t in texts.items()])
+    assert want and sorted(map(tuple, rows)) == want
+
+
+def test_op13_is_what_the_library_gives(spark, tables):
+    import sentencepiece
+
+    path, texts = tables
+    library = sentencepiece.SentencePieceProcessor(model_file=q.piece_model())
+    rows = q.QUERIES["op13_sentencepiece"](spark, path).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        ids = library.encode(texts[r.doc_id] or "", add_bos=True, add_eos=True)
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256, r.agrees) == (len(ids), sha(np.array(ids, "<u4").tobytes()), sha(library.decode(ids)), True)
