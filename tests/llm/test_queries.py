@@ -24,6 +24,7 @@ def documents():
     texts |= {90 + k: texts[10 + k] for k in range(5)}
     texts[95] = body(3000)
     texts[96] = texts[20] + "!"
+    texts |= {97: "So red wine, of old " * 130, 98: "of old so red " * 70}
     return texts
 
 
