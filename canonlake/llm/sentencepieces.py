@@ -5,6 +5,7 @@ from __future__ import annotations
 import codecs
 import heapq
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -18,8 +19,12 @@ from canonlake.llm.common import fresh
 
 #: Fixed value: the character that stands for a space in pieces.
 SPACE = "▁"
-#: Words whose ids a worker remembers, and the longest of them in characters; others are encoded each time.
-REMEMBERED, LONGEST = 1 << 17, 64
+#: Words whose ids a worker remembers, at most twice as many in passing, and the longest of them in characters; others are encoded each time.
+REMEMBERED, LONGEST = 1 << 18, 64
+#: Lengths up to which words are encoded together, and how many symbols at once; a longer word is encoded by itself.
+LENGTHS, CELLS = (8, 12, 16, 24, 40, 80), 1 << 18
+#: Beyond any id, and beyond any turn.
+PAIR, NEVER = 1 << 21, 1 << 40
 
 #: As the library decodes: each byte that is no part of a character is one replacement character.
 codecs.register_error("each_byte", lambda error: ("�", error.start + 1))
@@ -54,7 +59,7 @@ class Vocabulary:
     """The pieces of a model file, encoding by an agenda of adjacent pairs, and decoding.
 
     No piece of such a vocabulary has a space behind another character, so no merge crosses the beginning of a word, and
-    words are encoded one by one; nor does one cross a character that is in no longer piece. Vocabularies of which this is not true are refused.
+    words are encoded one by one; vocabularies of which this is not true are refused.
     """
 
     def __init__(self, path: str):
@@ -74,8 +79,16 @@ class Vocabulary:
             raise ValueError(f"{path} has pieces that this encoder does not know how to merge")
         self.ids = {pieces[i]: i for i in plain}
         self.scores = {pieces[i]: self.library.get_score(i) for i in plain}
-        joined = set(chain.from_iterable(p for p in self.ids if len(p) > 1))
-        self.stretches = re.compile("[" + "".join(map(re.escape, sorted(joined))) + "]+|.", re.DOTALL)
+        # symbols are ids of pieces; a character without a piece is -2 less its code, which joins nothing
+        self.symbols = -2 - np.arange(0x110000)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.symbols[ord(piece)] = i
+        # every pair of pieces that is a piece: (first * PAIR + second) in order, the piece, and its place by score, equal scores alike
+        split = [(self.ids[p[:k]] * PAIR + self.ids[p[k:]], i) for p, i in self.ids.items() for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids]
+        keys, joint = np.array(sorted(split), np.int64).reshape(-1, 2).T
+        scores = np.unique(-np.array([self.library.get_score(i) for i in ids]), return_inverse=True)[1]
+        self.pairs, self.joint, self.turn = np.append(keys, np.iinfo(np.int64).max), np.append(joint, -1), np.append(scores[joint], NEVER)
         self.begin, self.end = self.library.bos_id(), self.library.eos_id()
         # what each id decodes to
         self.shown = [b""] * len(ids)
@@ -88,43 +101,99 @@ class Vocabulary:
                 self.shown[i] = pieces[i].replace(SPACE, " ").encode()
         self.leading = {i for i in plain if pieces[i].startswith(SPACE)}
         self.silent = {i for i in ids if self.library.is_control(i)}
+        # words of late, and those before them: what is met again moves to the first, the rest goes when that is full
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.differing: set[str] = set()
 
     def merged(self, symbols: str) -> list[str]:
         """The symbols that are left when adjacent pairs have been merged, the best score first and of equal ones the leftmost."""
         parts: list[str] = list(symbols)
-        before, after = list(range(-1, len(parts) - 1)), list(range(1, len(parts) + 1))
-        agenda: list[tuple[float, int, int, str]] = []
-
-        def propose(left: int, right: int) -> None:
-            if left >= 0 and right < len(parts):
-                score = self.scores.get(both := parts[left] + parts[right])
-                if score is not None:
-                    heapq.heappush(agenda, (-score, left, right, both))
-
-        for left in range(len(parts) - 1):
-            propose(left, left + 1)
+        last, scores = len(parts) - 1, self.scores
+        before, after = list(range(-1, last)), list(range(1, last + 2))
+        agenda = []
+        for left in range(last):
+            both = parts[left] + parts[left + 1]
+            if both in scores:
+                agenda.append((-scores[both], left, left + 1, both))
+        heapq.heapify(agenda)
         while agenda:
             _, left, right, both = heapq.heappop(agenda)
             if not parts[left] or not parts[right] or parts[left] + parts[right] != both:
                 continue  # one of the two has been merged with another meanwhile
             parts[left], parts[right] = both, ""
-            after[left] = after[right]
-            if after[right] < len(parts):
-                before[after[right]] = left
-            propose(before[left], left)
-            propose(left, after[left])
+            following = after[left] = after[right]
+            leading = before[left]
+            if following <= last:
+                before[following] = left
+                if (more := both + parts[following]) in scores:
+                    heapq.heappush(agenda, (-scores[more], left, following, more))
+            if leading >= 0 and (more := parts[leading] + both) in scores:
+                heapq.heappush(agenda, (-scores[more], leading, left, more))
         return [p for p in parts if p]
 
-    def word(self, word: str) -> bytes:
-        """The ids of a word with the space before it, little-endian, four bytes each; a character without a piece is its bytes."""
+    def _found(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(turn, joint piece) of pairs of symbols; NEVER where they are no piece."""
+        wanted = np.where((left >= 0) & (right >= 0), left * PAIR + right, -1)
+        at = np.searchsorted(self.pairs, wanted)
+        good = self.pairs[at] == wanted
+        return np.where(good, self.turn[at], NEVER), np.where(good, self.joint[at], -1)
+
+    def _together(self, words: list[str]) -> list[bytes]:
+        """The ids of words of like length, each a row of an agenda of its adjacent pairs: in every step each row merges its best pair, the leftmost of equal ones."""
+        size = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        codes = self.symbols[np.frombuffer("".join(SPACE + w for w in words).encode("utf-32-le"), "<u4")]
+        width = int(size.max())
+        symbol = np.full((len(words), width + 1), -1, np.int64)
+        row = np.repeat(np.arange(len(words)), size)
+        symbol[row, np.arange(len(codes)) - np.repeat(np.cumsum(size) - size, size)] = codes
+        turn, joint = (np.ascontiguousarray(x) for x in self._found(symbol[:, :-1], symbol[:, 1:]))
+        open_, columns = np.arange(len(words)), np.arange(width)
+        done = symbol.copy()
+        while len(open_):
+            rows = np.arange(len(open_))
+            best = turn.argmin(1)
+            going = turn[rows, best] < NEVER
+            if not going.all():
+                done[open_[~going]] = symbol[~going]
+                open_, symbol, turn, joint, best = open_[going], symbol[going], turn[going], joint[going], best[going]
+                rows = np.arange(len(open_))
+            new = joint[rows, best]
+            later = np.minimum(columns + (columns > best[:, None]), width - 1)  # what is behind the pair moves up by one
+            symbol[:, :-1] = np.take_along_axis(symbol, columns + (columns > best[:, None]), 1)
+            turn, joint = np.take_along_axis(turn, later, 1), np.take_along_axis(joint, later, 1)
+            symbol[:, -1], turn[:, -1] = -1, NEVER
+            symbol[rows, best] = new
+            turn[rows, best], joint[rows, best] = self._found(new, symbol[rows, best + 1])
+            behind = best > 0
+            turn[rows[behind], best[behind] - 1], joint[rows[behind], best[behind] - 1] = self._found(symbol[rows[behind], best[behind] - 1], new[behind])
+        plain, ends = done.astype("<u4"), (done != -1).sum(1).tolist()
+        odd = set(np.flatnonzero((done < -1).any(1)).tolist())
+        return [self._with_bytes(done[k, :n]) if k in odd else plain[k, :n].tobytes() for k, n in enumerate(ends)]
+
+    def _with_bytes(self, symbols: np.ndarray) -> bytes:
+        """Ids of symbols, of which a character without a piece is its bytes."""
         out: list[int] = []
-        for stretch in self.stretches.findall(SPACE + word):
-            for symbol in self.merged(stretch):
-                found = self.ids.get(symbol)
-                out.extend([found] if found is not None else [self.bytes[b] for b in symbol.encode()])
-        return np.array(out, "<u4").tobytes()
+        for s in symbols.tolist():
+            out.extend([s] if s >= 0 else [self.bytes[b] for b in chr(-2 - s).encode()])
+        return array("I", out).tobytes()
+
+    def encoded(self, words: Iterable[str]) -> dict[str, bytes]:
+        """The ids of words with the space before each, little-endian, four bytes each. Words of like length go together; a very long one has a heap for its agenda."""
+        out: dict[str, bytes] = {}
+        alike: dict[int, list[str]] = {}
+        for word in words:
+            size = next((n for n in LENGTHS if len(word) < n), 0)
+            if not size:
+                symbols = (self.ids.get(p, -2 - ord(p[0])) for p in self.merged(SPACE + word))
+                out[word] = self._with_bytes(np.fromiter(symbols, np.int64))
+            else:
+                alike.setdefault(size, []).append(word)
+        for size, group in alike.items():
+            step = max(1, CELLS // size)
+            for k in range(0, len(group), step):
+                out.update(zip(group[k : k + step], self._together(group[k : k + step])))
+        return out
 
     def words(self, text: str) -> list[str]:
         """The words of a text, each without the first space before it; spaces that follow one another stay with the word behind them."""
@@ -136,21 +205,24 @@ class Vocabulary:
     def encode(self, texts: list[str], begin: bool, end: bool, check: str) -> tuple[list[bytes], list[bool]]:
         """The ids of each text and whether the library agrees; where it doesn't, they are the library's."""
         split = [self.words(t) for t in texts]
-        new = set(chain.from_iterable(split)).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            self.differing.clear()
-            new = set(chain.from_iterable(split))
-        ids = {w: self.word(w) for w in new}
+        here = set(chain.from_iterable(split))
+        ids = {w: self.known[w] for w in here.intersection(self.known)}
+        again = {w: self.older[w] for w in here.difference(ids).intersection(self.older)}
+        ids.update(again)
+        new = self.encoded(here.difference(ids))
         if check != "none":
             # the library puts a space before a text itself; a space alone is not told apart from no text
-            asked = [w for w in ids if w]
+            asked = [w for w in new if w]
             for w, theirs in zip(asked, self.library.encode(asked, num_threads=1)):
-                if ids[w] != (theirs := np.array(theirs, "<u4").tobytes()):
-                    ids[w] = theirs
+                if new[w] != (theirs := array("I", theirs).tobytes()):
+                    new[w] = theirs
                     self.differing.add(w)
-        self.known.update((w, x) for w, x in ids.items() if len(w) <= LONGEST)
-        find = _Both(ids, self.known).__getitem__
+        ids.update(new)
+        self.known.update(again)
+        self.known.update((w, x) for w, x in new.items() if len(w) <= LONGEST)
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        find = ids.__getitem__
         head, tail = (np.array([i] if on else [], "<u4").tobytes() for i, on in ((self.begin, begin), (self.end, end)))
         out = [head + b"".join(map(find, words)) + tail for words in split]
         agrees = [True] * len(texts) if not self.differing else [self.differing.isdisjoint(words) for words in split]
@@ -169,17 +241,6 @@ class Vocabulary:
         return (shown[1:] if first in self.leading else shown).decode("utf-8", "each_byte")
 
 
-class _Both(dict):
-    """A look into the ids of this batch, then into those remembered."""
-
-    def __init__(self, ids: dict[str, bytes], known: dict[str, bytes]):
-        super().__init__(ids)
-        self.known = known
-
-    def __missing__(self, word: str) -> bytes:
-        return self.known[word]
-
-
 _vocabularies: dict[str, Vocabulary] = {}
 
 
@@ -190,7 +251,7 @@ def vocabulary(path: str) -> Vocabulary:
     return _vocabularies[path]
 
 
-def _slices(texts: Iterable[str], chars: int = 1 << 22) -> Iterator[list[str]]:
+def _slices(texts: Iterable[str], chars: int = 1 << 20) -> Iterator[list[str]]:
     """Texts in lists of about ``chars`` characters, so that what is split at once is bounded."""
     held, size = [], 0
     for text in texts:

@@ -33,6 +33,14 @@ def test_odd_texts(own, library, text):
     assert own.decode(np.array(want)) == library.decode(want)
 
 
+def test_words_together_and_one_by_one(own):
+    """The agenda as rows of an array and the one with a heap merge alike."""
+    words = {w for w in ODD if sp.SPACE not in w and " " not in w} | {"the", "other" * 9, "straße,", "日本語x", "a🙂b", "\n\n", "l" * 79, "l" * 80}
+    for word, ids in own.encoded(words).items():
+        symbols = (own.ids.get(p, -2 - ord(p[0])) for p in own.merged(sp.SPACE + word))
+        assert ids == own._with_bytes(np.fromiter(symbols, np.int64))
+
+
 @settings(max_examples=400, deadline=None)
 @given(st.text(st.one_of(st.sampled_from(" ▁\n\tthe inodraetsé日,.🙂0"), st.characters(exclude_categories=["Cs"])), max_size=60))
 def test_any_text(own, library, text):
@@ -50,7 +58,7 @@ def test_any_ids_decode_alike(own, library, ids):
 
 def test_where_the_library_differs_its_ids_are_taken(own, library, monkeypatch):
     fresh = sp.Vocabulary(piece_model())
-    monkeypatch.setattr(fresh, "merged", lambda symbols: list(symbols))
+    monkeypatch.setattr(fresh, "encoded", lambda words: {w: b"" if w else [*own.encoded([""]).values()][0] for w in words})
     ids, agrees = fresh.encode(["the other", ""], True, False, "words")
     assert [np.frombuffer(i, "<u4").tolist() for i in ids] == library.encode(["the other", ""], add_bos=True) and agrees == [False, True]
     fresh = sp.Vocabulary(piece_model())
@@ -66,7 +74,7 @@ def test_what_is_remembered_is_bounded(own, library, monkeypatch):
     for text in texts + texts[:3]:
         (ids,), _ = fresh.encode([text], False, False, "none")
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text)
-        assert len(fresh.known) <= 40 and all(len(w) <= sp.LONGEST for w in fresh.known)
+        assert len(fresh.known) <= 40 and len(fresh.older) <= 49 and all(len(w) <= sp.LONGEST for w in [*fresh.known, *fresh.older])
 
 
 def test_rows_and_columns(spark, library):
