@@ -240,6 +240,5 @@ def piece_model() -> str:
 
 @query("op13_sentencepiece")
 def op13_sentencepiece(spark, sf_dir):
-    encoded = sentencepieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model(), "text", begin=True, end=True)
-    out = sentencepieces.decode(encoded, piece_model())
+    out = sentencepieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model(), "text", begin=True, end=True, back=True)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "agrees")

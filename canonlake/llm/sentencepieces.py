@@ -20,7 +20,7 @@ from canonlake.llm.common import fresh
 #: Fixed value: the character that stands for a space in pieces.
 SPACE = "▁"
 #: Words whose ids a worker remembers, at most twice as many in passing, and the longest of them in characters; others are encoded each time.
-REMEMBERED, LONGEST = 1 << 18, 64
+REMEMBERED, LONGEST = 1 << 17, 64
 #: Lengths up to which words are encoded together, and how many symbols at once; a longer word is encoded by itself.
 LENGTHS, CELLS = (8, 12, 16, 24, 40, 80), 1 << 18
 #: Beyond any id, and beyond any turn.
@@ -264,14 +264,17 @@ def _slices(texts: Iterable[str], chars: int = 1 << 20) -> Iterator[list[str]]:
         yield held
 
 
-def _encoded(path: str, begin: bool, end: bool, check: str):
+def _encoded(path: str, begin: bool, end: bool, check: str, back: bool):
     def run(batch: pa.Array) -> pa.Array:
         found, ids, agrees = vocabulary(path), [], []
         for texts in _slices(pc.fill_null(batch, "").to_pylist()):
             some, good = found.encode(texts, begin, end, check)
             ids += some
             agrees += good
-        return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(agrees, pa.bool_())], names=["ids", "n_tokens", "agrees"])
+        columns = {"ids": pa.array(ids, pa.binary()), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "agrees": pa.array(agrees, pa.bool_())}
+        if back:
+            columns["decoded"] = pa.array([found.decode(np.frombuffer(x, "<u4")) for x in ids], pa.string())
+        return pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
 
     return run
 
@@ -284,23 +287,23 @@ def _decoded(path: str):
     return run
 
 
-def encode(df: DataFrame, model_path: str, text_col: str = "text", begin: bool = True, end: bool = True, check: str = "words") -> DataFrame:
+def encode(df: DataFrame, model_path: str, text_col: str = "text", begin: bool = True, end: bool = True, check: str = "words", back: bool = False) -> DataFrame:
     """All rows and columns of ``df`` with ``ids`` (little-endian, four bytes each), ``n_tokens`` and ``agrees`` added.
 
     Symbols begin as characters; the adjacent pair whose joint piece has the best score, of equal ones the leftmost, is merged until
     no pair is a piece. What a word gives is remembered. In every Arrow batch the sentencepiece library encodes what was
     encoded anew: with ``check`` "words" each word, with "texts" each whole text as well, with "none" nothing. Where it differs its ids
-    are taken and ``agrees`` is false.
+    are taken and ``agrees`` is false. With ``back`` the ids are decoded in the same pass, as ``decode`` does, into ``decoded``.
 
     Rows are encoded where they lie: no shuffle, and no key is hot. A null text is an empty one, whose ids are those of its beginning
-    and end alone. Texts of any length are encoded whole. Repeated rows are encoded row by row. Input columns of the three
-    names are replaced. An empty table gives an empty table. The model file must lie at ``model_path`` on every machine.
+    and end alone. Texts of any length are encoded whole. Repeated rows are encoded row by row. Input columns of the
+    names added are replaced. An empty table gives an empty table. The model file must lie at ``model_path`` on every machine.
     """
     if check not in ("none", "words", "texts"):
         raise ValueError(f"check is none, words or texts, not {check}")
-    added = ["ids", "n_tokens", "agrees"]
+    added = {"ids": "binary", "n_tokens": "long", "agrees": "boolean"} | ({"decoded": "string"} if back else {})
     (found,) = fresh(df, "__found")
-    encoded = F.arrow_udf(_encoded(model_path, begin, end, check), "ids binary, n_tokens long, agrees boolean").asNondeterministic()  # so that no plan computes it twice
+    encoded = F.arrow_udf(_encoded(model_path, begin, end, check, back), ", ".join(f"{c} {t}" for c, t in added.items())).asNondeterministic()  # so that no plan computes it twice
     out = df.withColumn(found, encoded(F.col(text_col)))
     out = out.drop(*[c for c in df.columns if c.lower() in added and c != text_col])
     return out.withColumns({name: F.col(found)[name] for name in added}).drop(found)
