@@ -14,10 +14,10 @@ from canonlake.plans.orchestrator import Result
 COMMANDS = {
     "ingest-squad": (lambda lake, a: jobs.ingest_squad(lake, a.competition), True, False),
     "ingest-reports": (lambda lake, a: jobs.ingest_reports(lake, a.competition, a.season), True, True),
-    "ingest-rounds": (lambda lake, a: jobs.ingest_rounds(lake, a.competition, a.season), True, True),
+    "ingest-rounds": (lambda lake, a: jobs.ingest_rounds(lake, a.competition, a.season, a.resume), True, True),
     "ingest-delta": (lambda lake, a: jobs.ingest_reports_delta(lake, a.competition, a.season), True, True),
     "ingest-squads": (lambda lake, a: jobs.ingest_squads(lake, a.competition, a.season, a.limit), True, True),
-    "ingest-player": (lambda lake, a: jobs.ingest_player(lake, a.player, a.competition, a.force), True, False),
+    "ingest-player": (lambda lake, a: jobs.ingest_player(lake, a.player, a.competition, a.force), False, False),
     "ingest-season-stats": (lambda lake, a: jobs.ingest_season_stats(lake, a.player), False, False),
     "ingest-prices": (lambda lake, a: jobs.ingest_prices(lake, a.competition, a.season, a.day), True, True),
     "ingest-valuation": (lambda lake, a: jobs.ingest_valuation(lake, a.competition), True, False),
@@ -57,7 +57,10 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--limit", type=int, help="people, clubs or matches that this run takes at most")
         if name in ("ingest-player", "ingest-season-stats", "probe-report"):
             sub.add_argument("player", metavar="NAME", help="an id, a canonical id, a profile link (ingest-player), a name (ingest-season-stats), or the name of a probe")
+        if name == "ingest-rounds":
+            sub.add_argument("--resume", action="store_true", help="leave rounds alone that are stored already")
         if name == "ingest-player":
+            sub.add_argument("--competition", default=jobs.ON_DEMAND)
             sub.add_argument("--force", action="store_true", help="store it even if birth dates differ")
         if name == "crosscheck":
             sub.add_argument("--report", help="file for the report as JSON")

@@ -39,7 +39,7 @@ GAME = (
 SCHEMAS = {
     "competition": f"struct<data:struct<id:long,season:struct<rounds:array<struct<id:long,name:string,status:string>>>,players:map<string,{PLAYER}>,teams:map<string,struct<id:long,name:string,slug:string>>>>",
     "reports": f"struct<data:struct<id:long,slug:string,birthday:long,reports:array<{REPORT}>,prices:array<array<long>>>>",
-    "round": f"struct<data:struct<id:long,name:string,scoreID:int,games:array<struct<id:long,date:long,status:string,home:{SIDE},away:{SIDE}>>>>",
+    "round": f"struct<data:struct<id:long,name:string,scoreID:int,season:struct<rounds:array<struct<id:long,name:string,status:string>>>,games:array<struct<id:long,date:long,status:string,home:{SIDE},away:{SIDE}>>>>",
     "seasons": "struct<uniqueTournamentSeasons:array<struct<uniqueTournament:struct<id:long,name:string>,seasons:array<struct<id:long,year:string,name:string>>>>>",
     "events": f"struct<events:array<struct<id:long,startTimestamp:long,status:struct<type:string>,homeTeam:{CLUB},awayTeam:{CLUB},tournament:struct<uniqueTournament:{CLUB}>,season:struct<id:long,year:string>>>,hasNextPage:boolean>",
     "lineups": f"struct<confirmed:boolean,home:struct<players:array<{ENTRY}>>,away:struct<players:array<{ENTRY}>>>",
@@ -94,7 +94,10 @@ def is_postponed(name: Column) -> Column:
 
 def playable_rounds(good: DataFrame) -> DataFrame:
     """Rounds that are finished or have no status, and are no postponed copy."""
-    rounds = good.select(F.explode("j.data.season.rounds").alias("r")).select("r.*")
+    return playable(good.select(F.explode("j.data.season.rounds").alias("r")).select("r.*"))
+
+
+def playable(rounds: DataFrame) -> DataFrame:
     return rounds.where((F.col("status").isNull() | (F.col("status") == "finished")) & ~is_postponed(F.col("name")))
 
 

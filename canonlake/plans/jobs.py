@@ -32,6 +32,8 @@ TRACKED_LEAGUE = "la-liga"
 #: Competitions whose minutes both sources tell, by tournament number.
 COVERED = [str(TOURNAMENTS[c]) for c in ("la-liga", "segunda-division")]
 COMPETITION_CODES = {"la-liga": "ES1", "segunda-division": "ES2"}
+#: Fixed value: the partition of players that were asked for one by one and are in no squad.
+ON_DEMAND = "bajo-demanda"
 
 #: Tables of a player's whole history: dataset, contract and rows of each.
 HISTORIES = (
@@ -47,9 +49,10 @@ class Lake:
     def __init__(self, spark: SparkSession, base: str, mappings: str = "mappings"):
         self.spark, self.raw, self.curated, self.mappings = spark, RawStore(spark, base), CuratedStore(spark, base), MappingStore(spark, mappings)
 
-    def payloads(self, source: str, dataset: str, contract: str, named: str = "", strict: bool = False) -> tuple[DataFrame, int]:
-        """Good payloads of a dataset whose names begin with ``named``, and how many broke the contract."""
-        good, bad = flatten.parsed(self.raw.latest(source, dataset, named=named).select("name", "payload"), contract)
+    def payloads(self, source: str, dataset: str, contract: str, named: str = "", strict: bool = False, ends: str = "", among: set[str] | None = None) -> tuple[DataFrame, int]:
+        """Good payloads of a dataset, and how many broke the contract. Only those whose names begin with ``named``, end with ``ends`` and are in ``among`` are opened, so what
+        another season or player left broken does no harm."""
+        good, bad = flatten.parsed(self.raw.latest(source, dataset, named=named, ends=ends, among=among).select("name", "payload"), contract)
         broken = bad.count()
         if strict and broken:
             raise ValueError(f"{broken} payloads of {source}/{dataset} break their contract")
@@ -83,8 +86,7 @@ def ingest_squad(lake: Lake, competition: str) -> Result:
 @job
 def ingest_reports(lake: Lake, competition: str, season: int) -> Result:
     """Points, prices and birth dates from all reports of a season."""
-    good, _ = lake.payloads(FANTASY, "player-reports", "reports", f"{competition}-", strict=True)
-    good = good.where(F.endswith("name", F.lit(f"-{season}")))
+    good, _ = lake.payloads(FANTASY, "player-reports", "reports", f"{competition}-", strict=True, ends=f"-{season}")
     where = {"competition": competition, "season": str(season)}
     points, anomalies = flatten.fantasy_points(good)
     points = lake.curated.staged(points)
@@ -107,30 +109,75 @@ def ingest_prices(lake: Lake, competition: str, season: int, day: date) -> Resul
     return Result(rows={"biwenger_prices": rows.count()})
 
 
+def names_of(rows: DataFrame) -> set[str]:
+    """The names of payloads in the first column, for a choice in the listing: the rounds of a season, the members of a squad."""
+    return {r[0] for r in rows.distinct().toLocalIterator()}
+
+
+def season_rounds(lake: Lake, competition: str, season: int) -> DataFrame | None:
+    """(id) of the rounds that belong to a season and can be played; None if no round of it is known.
+
+    Some round of the season is known from its stored points, or from the reports of its players. The catalogue in that round's payload, or the competition's own one if
+    it lists that round, names the others: those finished or without a status, and no postponed copies. A known round that no catalogue lists is taken as it is.
+    """
+    stored = lake.curated.read_partition("fantasy_points", {"competition": competition, "season": str(season)})
+    if stored is not None:
+        seeds = stored.select(F.col("round_id").alias("id"))
+    else:
+        reports, _ = lake.payloads(FANTASY, "player-reports", "reports", f"{competition}-", strict=True, ends=f"-{season}")
+        seeds = reports.select(F.explode("j.data.reports").alias("r")).select(F.col("r.match.round.id").alias("id"))
+    seeds = lake.curated.staged(seeds.where("id is not null").distinct())
+    if seeds.isEmpty():
+        return None
+    own, _ = lake.payloads(FANTASY, "rounds", "round", f"{competition}-", among=names_of(seeds.select(F.concat(F.lit(f"{competition}-"), F.col("id").cast("string"), F.lit("-score1")))))
+    current, _ = lake.payloads(FANTASY, "competition-data", "competition", among={competition})
+    listed = own.select("j.data.season.rounds").union(current.select("j.data.season.rounds")).where("rounds is not null").distinct()
+    catalogues = lake.curated.staged(listed.withColumn("catalogue", F.monotonically_increasing_id()).select("catalogue", F.explode("rounds").alias("r")).select("catalogue", "r.*"))
+    ours = catalogues.join(catalogues.join(seeds, "id", "left_semi").select("catalogue").distinct(), "catalogue", "left_semi")
+    alone = algebra.without_keys(seeds, ours.select("id"), ["id"])
+    return lake.curated.staged(flatten.playable(ours).select("id").union(alone.select("id")).distinct())
+
+
 @job
-def ingest_rounds(lake: Lake, competition: str, season: int) -> Result:
-    """Round points over all scoring systems; identities are stored before points, so a crash leaves no nameless points."""
-    good, _ = lake.payloads(FANTASY, "rounds", "round", f"{competition}-", strict=True)
+def ingest_rounds(lake: Lake, competition: str, season: int, resume: bool = False) -> Result:
+    """Points of a season's rounds over all scoring systems; identities are stored before points, so a crash leaves no nameless points.
+
+    ``season_rounds`` says which rounds these are; payloads of others are not opened. With ``resume`` rounds that are stored already are left alone.
+    """
+    where, rounds = {"competition": competition, "season": str(season)}, season_rounds(lake, competition, season)
+    if rounds is None:
+        return Result(failures=[f"no report of {competition} {season} names a round"])
+    done = lake.curated.read_partition("fantasy_round_points", where) if resume else None
+    todo = lake.curated.staged(algebra.without_keys(rounds, done.select(F.col("round_id").alias("id")).distinct(), ["id"])) if done is not None else rounds
+    skipped = rounds.count() - todo.count()
+    files = todo.select(F.explode(F.array(*[F.concat(F.lit(f"{competition}-"), F.col("id").cast("string"), F.lit(f"-score{k}")) for k in flatten.POINT_SYSTEMS])))
+    good, _ = lake.payloads(FANTASY, "rounds", "round", f"{competition}-", strict=True, among=names_of(files))
     sides = lake.curated.staged(flatten.round_sides(good.where(~flatten.is_postponed(F.col("j.data.name")))))
-    where = {"competition": competition, "season": str(season)}
     players, teams = flatten.round_identities(sides)
     lake.curated.upsert("biwenger_players_history", players, ["id"], where)
     lake.curated.upsert("biwenger_teams_history", teams, ["id"], where)
     points = lake.curated.staged(flatten.round_points(sides))
     lake.curated.upsert("fantasy_round_points", points, ["round_id"], where)
-    return Result(rows={"fantasy_round_points": points.count()})
+    return Result(rows={"fantasy_round_points": points.count()}, stats={"rounds_skipped": skipped} if resume else {})
 
 
 @job
 def ingest_valuation(lake: Lake, competition: str) -> Result:
-    """Market values, transfers, availability and injuries of all players that the raw layer holds; a player's history lives in one partition."""
+    """Market values, transfers, availability and injuries of the members of a competition's squads; a player's history lives in one partition.
+
+    Who is in no squad of the competition stays where they are. A member who was stored elsewhere, on demand for instance, moves here.
+    """
     where, result = {"competition": competition}, Result()
+    squads = lake.curated.read_tolerant("transfermarkt_players", {"id": "string", "competition": "string"}).where(F.col("competition") == competition)
+    members = names_of(squads.where("id is not null").select("id"))
+    if not members:
+        return Result(failures=[f"no squad of {competition} is stored"])
     for table, dataset, contract, rows in HISTORIES:
-        good, _ = lake.payloads(VALUATION, dataset, contract, strict=True)
+        good, _ = lake.payloads(VALUATION, dataset, contract, strict=True, among=members)
         found = lake.curated.staged(rows(good))
         lake.curated.upsert_unique_partition(table, found, ["player_id"], where)
         result.add(table, found.count())
-    pages = lake.raw.latest(VALUATION, "injuries", "html").select(F.col("name").alias("page"), F.col("payload").alias("html"))
+    pages = lake.raw.latest(VALUATION, "injuries", "html", among={f"spieler-{m}" for m in members}).select(F.col("name").alias("page"), F.col("payload").alias("html"))
     hurt = lake.curated.staged(injuries(html.parse_pages(pages, "injuries")))
     lake.curated.upsert_unique_partition("injuries_tm", hurt, ["player_id"], where)
     result.add("injuries_tm", hurt.count())
@@ -181,8 +228,8 @@ def ingest_squads(lake: Lake, competition: str, season: int, max_clubs: int | No
 
 
 @job
-def ingest_player(lake: Lake, query: str, competition: str, force: bool = False) -> Result:
-    """The whole history of one player, named by an id, a profile link or a canonical id.
+def ingest_player(lake: Lake, query: str, competition: str = ON_DEMAND, force: bool = False) -> Result:
+    """The whole history of one player, named by an id, a profile link or a canonical id, in a partition of its own unless ``competition`` names another.
 
     The birth date of the profile is held against the one that the player's own source tells; where both are known and differ,
     nothing is stored unless ``force`` says so.
@@ -192,7 +239,7 @@ def ingest_player(lake: Lake, query: str, competition: str, force: bool = False)
     player = resolve.named_player(asked, players, VALUATION).first().id
     if player is None:
         return Result(failures=[f"{query} names no player of {VALUATION}"])
-    pages = lambda dataset: lake.raw.latest(VALUATION, dataset, "html", f"spieler-{player}").where(F.col("name") == f"spieler-{player}").select(F.col("name").alias("page"), F.col("payload").alias("html"))
+    pages = lambda dataset: lake.raw.latest(VALUATION, dataset, "html", among={f"spieler-{player}"}).select(F.col("name").alias("page"), F.col("payload").alias("html"))
     profile = html.parse_pages(pages("profile"), "profile").where("error is null").select(F.lit(player).alias("id"), S.slash_date(F.col("birth_date")).alias("birth_date"))
     born = {"id": "string", "birth_date": "string"}
     births = lake.curated.read_tolerant("biwenger_players", born).unionByName(lake.curated.read_tolerant("biwenger_players_history", born))
@@ -202,7 +249,7 @@ def ingest_player(lake: Lake, query: str, competition: str, force: bool = False)
     if row.outcome == "differs" and not force:
         return Result(failures=[f"the birth date of {player} differs from the one of its own source"])
     result, where = Result(stats={"identity_" + row.outcome: 1}), {"competition": competition}
-    tables = [(t, r(lake.payloads(VALUATION, d, c, player, strict=True)[0].where(F.col("name") == player))) for t, d, c, r in HISTORIES]
+    tables = [(t, r(lake.payloads(VALUATION, d, c, strict=True, among={player})[0])) for t, d, c, r in HISTORIES]
     for table, rows in [*tables, ("injuries_tm", injuries(html.parse_pages(pages("injuries"), "injuries")))]:
         rows = lake.curated.staged(rows)
         lake.curated.upsert_unique_partition(table, rows, ["player_id"], where)
@@ -242,8 +289,8 @@ def ingest_season_stats(lake: Lake, query: str) -> Result:
     if player is None:
         return Result(failures=failures)
     players = approved(lake.mappings.load("players"), EVENTS)
-    good, broken = lake.payloads(EVENTS, "player-seasons", "seasons", player)
-    seasons = flatten.tournament_seasons(good.where(F.col("name") == player))
+    good, broken = lake.payloads(EVENTS, "player-seasons", "seasons", among={player})
+    seasons = flatten.tournament_seasons(good)
     named = seasons.withColumn("file", F.concat_ws("-", F.lit(player), F.col("tournament_id").cast("string"), F.col("season_id").cast("string")))
     overall, more = lake.payloads(EVENTS, "player-overall", "overall", f"{player}-")
     metrics = flatten.season_metrics(overall).groupBy("name").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("metric", "value")))).alias("metrics"))
@@ -253,8 +300,8 @@ def ingest_season_stats(lake: Lake, query: str) -> Result:
     there = overall.select("name").join(metrics, "name", "left")
     rows = lake.curated.staged(stamp(named.join(there, F.col("file") == F.col("name")).select(*common, "metrics")))
     rated, worse = lake.payloads(EVENTS, "player-ratings", "ratings", f"{player}-")
-    details, worst = lake.payloads(EVENTS, "event-player-stats", "overall", "")
-    detail = details.where(F.endswith("name", F.lit(f"-{player}"))).select(F.split_part("name", F.lit("-"), F.lit(1)).try_cast("long").alias("event"), F.col("j.statistics").alias("statistics"))
+    details, worst = lake.payloads(EVENTS, "event-player-stats", "overall", ends=f"-{player}")
+    detail = details.select(F.split_part("name", F.lit("-"), F.lit(1)).try_cast("long").alias("event"), F.col("j.statistics").alias("statistics"))
     matches = flatten.rated_matches(rated).join(named.select("file", "season_year", "tournament_id", "season_id"), F.col("name") == F.col("file")).join(detail, F.col("event_id") == F.col("event"), "left")
     told = matches.select(S.player_event(F.lit(player), F.col("event_id")).alias("player_event"), *common, "event_id", "date", "opponent", "opponent_id", "is_home", "rating", *[c.alias(n) for n, c in flatten.match_metrics(F.col("statistics")).items()])
     told = lake.curated.staged(stamp(told))
@@ -270,22 +317,25 @@ def ingest_season_stats(lake: Lake, query: str) -> Result:
 def ingest_reports_delta(lake: Lake, competition: str, season: int) -> Result:
     """Points of those who scored in finished rounds that are not stored yet; prices are left to the daily snapshot.
 
-    The stored round ids are the marker of what is done, so a second run with nothing new reads no report.
+    The stored round ids are the marker of what is done, so a second run with nothing new reads no report. Only payloads of the pending rounds and
+    reports of squad members who scored in them are opened; reports are named by competition, slug and season.
     """
     where = {"competition": competition, "season": str(season)}
     data, _ = lake.payloads(FANTASY, "competition-data", "competition", competition, strict=True)
-    squad = flatten.squad(data).select("id").distinct()
+    squad = lake.curated.staged(flatten.squad(data).select("id", "slug").dropDuplicates(["id"]))
     stored = lake.curated.read_partition("fantasy_points", where)
     done = stored.select("round_id").distinct() if stored is not None else lake.spark.createDataFrame([], "round_id long")
     pending = lake.curated.staged(flatten.pending_rounds(flatten.playable_rounds(data), done))
     members = squad.count()
     if pending.isEmpty():
         return Result(rows={"fantasy_points": 0}, stats={"refreshed": 0, "skipped": members})
-    rounds, _ = lake.payloads(FANTASY, "rounds", "round", f"{competition}-", strict=True)
+    rounds, _ = lake.payloads(FANTASY, "rounds", "round", strict=True, among=names_of(pending.select(F.concat(F.lit(f"{competition}-"), F.col("id").cast("string"), F.lit("-score1")))))
     scorers = flatten.scoring_players(flatten.round_sides(rounds.where("j.data.scoreID = 1")).join(pending.select(F.col("id").alias("round_id")), "round_id", "left_semi"))
     wanted = lake.curated.staged(scorers.withColumn("inside", F.lit(True)).join(squad.withColumnRenamed("id", "player_id").withColumn("member", F.lit(True)), "player_id", "full_outer"))
-    reports, _ = lake.payloads(FANTASY, "player-reports", "reports", f"{competition}-", strict=True)
-    chosen = reports.where(F.endswith("name", F.lit(f"-{season}"))).join(wanted.where("inside and member").select("player_id"), F.col("j.data.id") == F.col("player_id"), "left_semi")
+    both = wanted.where("inside and member")
+    files = names_of(both.where("slug is not null").select(F.concat(F.lit(f"{competition}-"), F.col("slug"), F.lit(f"-{season}"))))
+    reports, _ = lake.payloads(FANTASY, "player-reports", "reports", strict=True, among=files)
+    chosen = reports.join(both.select("player_id"), F.col("j.data.id") == F.col("player_id"), "left_semi")
     points, anomalies = flatten.fantasy_points(chosen)
     points = lake.curated.staged(points)
     lake.curated.upsert("fantasy_points", points, ["player_id"], where)
@@ -663,6 +713,7 @@ def run_season(lake: Lake, competition: str, season: int, day: date) -> Report:
             Step("squad", lambda: ingest_squad(lake, competition)),
             Step("reports", lambda: ingest_reports(lake, competition, season)),
             Step("rounds", lambda: ingest_rounds(lake, competition, season)),
+            Step("squads", lambda: ingest_squads(lake, competition, season)),
             Step("valuation", lambda: ingest_valuation(lake, competition)),
             Step("map", lambda: map_entities(lake, season, today)),
             Step("catalog", lambda: curate_catalog(lake)),

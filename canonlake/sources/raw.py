@@ -130,9 +130,10 @@ class RawStore:
         found = self.spark.read.text([path for _, path in chosen.values()], wholetext=True)
         return _named(found)
 
-    def latest(self, source: str, dataset: str, extension: str = "json", named: str = "") -> DataFrame:
-        """(name, fecha_descarga, payload): the newest payload of each name that begins with ``named``. Older versions are not opened."""
-        return self._read({n: x for n, x in self.listing(source, dataset, extension).items() if n.startswith(named)})
+    def latest(self, source: str, dataset: str, extension: str = "json", named: str = "", ends: str = "", among: set[str] | None = None) -> DataFrame:
+        """(name, fecha_descarga, payload): the newest payload of each name that begins with ``named``, ends with ``ends`` and is in ``among``, if that is given. No other file is opened."""
+        wanted = lambda n: n.startswith(named) and n.endswith(ends) and (among is None or n in among)
+        return self._read({n: x for n, x in self.listing(source, dataset, extension).items() if wanted(n)})
 
     def read_latest(self, source: str, dataset: str, name: str, extension: str = "json") -> str | None:
         found = self.listing(source, dataset, extension).get(name)

@@ -96,7 +96,81 @@ def test_third_source_attaches_and_creates_nothing(spark, tmp_path):
 
 def test_broken_payloads_fail_an_ingest_and_are_counted_by_a_rebuild(lake):
     lake.raw.save("biwenger", "rounds", "la-liga-4-score1", b"{}", day=DAY)
+    assert jobs.ingest_rounds(lake, "la-liga", 2023).ok  # no round of this season
+    lake.raw.save("biwenger", "rounds", "la-liga-3-score1", b"{}", day=DAY)
     with pytest.raises(ValueError):
         jobs.ingest_rounds(lake, "la-liga", 2023)
     lake.raw.save("sofascore", "event-lineups", "101", b"{}", day=DAY)
     assert jobs.curate_matches(lake).anomalies["broken_payloads"] == 1
+
+
+def a_round(number, listed, player, points):
+    payload = round_payload(1, (player, points), (20, 2))
+    payload["data"] |= {"id": number, "season": {"rounds": [{"id": i, "name": n, "status": s} for i, n, s in listed]}}
+    return json.dumps(payload).encode()
+
+
+def a_report(player, number):
+    report = {"home": True, "match": {"id": 100, "date": 1_700_000_000, "round": {"id": number, "name": "R"}}, "points": {"1": 4}, "rawStats": {"minutesPlayed": 90}}
+    return json.dumps({"data": {"id": player, "slug": "x", "birthday": 19900101, "reports": [report], "prices": []}}).encode()
+
+
+def test_rounds_belong_to_their_season(spark, tmp_path):
+    lake = jobs.Lake(spark, f"file://{tmp_path}/lake", str(tmp_path / "m"))
+    old = [(100, "R1", "finished"), (101, "R2", "finished"), (102, "R2 (postponed)", "finished"), (103, "R3", "pending")]
+    new = [(200, "R1", None), (201, "R2", "finished")]
+    for number, listed, player in ((100, old, 1), (101, old, 2), (102, old, 3), (103, old, 4), (200, new, 5), (201, new, 6)):
+        lake.raw.save("biwenger", "rounds", f"la-liga-{number}-score1", a_round(number, listed, player, number), day=DAY)
+    for season, number in ((2022, 100), (2023, 201)):
+        lake.raw.save("biwenger", "player-reports", f"la-liga-ana-{season}", a_report(1, number), day=DAY)
+    assert jobs.ingest_rounds(lake, "la-liga", 2021).failures == ["no report of la-liga 2021 names a round"]
+    for season in (2022, 2023):
+        assert jobs.ingest_rounds(lake, "la-liga", season).ok
+    points = lambda: rows(lake.curated.read_table("fantasy_round_points").where("player_id <> 20").select("season", "round_id", "player_id"))
+    want = [("2022", 100, 1), ("2022", 101, 2), ("2023", 200, 5), ("2023", 201, 6)]
+    assert points() == want
+    assert rows(lake.curated.read_table("biwenger_players_history").where("id <> 20").select("season", "id")) == [("2022", 1), ("2022", 2), ("2023", 5), ("2023", 6)]
+    # a round that comes anew is taken; with resume, only that one is opened again
+    lake.raw.save("biwenger", "rounds", "la-liga-100-score1", b"{}", day=DAY)
+    lake.raw.save("biwenger", "rounds", "la-liga-101-score1", a_round(101, old, 2, 9), day=DAY)
+    lake.raw.save("biwenger", "player-reports", "la-liga-bea-2022", a_report(2, 101), day=DAY)
+    assert jobs.ingest_rounds(lake, "la-liga", 2022, resume=True).stats == {"rounds_skipped": 2}
+    assert points() == want
+
+
+def test_valuation_takes_the_members_of_the_competition(spark, tmp_path):
+    lake = jobs.Lake(spark, f"file://{tmp_path}/lake", str(tmp_path / "m"))
+    for competition, ids in (("la-liga", ["1", "2"]), ("segunda-division", ["3"])):
+        lake.curated.write_table("transfermarkt_players", spark.createDataFrame([(i,) for i in ids], "id string"), {"competition": competition, "season": "2023"})
+    for i in (1, 2, 3, 4):
+        lake.raw.save("transfermarkt", "market-value", str(i), json.dumps({"list": [{"y": i, "datum_mw": "01/02/2020", "verein": "C"}]}).encode(), day=DAY)
+        lake.raw.save("transfermarkt", "injuries", f"spieler-{i}", INJURIES.encode(), "html", DAY)
+    assert jobs.ingest_player(lake, "2").ok is False  # no profile of 2 is stored
+    lake.raw.save("transfermarkt", "profile", "spieler-4", b'<h1 class="data-header__headline">Dan</h1>', "html", DAY)
+    assert jobs.ingest_player(lake, "4", force=True).rows["market_values_tm"] == 1
+    stored = lambda table: rows(lake.curated.read_table(table).select("competition", "player_id"))
+    assert stored("market_values_tm") == [("bajo-demanda", 4)]
+    assert not jobs.ingest_valuation(lake, "premier").ok
+    for competition in ("la-liga", "segunda-division"):
+        assert jobs.ingest_valuation(lake, competition).ok
+    want = [("bajo-demanda", 4), ("la-liga", 1), ("la-liga", 2), ("segunda-division", 3)]
+    assert stored("market_values_tm") == want and sorted(set(stored("injuries_tm"))) == want
+    # who comes into a squad later leaves the partition of those asked for one by one
+    lake.curated.write_table("transfermarkt_players", spark.createDataFrame([("3",), ("4",)], "id string"), {"competition": "segunda-division", "season": "2024"})
+    assert jobs.ingest_valuation(lake, "segunda-division").ok
+    assert stored("market_values_tm") == [("la-liga", 1), ("la-liga", 2), ("segunda-division", 3), ("segunda-division", 4)]
+
+
+def test_what_another_season_left_broken_does_no_harm(lake):
+    lake.raw.save("biwenger", "player-reports", "la-liga-ana-2022", b"{}", day=DAY)
+    assert jobs.ingest_reports(lake, "la-liga", 2023).ok
+    with pytest.raises(ValueError):
+        jobs.ingest_reports(lake, "la-liga", 2022)
+
+
+def test_prices_of_the_day(lake):
+    jobs.ingest_squad(lake, "la-liga")
+    for day in (DAY, DAY + dt.timedelta(days=1), DAY):  # the same day again replaces itself
+        assert jobs.ingest_prices(lake, "la-liga", 2023, day).rows == {"biwenger_prices": 2}
+    found = rows(lake.curated.read_table("biwenger_prices").select("player_id", "date", "price"))
+    assert found == [(1, DAY, 101), (1, DAY + dt.timedelta(days=1), 101), (10, DAY, 110), (10, DAY + dt.timedelta(days=1), 110)]
