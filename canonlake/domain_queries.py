@@ -7,6 +7,7 @@ that the raw layer holds; the oracles read the tables themselves.
 from __future__ import annotations
 
 import json
+import os
 import tempfile
 from datetime import date
 
@@ -44,9 +45,17 @@ def orders(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "orders").withColumns({"day": F.to_date("o_orderdate"), "at": F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))})
 
 
+def a_folder(spark) -> str:
+    """A folder for mapping files, which lie on the driver, where people would edit them: beside the query's own tables where these have a path, else a temporary one of the driver, which alone reads it."""
+    shared = scratch(spark)
+    folder = f"{shared.removeprefix('file://')}-mappings" if shared.startswith("file://") else tempfile.mkdtemp(prefix="canonlake-mappings-")
+    os.makedirs(folder, exist_ok=True)
+    return folder
+
+
 def a_lake(spark) -> jobs.Lake:
-    """An empty lake in a folder of its own; mapping files lie on the driver, where people would edit them."""
-    return jobs.Lake(spark, scratch(spark), tempfile.mkdtemp(prefix="canonlake-mappings-"))
+    """An empty lake in a folder of its own."""
+    return jobs.Lake(spark, scratch(spark), a_folder(spark))
 
 
 # --- payloads to rows -----------------------------------------------------------------------------------------------
@@ -819,10 +828,10 @@ def coverage_job(spark, sf_dir):
     """,
 )
 def delta_job(spark, sf_dir):
-    """A new finished round in which customers with an open order scored: only the reports of those in the squad are read again."""
+    """A new finished round in which customers with an open order scored: only the reports of those in the squad are opened."""
     lake = a_lake(spark)
     squad = competition_payload(spark, sf_dir).select(F.from_json("payload", "struct<data:struct<players:map<string,string>>>")["data"]["players"].alias("players"))
-    players = squad.select(F.explode("players").alias("k", "v")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("k", F.from_json("v", flatten.PLAYER).alias("v"))))).alias("players"))
+    players = squad.select(F.explode("players").alias("k", "v")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("k", F.from_json("v", flatten.PLAYER).withField("slug", F.concat(F.lit("c"), F.col("k"))).alias("v"))))).alias("players"))
     whole = players.select(F.concat(F.lit('{"data":{"season":{"rounds":[{"id":7,"name":"R7","status":"finished"},{"id":8,"name":"R8 (postponed)","status":"finished"}]},"teams":{},"players":'), "players", F.lit("}}")).alias("payload"))
     lake.raw.save("biwenger", "competition-data", "la-liga", whole.first().payload.encode(), day=DAY)
     scored = orders(spark, sf_dir).where("o_orderstatus = 'P'").select(F.struct(F.struct(F.col("o_custkey").alias("id"), F.lit("x").alias("name")).alias("player"), F.lit(3).alias("points")).alias("r")).distinct()
@@ -837,6 +846,55 @@ def delta_job(spark, sf_dir):
     return lake.curated.read_table("fantasy_points").select("player_id", "match_id", "points_as")
 
 
+@query(
+    "rounds_job",
+    """
+    WITH o AS (SELECT year(o_orderdate) AS season, (year(o_orderdate) * 100 + month(o_orderdate)) * 10 + o_custkey % 4 AS round_id, o_custkey AS player_id, o_orderkey % 2 AS system, floor(o_totalprice)::BIGINT AS p FROM orders WHERE year(o_orderdate) IN (1996, 1997))
+    SELECT season::VARCHAR AS season, round_id, player_id, max(p) FILTER (system = 0) AS points_as, max(p) FILTER (system = 1) AS points_sofascore FROM o WHERE round_id % 5 <> 0 AND round_id % 7 <> 0 GROUP BY ALL
+    """,
+)
+def rounds_job(spark, sf_dir):
+    """Two seasons of rounds in one raw layer, each ingested by itself: a catalogue says which are whose, and which are pending or postponed copies."""
+    lake = a_lake(spark)
+    year = F.year("day")
+    o = orders(spark, sf_dir).where(year.isin(1996, 1997)).select(year.alias("season"), ((year * 100 + F.month("day")) * 10 + F.col("o_custkey") % 4).cast("long").alias("round"), F.col("o_custkey").alias("id"), (F.col("o_orderkey") % 2 + 1).cast("int").alias("system"), F.floor("o_totalprice").alias("points"))
+    status = F.when(F.col("round") % 5 == 0, "pending").otherwise("finished")
+    name = line("Round ", text("round"), F.when(F.col("round") % 7 == 0, " (postponed)").otherwise(""))
+    listed = o.select("season", "round").distinct().groupBy("season").agg(F.collect_list(F.struct(F.col("round").alias("id"), name.alias("name"), status.alias("status"))).alias("rounds"))
+    best = o.groupBy("season", "round", "system", "id").agg(F.max("points").alias("points"))
+    report = F.struct(F.struct("id", line("P", text("id")).alias("name")).alias("player"), "points")
+    side = lambda reports: F.struct(F.lit(1).alias("id"), F.lit("T").alias("name"), F.lit(1).alias("score"), reports.alias("reports"))
+    # a payload a round and system; its reports are dealt to games of bounded size
+    games = best.groupBy("season", "round", "system", F.pmod(F.xxhash64("id"), F.lit(64)).alias("g")).agg(F.collect_list(report).alias("r")).withColumn("game", F.struct((F.col("round") * 64 + F.col("g")).alias("id"), side(F.col("r")).alias("home"), side(F.slice("r", 1, 0)).alias("away")))
+    each = games.groupBy("season", "round", "system").agg(F.collect_list("game").alias("games")).join(listed, "season")
+    body = F.struct(F.struct(F.col("round").alias("id"), name.alias("name"), F.col("system").alias("scoreID"), F.struct("rounds").alias("season"), "games").alias("data"))
+    lake.raw.save_all("biwenger", "rounds", as_payload(each, line("la-liga-", text("round"), "-score", text("system")), body), day=DAY)
+    first = o.where("round % 5 <> 0 and round % 7 <> 0").groupBy("season").agg(F.min("round").alias("round_id"))
+    lake.curated.write_partitioned("fantasy_points", first.select("round_id", F.lit("la-liga").alias("competition"), text("season").alias("season")), ["competition", "season"])
+    for season in (1996, 1997):
+        jobs.ingest_rounds(lake, "la-liga", season)
+    return lake.curated.read_table("fantasy_round_points").select("season", "round_id", "player_id", "points_as", "points_sofascore")
+
+
+@query(
+    "valuation_job",
+    """
+    SELECT CASE WHEN s_suppkey % 3 = 0 THEN 'la-liga' WHEN s_suppkey % 3 = 1 THEN 'segunda-division' END AS competition, s_suppkey AS player_id, greatest(floor(s_acctbal), 0)::BIGINT AS market_value FROM supplier WHERE s_suppkey % 3 < 2
+    """,
+)
+def valuation_job(spark, sf_dir):
+    """Histories of suppliers, a third of them in the squads of each of two competitions and a third in none: each run takes its own members."""
+    lake = a_lake(spark)
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.greatest(F.floor("s_acctbal"), F.lit(0)).alias("value"))
+    values = F.struct(F.array(F.struct(F.col("value").alias("y"), F.lit("01/02/2020").alias("datum_mw"), F.lit("C").alias("verein"))).alias("list"))
+    lake.raw.save_all("transfermarkt", "market-value", as_payload(s, F.col("id"), values), day=DAY)
+    competition = F.when(F.col("id") % 3 == 0, "la-liga").when(F.col("id") % 3 == 1, "segunda-division").otherwise("elsewhere")
+    lake.curated.write_partitioned("transfermarkt_players", s.select(text("id").alias("id"), competition.alias("competition"), F.lit("2023").alias("season")), ["competition", "season"])
+    for name in ("la-liga", "segunda-division"):
+        jobs.ingest_valuation(lake, name)
+    return lake.curated.read_table("market_values_tm").select("competition", "player_id", F.col("value").alias("market_value"))
+
+
 @query(
     "crosscheck_job",
     """
