@@ -697,3 +697,43 @@ def windowed_counts(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
     found = incremental.windowed_counts(events)
     return found.select(F.col("begin").cast("timestamp_ntz").alias("begin"), "event_type", "n", F.round("total", 2).alias("total"))
+
+
+@query(
+    "matched_stream",
+    """
+    WITH c AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase' AND ts < TIMESTAMP '2024-01-27'), s AS (SELECT user_id, ts, value FROM events WHERE event_type = 'click')
+    SELECT event_id, c.user_id AS user_id, s.value AS value, s.ts AS seen FROM c LEFT JOIN s ON s.user_id = c.user_id AND s.ts >= c.ts AND s.ts <= c.ts + INTERVAL 12 HOURS
+    """,
+)
+def matched_stream(spark, sf_dir):
+    """Purchases joined with the clicks of the same user in the next twelve hours, both as streams of files; those without one come out as the watermark passes. Days that it may not have passed yet are left out."""
+    base = scratch(spark)
+    store, schema = CuratedStore(spark, base), table(spark, sf_dir, "events").schema
+    side = lambda kind, columns: incremental.new_files(spark, f"{sf_dir}/event[s].parquet", schema).where(F.col("event_type") == kind).select(*columns, F.col("ts").cast("timestamp").alias("seen" if kind == "click" else "start"))
+    joined = incremental.matched(side("purchase", ["event_id", "user_id"]), side("click", ["user_id", "value"]), ["user_id"], "start", "seen", "12 HOURS", "1 day")
+
+    def write(batch, number):
+        store.write_table("matched", batch, {"batch": str(number)})  # the same batch again replaces itself
+
+    incremental.run_counted(joined.where("start < TIMESTAMP '2024-01-27'"), f"{base}/checkpoint", write)
+    return store.read_table("matched").select("event_id", "user_id", "value", F.col("seen").cast("timestamp_ntz").alias("seen"))
+
+
+@query("sliding_windows", "WITH e AS (SELECT date_trunc('day', ts) - to_days(k::INT) AS begin, event_type, value FROM events, range(0, 3) AS r(k)) SELECT begin::TIMESTAMP AS begin, event_type, count(*) AS n, round(sum(value), 2) AS total FROM e GROUP BY ALL")
+def sliding_windows(spark, sf_dir):
+    """Counts by windows of three days that begin every day."""
+    events = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    found = incremental.windowed_counts(events, "3 days", slide="1 day")
+    return found.select(F.col("begin").cast("timestamp_ntz").alias("begin"), "event_type", "n", F.round("total", 2).alias("total"))
+
+
+@query("rounds_once", "SELECT user_id, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL")
+def rounds_once(spark, sf_dir):
+    """A stream that delivers every event twice, each of them counted once."""
+    base = scratch(spark)
+    store, schema = CuratedStore(spark, base), table(spark, sf_dir, "events").schema
+    stream = incremental.new_files(spark, f"{sf_dir}/event[s].parquet", schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    twice = stream.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    incremental.run_counted(incremental.once(twice, ["event_id"], "ts", "1 day"), f"{base}/checkpoint", lambda batch, number: store.write_table("once", batch, {"batch": str(number)}))
+    return store.read_table("once").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
