@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canonlake.llm.common import SPACES, let, lower_az, staged
+from canonlake.llm.common import SPACES, fresh, let, lower_az, staged
 
 
 def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5) -> DataFrame:
@@ -21,10 +21,12 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     skewed side of the join is split by adaptive execution. Texts are shuffled once, by id.
 
     Null text: stays null, one empty line. A null id is no document: its lines count nowhere and all stay.
-    Rows that repeat an id count as one document; each row loses its own lines. Input columns named
-    ``n_lines`` or ``n_dropped`` are replaced. An empty table gives an empty table.
+    Rows that repeat an id count as one document; each row loses its own lines. Of documents that tie in a line the largest id
+    keeps it. Very long texts are read whole; one text's lines meet again in one task. Input columns named
+    ``n_lines`` or ``n_dropped`` are replaced, all others stay, whatever their names. An empty table gives an empty table.
     """
     source = df.drop("n_lines", "n_dropped")
+    own, row, lost = fresh(source, "__ld_id", "__ld_row", "__ld_pos")
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = (
         source.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("row"), F.posexplode(F.split(lower_az(text), "\n", -1)).alias("pos", "line"))
@@ -37,13 +39,13 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     drops = (
         lines.join(hot, ["h1", "h2"])
         .where(F.col("id") != F.col("holder"))
-        .groupBy(F.col("id").alias("__ld_id"), F.col("row").alias("__ld_row"))
-        .agg(F.collect_set("pos").alias("__ld_pos"))
+        .groupBy(F.col("id").alias(own), F.col("row").alias(row))
+        .agg(F.collect_set("pos").alias(lost))
     )
-    joined = source.join(drops, (F.col(id_col) == F.col("__ld_id")) & (F.xxhash64(text) == F.col("__ld_row")), "left")
+    joined = source.join(drops, (F.col(id_col) == F.col(own)) & (F.xxhash64(text) == F.col(row)), "left")
     n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-    n_dropped = F.when(F.col("__ld_pos").isNull(), 0).otherwise(F.size("__ld_pos"))
+    n_dropped = F.when(F.col(lost).isNull(), 0).otherwise(F.size("__ld_pos"))
     joined = joined.withColumns({"n_lines": n_lines.cast("long"), "n_dropped": n_dropped.cast("long")})
-    kept = F.array_except(F.sequence(F.lit(0), (F.col("n_lines") - 1).cast("int")), F.col("__ld_pos"))
+    kept = F.array_except(F.sequence(F.lit(0), (F.col("n_lines") - 1).cast("int")), F.col(lost))
     rebuilt = let(F.split(text, "\n", -1), lambda parts: F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
-    return joined.withColumn(text_col, F.when(F.col("__ld_pos").isNull(), F.col(text_col)).otherwise(rebuilt)).drop("__ld_id", "__ld_row", "__ld_pos")
+    return joined.withColumn(text_col, F.when(F.col(lost).isNull(), F.col(text_col)).otherwise(rebuilt)).drop(own, row, lost)

@@ -7,7 +7,7 @@ import heapq
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from canonlake.llm.common import staged
+from canonlake.llm.common import fresh, staged
 
 #: Virtual slots; they never change, only their shards do.
 SLOTS = 8192
@@ -19,8 +19,10 @@ def slot_of(key: Column, slots: int = SLOTS) -> Column:
 
 
 def slot_sizes(df: DataFrame, slot_col: str, size_col: str) -> dict[int, tuple[int, int]]:
-    """(bytes, rows) of every slot that has rows. At most as many rows as there are slots reach the driver."""
-    rows = df.groupBy(slot_col).agg(F.sum(size_col), F.count(F.lit(1))).collect()
+    """(bytes, rows) of every slot that has rows. At most as many rows as there are slots reach the driver. A null size is an error; no rows give an empty table of sizes."""
+    rows = df.groupBy(slot_col).agg(F.sum(size_col), F.count(F.lit(1)), F.count_if(F.col(size_col).isNull())).collect()
+    if unknown := sum(r[3] for r in rows):
+        raise ValueError(f"{unknown} rows have no size in {size_col}")
     return {r[0]: (r[1], r[2]) for r in rows}
 
 
@@ -38,10 +40,12 @@ def first_map(sizes: dict[int, tuple[int, int]], shards: int, slots: int = SLOTS
 def rebalanced(placed: dict[int, int], sizes: dict[int, tuple[int, int]], shards: int, tolerance: float = 0.01) -> dict[int, int]:
     """An edited copy of a map for ``shards`` shards that moves few slots.
 
-    Slots of shards that no longer exist move first. Then, while a shard holds more than the mean and the
-    tolerance, its largest slot that still fits goes to the shard with the fewest bytes. With one more
-    shard, slots therefore move only into it.
+    Slots of shards that no longer exist move first, each to the shard with the fewest bytes. Then, while a shard holds more than the mean and the
+    tolerance, its largest slot that still fits goes to the emptiest of those that may take it: if there are new shards, only
+    they do, so with one more shard slots move only into it; if there are none, any may. Of equal slots and shards the lesser number comes first.
     """
+    new = range(max(placed.values(), default=-1) + 1, shards)
+    takers = new if len(new) else range(shards)
     edited, load = dict(placed), [0] * shards
     homeless = [s for s, shard in placed.items() if shard >= shards]
     members: dict[int, list[int]] = {shard: [] for shard in range(shards)}
@@ -58,7 +62,7 @@ def rebalanced(placed: dict[int, int], sizes: dict[int, tuple[int, int]], shards
     mean = sum(load) / shards
     for source in sorted(range(shards), key=lambda k: (-load[k], k)):
         for slot in sorted(members[source], key=lambda s: (-weight(s), s)):
-            to = min(range(shards), key=lambda k: (load[k], k))
+            to = min(takers, key=lambda k: (load[k], k))
             if load[source] <= mean * (1 + tolerance):
                 break
             if weight(slot) and load[to] + weight(slot) <= mean and load[source] - weight(slot) >= mean * (1 - tolerance):
@@ -84,7 +88,7 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> dict
 def rebalance(sharded: DataFrame, size_col: str, map_path: str, shards: int) -> DataFrame:
     """(virtual_slot, shard) for another number of shards: the newest map at ``map_path``, edited and stored as its next version.
 
-    ``sharded`` has virtual_slot and ``size_col``. Few slots move; with more shards, only into new ones. No rows: every
+    ``sharded`` has virtual_slot and ``size_col``, without nulls. Few slots move; with more shards, only into new ones. Repeated rows count as they are. No rows: every
     slot stays, but for those of shards that are gone.
     """
     spark = sharded.sparkSession
@@ -102,8 +106,8 @@ def shard_rows(rows: DataFrame, key_col: str, size_col: str, shards: int, slots:
     each virtual slot starts where the one before it in the same shard ends. No window spans a shard.
 
     A key that a third of the rows share would fill one virtual slot, so keys should be record ids. A null
-    key has a slot like any other; equal keys are numbered in an order of their own. Sizes must not be
-    null. An empty table gives an empty table. Columns of the three names are replaced.
+    key has a slot like any other; equal keys are numbered in an order of their own. A null size is an
+    error. An empty table gives an empty table. Columns of the three names are replaced, all others stay.
     With ``map_path`` the map is stored there as version 1, to be edited by ``rebalanced``.
     """
     spark = rows.sparkSession
@@ -117,6 +121,7 @@ def shard_rows(rows: DataFrame, key_col: str, size_col: str, shards: int, slots:
         shard = placed[slot]
         begins.append((slot, shard, ends[shard]))
         ends[shard] += sizes.get(slot, (0, 0))[1]
-    placement = F.broadcast(spark.createDataFrame(begins, "virtual_slot int, shard int, __begin long"))  # a row for each virtual slot
-    numbered = dealt.withColumn("__place", F.row_number().over(Window.partitionBy("virtual_slot").orderBy(key_col, size_col)))
-    return numbered.join(placement, "virtual_slot").withColumn("slot", F.col("__begin") + F.col("__place") - 1).drop("__begin", "__place")
+    place, begin = fresh(dealt, "__place", "__begin")
+    placement = F.broadcast(spark.createDataFrame(begins, f"virtual_slot int, shard int, {begin} long"))  # a row for each virtual slot
+    numbered = dealt.withColumn(place, F.row_number().over(Window.partitionBy("virtual_slot").orderBy(key_col, size_col)))
+    return numbered.join(placement, "virtual_slot").withColumn("slot", F.col(begin) + F.col(place) - 1).drop(begin, place)

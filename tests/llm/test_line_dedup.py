@@ -49,3 +49,14 @@ def test_no_rows(spark):
 def test_every_line_of_a_document_may_go(spark):
     df = spark.createDataFrame([(i, "w" * 50) for i in range(6)], "doc_id long, text string")
     assert {(r.doc_id, r.text) for r in line_dedup(df).collect()} == {(5, "w" * 50), *((i, "") for i in range(5))}
+
+
+def test_columns_of_any_name_and_a_very_long_text(spark):
+    long = "\n".join(f"line {i % 1000} of a text that goes on for very many lines" for i in range(100_000))
+    docs = [(i, long if i < 2 else "\n".join(long.split("\n")[:1000])) for i in range(6)]
+    df = spark.createDataFrame([(i, t, "a", i, "b") for i, t in docs], "doc_id long, text string, __ld_id string, __LD_ROW long, __ld_pos string")
+    out = line_dedup(df)
+    assert set(out.columns) == {*df.columns, "n_lines", "n_dropped"}
+    rows = out.collect()
+    assert sorted((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in rows) == brute(docs)
+    assert all((r["__ld_id"], r["__LD_ROW"], r["__ld_pos"]) == ("a", r.doc_id, "b") for r in rows)

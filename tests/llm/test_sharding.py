@@ -1,6 +1,10 @@
 """Sharding: places, balance, and few moves when the map is edited."""
 
 import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
 
 from canonlake.llm import sharding as sh
 
@@ -43,3 +47,30 @@ def test_rebalancing_moves_little(spark, tmp_path):
 
 def test_no_rows(spark):
     assert sh.shard_rows(spark.createDataFrame([], "doc_id long, size long"), "doc_id", "size", 3).count() == 0
+
+
+def test_one_more_shard_takes_slots_and_no_other_does():
+    rng = random.Random(12)
+    sizes = {slot: (sum(int(rng.paretovariate(1.2) * 900) for _ in range(rng.randint(0, 3))), 1) for slot in range(sh.SLOTS)}
+    for before, after in ((24, 25), (24, 30), (3, 4)):
+        placed = sh.first_map(sizes, before)
+        edited = sh.rebalanced(placed, sizes, after)
+        assert {edited[s] for s in placed if edited[s] != placed[s]} <= set(range(before, after))
+        load = Counter()
+        for slot, shard in edited.items():
+            load[shard] += sizes[slot][0]
+        assert len(load) == after and max(load.values()) < 1.1 * sum(load.values()) / after
+    gone = sh.rebalanced(sh.first_map(sizes, 24), sizes, 20)
+    assert set(gone.values()) == set(range(20)) and sh.rebalanced({}, {}, 3) == {}
+
+
+def test_thousands_of_rows_with_clashing_names_and_a_null_size(spark, tmp_path):
+    rng = random.Random(3)
+    df = spark.createDataFrame([(i, rng.randint(1, 5000), "x", i, "y") for i in range(6000)], "id long, size long, __place string, __begin long, shard string")
+    path = f"file://{tmp_path}/map"
+    out = sh.shard_rows(df, "id", "size", 24, map_path=path)
+    assert set(out.columns) == {"id", "size", "__place", "__begin", "virtual_slot", "shard", "slot"} and out.where("__place = 'x' and __begin = id").count() == 6000
+    edited = {r.virtual_slot: r.shard for r in sh.rebalance(out, "size", path, 25).collect()}
+    assert {edited[r.virtual_slot] for r in out.collect() if edited[r.virtual_slot] != r.shard} == {24}
+    with pytest.raises(ValueError, match="no size"):
+        sh.shard_rows(df.withColumn("size", F.when(F.col("id") % 7 > 0, F.col("size"))), "id", "size", 4)
