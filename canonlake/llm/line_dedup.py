@@ -44,7 +44,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     )
     joined = source.join(drops, (F.col(id_col) == F.col(own)) & (F.xxhash64(text) == F.col(row)), "left")
     n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-    n_dropped = F.when(F.col(lost).isNull(), 0).otherwise(F.size("__ld_pos"))
+    n_dropped = F.when(F.col(lost).isNull(), 0).otherwise(F.size(lost))
     joined = joined.withColumns({"n_lines": n_lines.cast("long"), "n_dropped": n_dropped.cast("long")})
     kept = F.array_except(F.sequence(F.lit(0), (F.col("n_lines") - 1).cast("int")), F.col(lost))
     rebuilt = let(F.split(text, "\n", -1), lambda parts: F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
