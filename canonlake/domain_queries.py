@@ -489,11 +489,19 @@ def ids_in_texts(spark, sf_dir):
     )
 
 
-@query("name_compatible", "SELECT p_partkey, len(list_intersect(string_split(p_name, ' '), string_split(p_type || ' ' || p_name, ' '))) > 0 AS inside, false AS apart, false AS empty FROM part")
+@query(
+    "name_compatible",
+    """
+    WITH n AS (SELECT p_partkey, string_split(p_name, ' ') AS name, CASE p_partkey % 3 WHEN 0 THEN [string_split(p_name, ' ')[-1]] WHEN 1 THEN list_append(string_split(p_name, ' '), 'junior') ELSE ['zz', string_split(p_name, ' ')[1]] END AS other FROM part)
+    SELECT p_partkey, list_has_all(name, other) OR list_has_all(other, name) AS fits, false AS empty FROM n
+    """,
+)
 def name_compatible(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
-    name, more, none = S.name_tokens(F.col("p_name")), S.name_tokens(F.concat_ws(" ", F.lower("p_type"), "p_name")), S.name_tokens(F.lit("de la"))
-    return part.select("p_partkey", S.compatible(name, more).alias("inside"), S.compatible(F.array(F.lit("zz")), name).alias("apart"), S.compatible(name, none).alias("empty"))
+    """Names against a part of themselves, themselves and more, and a name that shares one word and has one of its own."""
+    words = F.split("p_name", " ")
+    other = F.when(F.col("p_partkey") % 3 == 0, F.element_at(words, -1)).when(F.col("p_partkey") % 3 == 1, F.concat("p_name", F.lit(" junior"))).otherwise(F.concat(F.lit("zz "), words[0]))
+    name, none = S.name_tokens(F.col("p_name")), S.name_tokens(F.lit("de la"))
+    return table(spark, sf_dir, "part").select("p_partkey", S.compatible(name, S.name_tokens(other)).alias("fits"), S.compatible(name, none).alias("empty"))
 
 
 @query("slugs", "SELECT p_partkey, regexp_replace(regexp_replace(lower(p_name || '!' || p_type), '[^a-z0-9]', '-', 'g'), '^-+|-+$', '', 'g') AS slug, 'query' AS none, p_partkey || '_' || p_size AS player_event FROM part")
@@ -664,15 +672,30 @@ def prunable_members(spark, sf_dir):
 # --- lake, jobs, orchestrator -----------------------------------------------------------------------------------------
 
 
-@query("base_uris", "SELECT * FROM (VALUES ('file:///a/b/', 'file:///a/b'), ('s3://bucket/p/', 's3a://bucket/p'), ('hdfs://h/x/', 'hdfs://h/x'), ('s3:///x', 'refused'), ('ftp://x', 'refused')) AS t(uri, base)")
+@query(
+    "base_uris",
+    """
+    WITH u AS (SELECT p_partkey AS id, CASE p_partkey % 5 WHEN 0 THEN 'file:///a' || p_partkey || '/b/' WHEN 1 THEN 's3://bucket' || p_partkey || '/p/' WHEN 2 THEN 'hdfs://h' || p_partkey || '/x/' WHEN 3 THEN 's3:///x' || p_partkey ELSE 'ftp://x' || p_partkey END AS uri FROM part)
+    SELECT id, uri, CASE id % 5 WHEN 1 THEN 's3a://bucket' || id || '/p' WHEN 3 THEN 'refused' WHEN 4 THEN 'refused' ELSE rtrim(uri, '/') END AS base FROM u
+    """,
+)
 def base_uris(spark, sf_dir):
-    def base(uri):
+    """Bases of every kind, named by the parts."""
+    k = text("p_partkey")
+    kind = F.col("p_partkey") % 5
+    uri = F.when(kind == 0, line("file:///a", k, "/b/")).when(kind == 1, line("s3://bucket", k, "/p/")).when(kind == 2, line("hdfs://h", k, "/x/")).when(kind == 3, line("s3:///x", k)).otherwise(line("ftp://x", k))
+
+    def base(one: str) -> str:
         try:
-            return base_uri(uri)
+            return base_uri(one)
         except ValueError:
             return "refused"
 
-    return spark.createDataFrame([(u, base(u)) for u in ("file:///a/b/", "s3://bucket/p/", "hdfs://h/x/", "s3:///x", "ftp://x")], "uri string, base string")
+    def bases(batches):
+        for rows in batches:
+            yield rows.assign(base=[base(u) for u in rows["uri"]])
+
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), uri.alias("uri")).mapInPandas(bases, "id long, uri string, base string")
 
 
 def raw_nations(spark, sf_dir) -> RawStore:
@@ -719,7 +742,7 @@ def raw_stale(spark, sf_dir):
 @query("mapping_files", "SELECT 'p' || lpad(s_suppkey::VARCHAR, 5, '0') AS canonical_id, 'a' AS fuente, '0' || s_suppkey AS id_en_fuente, CASE WHEN s_acctbal < 0 THEN 'manual' ELSE 'auto' END AS metodo, '' AS fecha FROM supplier")
 def mapping_files(spark, sf_dir):
     """Approved relations to a file and back: all texts, zeros in front and empty cells as they were."""
-    store = MappingStore(spark, tempfile.mkdtemp(prefix="canonlake-mappings-"))
+    store = MappingStore(spark, a_folder(spark))
     rows = table(spark, sf_dir, "supplier").select(S.canonical_id("p", F.col("s_suppkey"), 5).alias("canonical_id"), F.lit("a").alias("fuente"), line("0", text("s_suppkey")).alias("id_en_fuente"), F.when(F.col("s_acctbal") < 0, "manual").otherwise("auto").alias("metodo"), F.lit(None).cast("string").alias("fecha"))
     store.save({"players": rows, "sofascore-skips": store.load("sofascore-skips")})
     return store.load("players")
@@ -778,6 +801,39 @@ def map_job(spark, sf_dir):
     return matched.unionByName(waiting)
 
 
+@query(
+    "third_source_job",
+    """
+    WITH j AS (SELECT c_custkey AS k, s_suppkey AS s, c_nationkey = s_nationkey AS near FROM customer JOIN supplier ON s_suppkey = c_custkey WHERE c_custkey % 5 > 0),
+    v AS (SELECT k, s, CASE WHEN k % 7 = 0 THEN 'manual' WHEN k % 7 = 1 THEN 'skip' WHEN s % 4 = 1 THEN 'fecha-discrepante' WHEN s % 4 = 0 AND NOT near THEN 'sin-fecha-que-verificar' ELSE 'auto' END AS told FROM j)
+    SELECT k::VARCHAR AS id, CASE WHEN told <> 'skip' THEN s::VARCHAR END AS other, told FROM v
+    """,
+)
+def third_source_job(spark, sf_dir):
+    """Suppliers as the match-event source's players: those whose name and birth or club agree are attached to customers with a canonical id, after what people decided; doubts go to the review."""
+    lake, where = a_lake(spark), {"competition": "la-liga", "season": "2023"}
+    own_squad(lake, spark, sf_dir, history=False)
+    s, nation = F.col("s_suppkey"), table(spark, sf_dir, "nation")
+    born = F.when(s % 4 == 0, "").when(s % 4 == 1, "2001-01-01").otherwise(F.date_format(F.date_add(F.lit("1900-01-01").cast("date"), s.cast("int")), "yyyy-MM-dd"))
+    seen = table(spark, sf_dir, "supplier").select(s.alias("sofascore_player_id"), line("N", text("s_suppkey")).alias("name"), born.alias("birth_date"), F.col("s_nationkey").cast("long").alias("team_id"), line("T", text("s_nationkey")).alias("team_name"))
+    lake.curated.write_table("sofascore_players", seen, where)
+    lake.curated.write_table("sofascore_teams", nation.select(F.col("n_nationkey").cast("long").alias("team_id"), F.col("n_name").alias("team_name")), where)
+    row = lambda canonical, source, k: [canonical.alias("canonical_id"), F.lit(source).alias("fuente"), k.cast("string").alias("id_en_fuente"), F.lit("auto").alias("metodo"), F.lit("d").alias("fecha")]
+    team = lambda source: nation.select(*row(line("t", F.lpad(text("n_nationkey"), 3, "0")), source, F.col("n_nationkey")))
+    known = table(spark, sf_dir, "customer").where("c_custkey % 5 > 0").select(*row(line("p", F.lpad(text("c_custkey"), 5, "0")), "biwenger", F.col("c_custkey")))
+    both = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "supplier"), F.col("c_custkey") == s).where("c_custkey % 5 > 0 and c_custkey % 7 < 2")
+    decided = {"biwenger_id": text("c_custkey"), "biwenger_name": line("n", text("c_custkey")), "sofascore_id": text("s_suppkey"), "motivo": F.lit("m"), "decision": F.when(F.col("c_custkey") % 7 == 0, "y").otherwise("skip")}
+    review = both.select(*[decided.get(c, F.lit("")).alias(c) for c in lake.mappings.load("sofascore-review").columns])
+    lake.mappings.save({"players": known, "teams": team("biwenger").unionByName(team("sofascore")), "sofascore-review": review})
+    jobs.map_third(lake, 2023, "2024-01-10")
+    mapped = lake.mappings.load("players")
+    own = mapped.where("fuente = 'biwenger'").select("canonical_id", F.col("id_en_fuente").alias("id"))
+    attached = own.join(mapped.where("fuente = 'sofascore'").select("canonical_id", F.col("id_en_fuente").alias("other"), F.col("metodo").alias("told")), "canonical_id").select("id", "other", "told")
+    skipped = own.join(lake.mappings.load("sofascore-skips").select("canonical_id"), "canonical_id").select("id", F.lit(None).cast("string").alias("other"), F.lit("skip").alias("told"))
+    waiting = lake.mappings.load("sofascore-review").select(F.col("biwenger_id").alias("id"), F.col("sofascore_id").alias("other"), F.col("motivo").alias("told"))
+    return attached.unionByName(skipped).unionByName(waiting)
+
+
 @query(
     "newcomer_states",
     """
