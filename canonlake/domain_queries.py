@@ -884,7 +884,7 @@ def coverage_job(spark, sf_dir):
     """,
 )
 def delta_job(spark, sf_dir):
-    """A new finished round in which customers with an open order scored: only the reports of those in the squad are opened."""
+    """A new finished round in which customers with an open order scored: only the reports of those in the squad are parsed."""
     lake = a_lake(spark)
     squad = competition_payload(spark, sf_dir).select(F.from_json("payload", "struct<data:struct<players:map<string,string>>>")["data"]["players"].alias("players"))
     players = squad.select(F.explode("players").alias("k", "v")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("k", F.from_json("v", flatten.PLAYER).withField("slug", F.concat(F.lit("c"), F.col("k"))).alias("v"))))).alias("players"))

@@ -49,8 +49,8 @@ class Lake:
     def __init__(self, spark: SparkSession, base: str, mappings: str = "mappings"):
         self.spark, self.raw, self.curated, self.mappings = spark, RawStore(spark, base), CuratedStore(spark, base), MappingStore(spark, mappings)
 
-    def payloads(self, source: str, dataset: str, contract: str, named: str = "", strict: bool = False, ends: str = "", among: set[str] | None = None) -> tuple[DataFrame, int]:
-        """Good payloads of a dataset, and how many broke the contract. Only those whose names begin with ``named``, end with ``ends`` and are in ``among`` are opened, so what
+    def payloads(self, source: str, dataset: str, contract: str, named: str = "", strict: bool = False, ends: str = "", among: DataFrame | set[str] | None = None) -> tuple[DataFrame, int]:
+        """Good payloads of a dataset, and how many broke the contract. Only those whose names begin with ``named``, end with ``ends`` and are in ``among`` are parsed, so what
         another season or player left broken does no harm."""
         good, bad = flatten.parsed(self.raw.latest(source, dataset, named=named, ends=ends, among=among).select("name", "payload"), contract)
         broken = bad.count()
@@ -109,11 +109,6 @@ def ingest_prices(lake: Lake, competition: str, season: int, day: date) -> Resul
     return Result(rows={"biwenger_prices": rows.count()})
 
 
-def names_of(rows: DataFrame) -> set[str]:
-    """The names of payloads in the first column, for a choice in the listing: the rounds of a season, the members of a squad."""
-    return {r[0] for r in rows.distinct().toLocalIterator()}
-
-
 def season_rounds(lake: Lake, competition: str, season: int) -> DataFrame | None:
     """(id) of the rounds that belong to a season and can be played; None if no round of it is known.
 
@@ -129,7 +124,7 @@ def season_rounds(lake: Lake, competition: str, season: int) -> DataFrame | None
     seeds = lake.curated.staged(seeds.where("id is not null").distinct())
     if seeds.isEmpty():
         return None
-    own, _ = lake.payloads(FANTASY, "rounds", "round", f"{competition}-", among=names_of(seeds.select(F.concat(F.lit(f"{competition}-"), F.col("id").cast("string"), F.lit("-score1")))))
+    own, _ = lake.payloads(FANTASY, "rounds", "round", f"{competition}-", among=seeds.select(F.concat(F.lit(f"{competition}-"), F.col("id").cast("string"), F.lit("-score1"))))
     current, _ = lake.payloads(FANTASY, "competition-data", "competition", among={competition})
     listed = own.select("j.data.season.rounds").union(current.select("j.data.season.rounds")).where("rounds is not null").distinct()
     catalogues = lake.curated.staged(listed.withColumn("catalogue", F.monotonically_increasing_id()).select("catalogue", F.explode("rounds").alias("r")).select("catalogue", "r.*"))
@@ -142,7 +137,7 @@ def season_rounds(lake: Lake, competition: str, season: int) -> DataFrame | None
 def ingest_rounds(lake: Lake, competition: str, season: int, resume: bool = False) -> Result:
     """Points of a season's rounds over all scoring systems; identities are stored before points, so a crash leaves no nameless points.
 
-    ``season_rounds`` says which rounds these are; payloads of others are not opened. With ``resume`` rounds that are stored already are left alone.
+    ``season_rounds`` says which rounds these are; payloads of others are not parsed. With ``resume`` rounds that are stored already are left alone.
     """
     where, rounds = {"competition": competition, "season": str(season)}, season_rounds(lake, competition, season)
     if rounds is None:
@@ -151,7 +146,7 @@ def ingest_rounds(lake: Lake, competition: str, season: int, resume: bool = Fals
     todo = lake.curated.staged(algebra.without_keys(rounds, done.select(F.col("round_id").alias("id")).distinct(), ["id"])) if done is not None else rounds
     skipped = rounds.count() - todo.count()
     files = todo.select(F.explode(F.array(*[F.concat(F.lit(f"{competition}-"), F.col("id").cast("string"), F.lit(f"-score{k}")) for k in flatten.POINT_SYSTEMS])))
-    good, _ = lake.payloads(FANTASY, "rounds", "round", f"{competition}-", strict=True, among=names_of(files))
+    good, _ = lake.payloads(FANTASY, "rounds", "round", f"{competition}-", strict=True, among=files)
     sides = lake.curated.staged(flatten.round_sides(good.where(~flatten.is_postponed(F.col("j.data.name")))))
     players, teams = flatten.round_identities(sides)
     lake.curated.upsert("biwenger_players_history", players, ["id"], where)
@@ -169,15 +164,15 @@ def ingest_valuation(lake: Lake, competition: str) -> Result:
     """
     where, result = {"competition": competition}, Result()
     squads = lake.curated.read_tolerant("transfermarkt_players", {"id": "string", "competition": "string"}).where(F.col("competition") == competition)
-    members = names_of(squads.where("id is not null").select("id"))
-    if not members:
+    members = lake.curated.staged(squads.where("id is not null").select("id").distinct())
+    if members.isEmpty():
         return Result(failures=[f"no squad of {competition} is stored"])
     for table, dataset, contract, rows in HISTORIES:
         good, _ = lake.payloads(VALUATION, dataset, contract, strict=True, among=members)
         found = lake.curated.staged(rows(good))
         lake.curated.upsert_unique_partition(table, found, ["player_id"], where)
         result.add(table, found.count())
-    pages = lake.raw.latest(VALUATION, "injuries", "html", among={f"spieler-{m}" for m in members}).select(F.col("name").alias("page"), F.col("payload").alias("html"))
+    pages = lake.raw.latest(VALUATION, "injuries", "html", among=members.select(F.concat(F.lit("spieler-"), "id"))).select(F.col("name").alias("page"), F.col("payload").alias("html"))
     hurt = lake.curated.staged(injuries(html.parse_pages(pages, "injuries")))
     lake.curated.upsert_unique_partition("injuries_tm", hurt, ["player_id"], where)
     result.add("injuries_tm", hurt.count())
@@ -318,7 +313,7 @@ def ingest_reports_delta(lake: Lake, competition: str, season: int) -> Result:
     """Points of those who scored in finished rounds that are not stored yet; prices are left to the daily snapshot.
 
     The stored round ids are the marker of what is done, so a second run with nothing new reads no report. Only payloads of the pending rounds and
-    reports of squad members who scored in them are opened; reports are named by competition, slug and season.
+    reports of squad members who scored in them are parsed; reports are named by competition, slug and season.
     """
     where = {"competition": competition, "season": str(season)}
     data, _ = lake.payloads(FANTASY, "competition-data", "competition", competition, strict=True)
@@ -329,11 +324,11 @@ def ingest_reports_delta(lake: Lake, competition: str, season: int) -> Result:
     members = squad.count()
     if pending.isEmpty():
         return Result(rows={"fantasy_points": 0}, stats={"refreshed": 0, "skipped": members})
-    rounds, _ = lake.payloads(FANTASY, "rounds", "round", strict=True, among=names_of(pending.select(F.concat(F.lit(f"{competition}-"), F.col("id").cast("string"), F.lit("-score1")))))
+    rounds, _ = lake.payloads(FANTASY, "rounds", "round", strict=True, among=pending.select(F.concat(F.lit(f"{competition}-"), F.col("id").cast("string"), F.lit("-score1"))))
     scorers = flatten.scoring_players(flatten.round_sides(rounds.where("j.data.scoreID = 1")).join(pending.select(F.col("id").alias("round_id")), "round_id", "left_semi"))
     wanted = lake.curated.staged(scorers.withColumn("inside", F.lit(True)).join(squad.withColumnRenamed("id", "player_id").withColumn("member", F.lit(True)), "player_id", "full_outer"))
     both = wanted.where("inside and member")
-    files = names_of(both.where("slug is not null").select(F.concat(F.lit(f"{competition}-"), F.col("slug"), F.lit(f"-{season}"))))
+    files = both.where("slug is not null").select(F.concat(F.lit(f"{competition}-"), F.col("slug"), F.lit(f"-{season}")))
     reports, _ = lake.payloads(FANTASY, "player-reports", "reports", strict=True, among=files)
     chosen = reports.join(both.select("player_id"), F.col("j.data.id") == F.col("player_id"), "left_semi")
     points, anomalies = flatten.fantasy_points(chosen)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import re
+import time
+import uuid
 from datetime import UTC, date, datetime, timedelta
 from urllib.parse import urlparse
 
@@ -12,6 +14,13 @@ from pyspark.sql import functions as F
 
 #: The partition column of the layout, a fixed value of the format.
 DOWNLOADED = "fecha_descarga"
+DAY_FOLDER = re.compile(rf"{DOWNLOADED}=(\d{{4}}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01]))")
+#: What opening one payload counts for, in bytes, when files are shared out to tasks: payloads are small, and a task takes many.
+OPEN_COST = 65_536
+#: Files of a day in the index, at least, if it has as many payloads.
+PARTS = 8
+#: A folder that changed less than this many seconds ago may change again without showing it.
+SETTLED_S = 0.05
 
 
 def base_uri(uri: str) -> str:
@@ -35,11 +44,16 @@ def _named(files: DataFrame) -> DataFrame:
 
 
 class RawStore:
-    """Writes payloads as they come and reads the latest one of each name."""
+    """Writes payloads as they come and reads the latest one of each name.
+
+    Beside the payloads lies an index, ``index/{source}/{dataset}/{extension}``: a Parquet table of what the dated folders hold, payloads included, so that a job reads a few
+    large files sorted by name instead of very many small ones. Before a read it is extended by the folders that are new or have changed, and by no others; each payload
+    is opened once in its life. The index can be deleted at any time: the payloads are the truth, and the next read builds it anew.
+    """
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base_uri(base)
-        self._listed: dict[tuple[str, str, str], dict[str, tuple[date, str]]] = {}
+        self._written: set[tuple[str, str, str]] = set()  # (source, dataset, day) that this store wrote to; days, not names
 
     def _files(self, path: str):
         where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -62,9 +76,7 @@ class RawStore:
         options = gateway.new_array(rename, 1)
         options[0] = rename.OVERWRITE
         hadoop.FileContext.getFileContext(final.toUri(), self.spark._jsc.hadoopConfiguration()).rename(part, final, options)
-        listed = self._listed.get((source, dataset, extension))
-        if listed is not None and (name not in listed or listed[name][0] <= day):
-            listed[name] = (day, key)
+        self._written.add((source, dataset, day.isoformat()))
         return key
 
     def save_all(self, source: str, dataset: str, payloads: DataFrame, extension: str = "json", day: date | None = None) -> None:
@@ -90,57 +102,107 @@ class RawStore:
                 os.replace(part, os.path.join(path, f"{row.name}.{extension}"))
 
         payloads.select("name", "payload").foreachPartition(write)
-        self._listed.pop((source, dataset, extension), None)
+        self._written.add((source, dataset, day.isoformat()))
 
-    def payloads(self, source: str, dataset: str, extension: str = "json") -> DataFrame:
-        """(name, fecha_descarga, payload) of every version of every name; for audits, as it opens all of them."""
-        base = f"{self.base}/raw/{source}/{dataset}"
-        where, files = self._files(base)
-        if not files.exists(where):
-            return self._read({})
-        found = self.spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{extension}").text(base, wholetext=True)
-        return _named(found).where(F.col("name") != "")
+    def _days(self, source: str, dataset: str) -> dict[str, int]:
+        """The dated folders of a dataset and when each last changed, in milliseconds: one listing of folders, and a name a day.
 
-    def listing(self, source: str, dataset: str, extension: str = "json") -> dict[str, tuple[date, str]]:
-        """The newest day of each name and its file, from one listing; no payload is opened.
-
-        The listing is distributed and folded by name before it reaches the driver, which holds an entry a name, fewer than the
-        file index of any scan. It is kept for the life of this store and follows ``save``. Folders without a date and other
-        extensions are ignored.
+        Object stores do not tell when a folder changed. There the newest two days, and those that this store wrote to, count as changed now, older ones as never.
         """
-        kept = self._listed.get((source, dataset, extension))
-        if kept is not None:
-            return kept
-        base = f"{self.base}/raw/{source}/{dataset}"
-        where, files = self._files(base)
-        found: dict[str, tuple[date, str]] = {}
-        if files.exists(where):
-            pattern = rf"/{DOWNLOADED}=(\d{{4}}-\d{{2}}-\d{{2}})/([^/]+)\.{re.escape(extension)}$"
-            paths = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{extension}").load(base).select("path")
-            named = paths.select("path", F.regexp_extract("path", pattern, 2).alias("name"), F.try_to_date(F.nullif(F.regexp_extract("path", pattern, 1), F.lit("")), "yyyy-MM-dd").alias("day"))
-            newest = named.where("day is not null").groupBy("name").agg(F.max(F.struct("day", "path")).alias("x"))
-            found = {r.name: (r.x.day, r.x.path) for r in newest.toLocalIterator()}
-        self._listed[source, dataset, extension] = found
+        where, files = self._files(f"{self.base}/raw/{source}/{dataset}")
+        if not files.exists(where):
+            return {}
+
+        def seen() -> dict[str, int]:
+            named = ((DAY_FOLDER.fullmatch(f.getPath().getName()), f) for f in files.listStatus(where))
+            return {m[1]: f.getModificationTime() for m, f in named if m}
+
+        found = seen()
+        if self.base.startswith("s3a://"):
+            now, late = int(time.time() * 1000), set(sorted(found)[-2:])
+            return {d: now if d in late or (source, dataset, d) in self._written else 0 for d in found}
+        if any(time.time() * 1000 - changed < SETTLED_S * 1000 for changed in found.values()):
+            time.sleep(SETTLED_S)
+            found = seen()
         return found
 
-    def _read(self, chosen: dict[str, tuple[date, str]]) -> DataFrame:
-        """(name, fecha_descarga, payload) of listed files, and of no others."""
-        if not chosen:
-            return self.spark.createDataFrame([], f"name string, {DOWNLOADED} date, payload string")
-        found = self.spark.read.text([path for _, path in chosen.values()], wholetext=True)
-        return _named(found)
+    def _runs(self, path: str) -> dict[str, tuple[int, str]]:
+        """Of each day in the index: when its folder had last changed, and where its rows lie. Later runs count, and only those that came to their end."""
+        where, files = self._files(path)
+        if not files.exists(where):
+            return {}
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        ended = sorted(f.getPath().getParent().getName() for f in files.globStatus(hadoop.Path(f"{path}/run-*/_SUCCESS")))
+        place = {run: i for i, run in enumerate(ended)}
+        found: dict[str, tuple[int, int, str]] = {}
+        for folder in files.globStatus(hadoop.Path(f"{path}/run-*/day=*/stamp=*")):
+            at, day = folder.getPath(), folder.getPath().getParent()
+            run = place.get(day.getParent().getName())
+            if run is not None:
+                name = day.getName().removeprefix("day=")
+                found[name] = max(found.get(name, (-1, 0, "")), (run, int(at.getName().removeprefix("stamp=")), at.toString()))
+        return {d: (stamp, at) for d, (_, stamp, at) in found.items()}
+
+    def _extend(self, source: str, dataset: str, extension: str, path: str, changed: dict[str, int]) -> None:
+        """One run over the changed folders. It is written to a folder of its own, so tables that were read before stay whole, and a run that breaks off counts for nothing."""
+        own = self.spark.newSession()  # for two settings: how many small files make a task, and that a small day keeps its parts
+        own.conf.set("spark.sql.files.openCostInBytes", str(OPEN_COST))
+        own.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        folders = [f"{self.base}/raw/{source}/{dataset}/{DOWNLOADED}={d}" for d in changed]
+        rows = _named(own.read.option("pathGlobFilter", f"*.{extension}").text(folders, wholetext=True)).where(f"name <> '' AND {DOWNLOADED} IS NOT NULL")
+        stamps = own.createDataFrame(list(changed.items()), "day string, stamp long")
+        # a day's rows go to a few parts, so that parsing them is shared out, and a large part is cut further into files of like size
+        told = rows.withColumns({"day": F.date_format(DOWNLOADED, "yyyy-MM-dd"), "part": F.pmod(F.xxhash64("name"), F.lit(PARTS))}).join(F.broadcast(stamps), "day").hint("rebalance", "day", "part").drop("part")
+        run = f"{path}/run-{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
+        told.sortWithinPartitions("day", "stamp", "name").write.partitionBy("day", "stamp").parquet(run)
+
+    def payloads(self, source: str, dataset: str, extension: str = "json") -> DataFrame:
+        """(name, fecha_descarga, payload) of every version of every name, from the index, which is brought up to date first.
 
-    def latest(self, source: str, dataset: str, extension: str = "json", named: str = "", ends: str = "", among: set[str] | None = None) -> DataFrame:
-        """(name, fecha_descarga, payload): the newest payload of each name that begins with ``named``, ends with ``ends`` and is in ``among``, if that is given. No other file is opened."""
-        wanted = lambda n: n.startswith(named) and n.endswith(ends) and (among is None or n in among)
-        return self._read({n: x for n, x in self.listing(source, dataset, extension).items() if wanted(n)})
+        Folders without a date and other extensions are ignored. The driver holds an entry a day; while new folders are read it lists their files, as any scan does.
+        """
+        path, schema = f"{self.base}/index/{source}/{dataset}/{extension}", f"name string, {DOWNLOADED} date, payload string"
+        days, known = self._days(source, dataset), self._runs(path)
+        changed = {d: stamp for d, stamp in days.items() if d not in known or known[d][0] != stamp}
+        if changed:
+            self._extend(source, dataset, extension, path, changed)
+            known = self._runs(path)
+        # a folder whose files are all gone leaves no rows in the new run; those of an older one no longer count
+        found = [at for d, (stamp, at) in known.items() if d in days and (d not in changed or stamp == changed[d])]
+        return self.spark.read.schema(schema).parquet(*found) if found else self.spark.createDataFrame([], schema)
+
+    def latest(self, source: str, dataset: str, extension: str = "json", named: str = "", ends: str = "", among: DataFrame | set[str] | None = None) -> DataFrame:
+        """(name, fecha_descarga, payload): the newest payload of each name that begins with ``named``, ends with ``ends`` and is in ``among``, if that is given: a few names, or the first column of a table.
+
+        Which payloads are the newest is found from names and days alone; only theirs are read on.
+        """
+        rows = self.payloads(source, dataset, extension)
+        if named:
+            rows = rows.where(F.col("name").startswith(named))
+        if ends:
+            rows = rows.where(F.col("name").endswith(ends))
+        if isinstance(among, DataFrame):
+            rows = rows.join(among.select(F.col(among.columns[0]).cast("string").alias("name")), "name", "left_semi")
+        elif among is not None:
+            rows = rows.where(F.col("name").isin(sorted(among)))
+        newest = rows.groupBy("name").agg(F.max(DOWNLOADED).alias(DOWNLOADED))
+        return rows.join(newest, ["name", DOWNLOADED]).select("name", DOWNLOADED, "payload")
+
+    def _newest(self, source: str, dataset: str, name: str, extension: str) -> tuple[date, str] | None:
+        """The newest day of one name and its file, by asking the folders from the newest on; no listing of files and no index, so a crawl may ask for one name after another."""
+        for day in sorted(self._days(source, dataset), reverse=True):
+            path = f"{self.base}/raw/{source}/{dataset}/{DOWNLOADED}={day}/{name}.{extension}"
+            where, files = self._files(path)
+            if files.exists(where):
+                return datetime.strptime(day, "%Y-%m-%d").date(), path
+        return None
 
     def read_latest(self, source: str, dataset: str, name: str, extension: str = "json") -> str | None:
-        found = self.listing(source, dataset, extension).get(name)
-        return self._read({name: found}).first().payload if found else None
+        found = self._newest(source, dataset, name, extension)
+        return self.spark.read.text(found[1], wholetext=True).first().value if found else None
 
     def last_download(self, source: str, dataset: str, name: str, extension: str = "json") -> date | None:
-        found = self.listing(source, dataset, extension).get(name)
+        found = self._newest(source, dataset, name, extension)
         return found[0] if found else None
 
     def cached_or_fetched(self, source: str, dataset: str, name: str, fetch, extension: str = "json") -> str:
@@ -154,6 +216,6 @@ class RawStore:
 
     def stale(self, names: DataFrame, source: str, dataset: str, days: int | None, today: date, extension: str = "json") -> DataFrame:
         """Of ``names`` (column name), those without a download newer than ``days`` ago; None: without any download."""
-        since = None if days is None else today - timedelta(days=days)
-        fresh = [(n,) for n, (day, _) in self.listing(source, dataset, extension).items() if since is None or day > since]
-        return names.join(self.spark.createDataFrame(fresh, "name string"), "name", "left_anti")
+        rows = self.payloads(source, dataset, extension)
+        fresh = rows if days is None else rows.where(F.col(DOWNLOADED) > F.lit(today - timedelta(days=days)))
+        return names.join(fresh.select("name"), "name", "left_anti")

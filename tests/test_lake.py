@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from canonlake.operators.integrity import IntegrityError
 from canonlake.sources.curated import CuratedStore
@@ -54,6 +55,59 @@ def test_a_payload_of_the_same_day_is_replaced(spark, base, tmp_path):
     assert not [f for f in (tmp_path / "raw/s/d/fecha_descarga=2024-01-01").iterdir() if f.name.endswith(".part")]
 
 
+def runs(tmp_path, dataset="d", extension="json"):
+    return sorted((tmp_path / f"index/s/{dataset}/{extension}").glob("run-*"))
+
+
+def test_the_index_opens_each_payload_once(spark, base, tmp_path):
+    raw = RawStore(spark, base)
+    pair = "name string, payload string"
+    raw.save_all("s", "d", spark.createDataFrame([(n, f"{n} one") for n in "abc"], pair), day=dt.date(2024, 1, 1))
+    before = raw.latest("s", "d")
+    assert rows(raw.latest("s", "d", among={"a", "q"}).select("name")) == [("a",)] and len(runs(tmp_path)) == 1
+    raw.save_all("s", "d", spark.createDataFrame([("b", "b two"), ("e", "e two")], pair), day=dt.date(2024, 2, 1))
+    # another store over the same base goes on where this one was; only the new folder is read
+    other = RawStore(spark, base)
+    asked = spark.createDataFrame([("b",), ("c",), ("c",), (None,), ("q",)], "name string")
+    assert rows(other.latest("s", "d", among=asked).select("name", "payload")) == [("b", "b two"), ("c", "c one")]
+    assert len(runs(tmp_path)) == 2 and [f.name for f in runs(tmp_path)[1].glob("day=*")] == ["day=2024-02-01"]
+    # a table that was read before the folder changed still holds
+    assert rows(before.select("payload")) == [("a one",), ("b one",), ("c one",)]
+    # a late file in an old folder, and a payload that is gone
+    raw.save("s", "d", "late", b"x", day=dt.date(2024, 1, 1))
+    (tmp_path / "raw/s/d/fecha_descarga=2024-01-01/a.json").unlink()
+    assert rows(other.latest("s", "d").select("name", "payload")) == [("b", "b two"), ("c", "c one"), ("e", "e two"), ("late", "x")]
+    assert rows(other.latest("s", "d", named="l", ends="te").select("name")) == [("late",)]
+    for name in ("b", "e"):
+        (tmp_path / f"raw/s/d/fecha_descarga=2024-02-01/{name}.json").unlink()
+    assert rows(other.latest("s", "d").select("name", "payload")) == [("b", "b one"), ("c", "c one"), ("late", "x")]
+
+
+def test_a_broken_run_of_the_index_counts_for_nothing(spark, base, tmp_path):
+    raw = RawStore(spark, base)
+    raw.save("s", "d", "a", b"one", day=dt.date(2024, 1, 1))
+    raw.save("s", "d", "b", b"two", day=dt.date(2024, 1, 2))
+    assert raw.latest("s", "d").count() == 2
+    (runs(tmp_path)[0] / "_SUCCESS").unlink()
+    assert rows(raw.latest("s", "d").select("name", "payload")) == [("a", "one"), ("b", "two")] and len(runs(tmp_path)) == 2
+
+
+def test_a_hundred_thousand_names(spark, base, tmp_path):
+    raw, many = RawStore(spark, base), 100_000
+    name = lambda k: F.format_string("n-%06d", k)
+    every = spark.range(0, many, 1, 8)
+    raw.save_all("s", "d", every.select(name("id").alias("name"), F.concat(F.lit("old "), "id").alias("payload")), day=dt.date(2024, 1, 1))
+    raw.save_all("s", "d", every.where("id % 100 = 0").select(name("id").alias("name"), F.concat(F.lit("new "), "id").alias("payload")), day=dt.date(2024, 2, 1))
+    told = raw.latest("s", "d").groupBy(F.substring("payload", 1, 3).alias("v")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("name").alias("names"))
+    assert rows(told) == [("new", 1_000, 1_000), ("old", 99_000, 99_000)]
+    odd = raw.latest("s", "d", among=every.where("id % 2 = 1").select(name("id").alias("name")))
+    assert odd.count() == many // 2 and odd.where("payload like 'new%'").count() == 0
+    asked = spark.range(many - 10, many + 10).select(name("id").alias("name"))
+    assert raw.stale(asked, "s", "d", None, dt.date(2024, 2, 5)).count() == 10 and raw.stale(asked, "s", "d", 10, dt.date(2024, 2, 5)).count() == 20
+    assert raw.read_latest("s", "d", "n-000100") == "new 100" and raw.last_download("s", "d", "n-000101") == dt.date(2024, 1, 1)
+    assert len(runs(tmp_path)) == 1 and not [v for v in vars(raw).values() if hasattr(v, "__len__") and not isinstance(v, str) and len(v) > 2]
+
+
 def frame(spark, data, schema="player_id int, value int"):
     return spark.createDataFrame(data, schema)
 
