@@ -156,6 +156,11 @@ def accuracy(found: DataFrame, by: list[str], y: str) -> DataFrame:
     return found.where(F.col("predicted").isNotNull() & F.col(y).isNotNull()).groupBy(*by, "version").agg(F.avg(F.abs(error)).alias("mae"), F.avg(error).alias("bias"), F.count(F.lit(1)).alias("n"))
 
 
+def settled(name: str, digits: int) -> Column:
+    """A mean rounded to ``digits``; nine digits come first, so that a tie is a tie in whatever order its sums were taken."""
+    return F.round(F.round(name, 9), digits)
+
+
 # --- start probability and projections -------------------------------------------------------------------------------
 
 

@@ -6,7 +6,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from canonlake import model_queries
 from canonlake.plans import models
 from canonlake.sources.curated import CuratedStore
 
@@ -220,3 +222,14 @@ def test_predictions_of_groups_without_a_model_are_left_out(spark, xs):
     fit = models.multiple_regression(df.where("g = 1"), ["g"], "y", xs)
     told = models.predicted(df, fit, ["g"], xs).collect()
     assert len(told) == 5 and all(abs(r.predicted - r.y) < 1e-6 for r in told)
+
+
+@pytest.mark.parametrize("noise", [-1e-12, 1e-12])
+def test_ties_of_rolling_accuracy_are_rounded_up_in_whatever_order_sums_are_taken(spark, tmp_path, monkeypatch, noise):
+    # 40 rows of one round, of which the mean ends in half a unit of the fourth digit, and one row that it predicts
+    days = [(u, dt.datetime(2024, 1, 2), "view", 1.0 if u else 1.002, 1) for u in range(0, 120, 3)] + [(0, dt.datetime(2024, 1, 3), "view", 0.0, 1)]
+    spark.createDataFrame(days, "user_id long, ts timestamp, event_type string, value double, event_id long").write.parquet(f"{tmp_path}/events.parquet")
+    exact = models.accuracy
+    monkeypatch.setattr(models, "accuracy", lambda *args: exact(*args).withColumns({c: F.col(c) + noise for c in ("mae", "bias")}))
+    found = {r.version: (r.mae, r.bias) for r in model_queries.rolling_accuracy(spark, f"file://{tmp_path}").collect()}
+    assert found["mean"] == (1.0001, 1.0001)  # 1.00005
