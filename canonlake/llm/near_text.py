@@ -1,4 +1,4 @@
-"""Near copies by shingle similarity: MinHash bands propose pairs, exact Jaccard similarity decides."""
+"""Near copies by shingle similarity: MinHash bands propose pairs, exact Jaccard similarity decides. SimHash fingerprints may link as well."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from canonlake.llm import simhash
 from canonlake.llm.common import fresh, lookup, staged
 from canonlake.llm.components import components
 
@@ -61,17 +62,22 @@ def band_keys(found: np.ndarray) -> np.ndarray:
     return key
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        same, size, keys = [], [], []
-        for text in batch.column(2).to_pylist():
-            words = text.lower().split()  # of bytes: A-Z alone, x20 and x09 to x0D alone
-            found = shingles(words)
-            same.append(xxhash.xxh3_128_digest(b" ".join(words)))
-            size.append(len(found))
-            keys.append(band_keys(found).view(np.int64) if len(found) else np.empty(0, np.int64))
-        columns = [batch.column(0), batch.column(1), pa.array(same, pa.binary()), pa.array(size, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, names=["id", "row", "same", "size", "keys"])
+def _sketches(prints: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            same, size, keys, fps = [], [], [], np.zeros(batch.num_rows, np.uint64)
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                words = text.lower().split()  # of bytes: A-Z alone, x20 and x09 to x0D alone
+                found = shingles(words)
+                same.append(xxhash.xxh3_128_digest(b" ".join(words)))
+                size.append(len(found))
+                keys.append(band_keys(found).view(np.int64) if len(found) else np.empty(0, np.int64))
+                if prints:
+                    fps[i] = simhash.fingerprint(text)
+            columns = [batch.column(0), batch.column(1), pa.array(same, pa.binary()), pa.array(size, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(fps.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "row", "same", "size", "keys", "fp"])
+
+    return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,26 +177,31 @@ def near_links(members: DataFrame, sets: DataFrame, percent: int = 80) -> DataFr
     return components(found if links is None else links.union(found))
 
 
-def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, bits: int | None = None) -> DataFrame:
     """The rows of ``df`` whose id is the least of their component, unchanged; rows without an id stay.
 
     Texts link whose sets of five-word shingles have a Jaccard similarity of ``percent`` hundredths or more (words are
-    split at ASCII white space, A-Z lower-cased). Texts of equal words are one node before anything is
+    split at ASCII white space, A-Z lower-cased), and, if ``bits`` is given, whose SimHash fingerprints differ in at most as many bits (2 at most);
+    a component is what both kinds of links join. Texts of equal words are one node before anything is
     compared; null texts and texts without a word are equal. Pairs are proposed by MinHash bands and decided exactly.
     Rows that repeat an id stay or go together: they go if one of their texts has a link to a smaller id. Long texts are read
     whole. An empty table gives an empty table. Columns of any name may be there: the names used inside give way.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("row"), text.cast("binary").alias("text"))
-    sketches = staged(source.mapInArrow(_sketches, "id long, row long, same binary, size long, keys array<long>"), "sketches")
-    least = sketches.where("id is not null").groupBy("same").agg(F.min(F.struct("id", "row", "size", "keys")).alias("x"))
-    nodes = staged(least.select("same", F.col("x.id").alias("node"), "x.row", "x.size", "x.keys"), "nodes")
+    sketches = staged(source.mapInArrow(_sketches(bits is not None), "id long, row long, same binary, size long, keys array<long>, fp long"), "sketches")
+    least = sketches.where("id is not null").groupBy("same").agg(F.min(F.struct("id", "row", "size", "keys", "fp")).alias("x"))
+    nodes = staged(least.select("same", F.col("x.id").alias("node"), "x.row", "x.size", "x.keys", "x.fp"), "nodes")
     bands = nodes.select("node", "row", "size", F.explode("keys").alias("key"))
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     members = staged(bands.join(shared, "key"), "members")
     wanted = lookup(members.select(F.col("node").alias("id"), "row").distinct(), "wanted")
     sets = staged(source.join(wanted, ["id", "row"], "left_semi").select("id", "text").mapInArrow(_sets, "node long, shingles binary"), "sets")
-    classes = nodes.join(near_links(members, sets, percent), "node", "left").select("same", F.coalesce("component", "node").alias("component"))
+    found = near_links(members, sets, percent)
+    if bits is not None:
+        prints = nodes.join(simhash.classes(nodes.select(F.col("node").alias("id"), "fp"), bits), "fp").select("node", "component_id")
+        found = components(found.union(prints).toDF("a", "b"))
+    classes = nodes.join(found, "node", "left").select("same", F.coalesce("component", "node").alias("component"))
     (gone_id,) = fresh(df, "gone_id")
     gone = sketches.select("id", "same").join(staged(classes, "classes"), "same").where("id <> component").select(F.col("id").alias(gone_id)).distinct()
     return df.join(gone, F.col(id_col) == F.col(gone_id), "left_anti")

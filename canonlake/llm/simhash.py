@@ -299,6 +299,13 @@ def near_links(nodes: DataFrame, bits: int = 2, crowd: int = CROWD) -> DataFrame
     return dealt.mapInArrow(_compare(bits), "a long, b long")
 
 
+def classes(fps: DataFrame, bits: int = 2, crowd: int = CROWD) -> DataFrame:
+    """(fp, component_id) of the different fingerprints in ``fps`` (id, fp): the least id reachable by links; null if none has an id."""
+    nodes = staged(fps.groupBy("fp").agg(F.min("id").alias("node")), "nodes")
+    found = components(near_links(nodes.where(F.col("node").isNotNull()), bits, crowd))
+    return staged(nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id")), "classes")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 2, crowd: int = CROWD) -> DataFrame:
     """A row for each row of ``df``: ``id_col``, ``fp`` (long) and ``component_id``, the least id reachable by links.
 
@@ -310,10 +317,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     fps = staged(texts.mapInArrow(_fingerprints, "id long, fp long"), "fingerprints")
-    nodes = staged(fps.groupBy("fp").agg(F.min("id").alias("node")), "nodes")
-    found = components(near_links(nodes.where(F.col("node").isNotNull()), bits, crowd))
-    classes = staged(nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id")), "classes")
-    return fps.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    return fps.join(classes(fps, bits, crowd), "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 2) -> DataFrame:
@@ -323,6 +327,6 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
     any name may be there: the names used inside give way.
     """
     (gone_id,) = fresh(df, "gone_id")
-    classes = near_duplicates(df, id_col, text_col, bits)
-    gone = classes.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(gone_id)).distinct()
+    found = near_duplicates(df, id_col, text_col, bits)
+    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(gone_id)).distinct()
     return df.join(gone, F.col(id_col) == F.col(gone_id), "left_anti")

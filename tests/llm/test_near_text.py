@@ -80,6 +80,23 @@ def test_pipeline_stage_drops_near_copies_that_two_bits_miss(spark):
     assert {r.doc_id for r in kept.collect()} == set(texts) - {100 + k for k in copies}
 
 
+def test_pipeline_stage_drops_what_fingerprints_alone_link(spark):
+    # three-word shingles that come very often make nearly all of the fingerprint; five-word shingles, each counted once, differ
+    rng = random.Random(3)
+    docs = []
+    for k in range(30):
+        often, rare = [f"a{k}", f"b{k}", f"c{k}"] * 150, [[f"{side}{k}x{j}" for j in range(rng.choice((3, 5)))] for side in "pq"]
+        docs += [(10 * k + n, " ".join(often + own), "en", "s", 0) for n, own in enumerate(rare)]
+    docs += [(5, docs[0][1] + " tail", "en", "s", 0), (None, docs[0][1], "en", "s", 0)]
+    near = lambda a, b: (simhash.fingerprint(a[1].encode()) ^ simhash.fingerprint(b[1].encode())).bit_count() <= 2
+    named = [d for d in docs if d[0] is not None]
+    linked = {b[0]: a[0] for a in named for b in named if a[0] < b[0] and near(a, b)}
+    assert sum(not similar(a[1], b[1]) for a in named for b in named if linked.get(b[0]) == a[0]) > 5
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(docs, COLUMNS), "")
+    gone = {d[0] for d in named if d[0] in linked or any(e[0] < d[0] and similar(e[1], d[1]) for e in named)}
+    assert {r.doc_id for r in kept.collect()} == {d[0] for d in docs} - gone
+
+
 def test_empty_repeated_and_null_rows(spark):
     assert near_text.one_of_each(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     text = "a b c d e f g"
