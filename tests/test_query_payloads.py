@@ -35,3 +35,9 @@ def test_finished_events_come_in_pages(spark, sizes):
     places = [found.columns.index(c) for c in want.columns]
     assert sorted(tuple(r[i] for i in places) for r in found.collect()) == sorted(want.fetchall())
     assert sizes and max(sizes) <= 50
+
+
+@pytest.mark.parametrize("name", ["cup_minutes", "identity_catalog", "lineup_match_stats"])
+def test_line_ups_meet_events_that_come_in_pages(spark, sizes, name):
+    assert getattr(queries, name)(spark, SF).columns
+    assert sizes and max(sizes) <= 50
